@@ -190,7 +190,10 @@ def impute_unit_labels(
     )
     facts = _minute_facts(rows, drugs, orders, weights)
     carried = _by_drug(
-        drugs, lambda d: F.element_at(F.array(*map(F.lit, d.known_labels)), F.col("carried") + 1)
+        drugs,
+        lambda d: F.coalesce(
+            *[F.when(F.col("carried") == i, label) for i, label in enumerate(d.known_labels)]
+        ),
     )
     filled = F.col("unit_gaps") & _holds_for(drugs, lambda d: like_any(name, d.fill_like))
     kept = ~F.col("unit_gaps") & _holds_for(drugs, lambda d: like_any(name, d.keep_like))

@@ -8,7 +8,7 @@ Within one minute the on-row comes before the off-row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from acuity import rules
@@ -23,10 +23,22 @@ EVENT = (
     "cplitemvalue",
     "vent_flag",
 )
-STAY = Window.partitionBy("patientunitstayid")
-IN_TIME = STAY.orderBy("cplitemoffset", F.desc("vent_flag"), "cplgeneralid")
-ON = F.col("vent_flag") == 1
-ACTIVE = F.col("activeupondischarge")
+
+
+def _stay() -> WindowSpec:
+    return Window.partitionBy("patientunitstayid")
+
+
+def _in_time() -> WindowSpec:
+    return _stay().orderBy("cplitemoffset", F.desc("vent_flag"), "cplgeneralid")
+
+
+def _on() -> Column:
+    return F.col("vent_flag") == 1
+
+
+def _active() -> Column:
+    return F.col("activeupondischarge")
 
 
 def _event(**changed: Column) -> Column:
@@ -58,9 +70,9 @@ def resolve_same_instant(events: DataFrame) -> DataFrame:
     """
     row = F.struct("cplitemvalue", "cplgeneralid", "activeupondischarge", "cplgroup")
     settled = events.groupBy("patientunitstayid", "cplitemoffset").agg(
-        F.min(F.when(ON, row)).alias("on_row"),
-        F.max(F.when(~ON, row)).alias("off_row"),
-        F.count(F.when(~ON, 1)).alias("off_rows"),
+        F.min(F.when(_on(), row)).alias("on_row"),
+        F.max(F.when(~_on(), row)).alias("off_row"),
+        F.count(F.when(~_on(), 1)).alias("off_rows"),
     )
 
     def kept(source: str, flag: int) -> Column:
@@ -78,7 +90,7 @@ def resolve_same_instant(events: DataFrame) -> DataFrame:
 
 def trim_leading_off(events: DataFrame) -> DataFrame:
     """Drop what lies before the first on-row of a stay, and stays without one."""
-    first_on = F.min(F.when(ON, F.col("cplitemoffset"))).over(STAY)
+    first_on = F.min(F.when(_on(), F.col("cplitemoffset"))).over(_stay())
     return (
         events.withColumn("first_on", first_on)
         .where(F.col("cplitemoffset") >= F.col("first_on"))
@@ -87,12 +99,12 @@ def trim_leading_off(events: DataFrame) -> DataFrame:
 
 
 def _is_last() -> Column:
-    return F.lead("vent_flag").over(IN_TIME).isNull()
+    return F.lead("vent_flag").over(_in_time()).isNull()
 
 
 def close_open_tail(events: DataFrame, minutes: int = rules.VENT_OPEN_TAIL_MINUTES) -> DataFrame:
     """A stay that ends on, not active at discharge: add an off-row some minutes later."""
-    open_tail = F.col("is_last") & ON & ACTIVE.eqNullSafe(False)
+    open_tail = F.col("is_last") & _on() & _active().eqNullSafe(False)
     later = _closing(cplitemoffset=F.col("cplitemoffset") + minutes)
     return events.withColumn("is_last", _is_last()).select(
         F.inline(F.when(open_tail, F.array(_event(), later)).otherwise(F.array(_event())))
@@ -101,10 +113,10 @@ def close_open_tail(events: DataFrame, minutes: int = rules.VENT_OPEN_TAIL_MINUT
 
 def settle_last_pair(events: DataFrame) -> DataFrame:
     """A last off-row right after an active on-row becomes a plain inactive one."""
-    before = F.lag(F.struct("vent_flag", "activeupondischarge")).over(IN_TIME)
+    before = F.lag(F.struct("vent_flag", "activeupondischarge")).over(_in_time())
     rewritten = (
         F.col("is_last")
-        & ~ON
+        & ~_on()
         & (F.col("before")["vent_flag"] == 1)
         & F.col("before")["activeupondischarge"].eqNullSafe(True)
     )
@@ -122,7 +134,7 @@ def settle_last_pair(events: DataFrame) -> DataFrame:
 def close_at_discharge(events: DataFrame, stays: DataFrame) -> DataFrame:
     """A stay that ends on and active: add an off-row at unit discharge."""
     discharge = stays.select("patientunitstayid", "unitdischargeoffset")
-    open_tail = F.col("is_last") & ON & ACTIVE.eqNullSafe(True)
+    open_tail = F.col("is_last") & _on() & _active().eqNullSafe(True)
     at_discharge = _closing(
         activeupondischarge=F.lit(False),
         cplitemoffset=F.col("unitdischargeoffset"),
@@ -161,15 +173,15 @@ def episodes(events: DataFrame, mode: str = "reference") -> DataFrame:
             stay,
             "vent_flag",
             "cplitemoffset",
-            F.lead("vent_flag").over(IN_TIME).alias("next_flag"),
-            F.lead("cplitemoffset").over(IN_TIME).alias("next_offset"),
+            F.lead("vent_flag").over(_in_time()).alias("next_flag"),
+            F.lead("cplitemoffset").over(_in_time()).alias("next_offset"),
         )
-        .where(ON & F.col("next_flag").isNotNull())
+        .where(_on() & F.col("next_flag").isNotNull())
         .select(stay, F.explode(F.array("cplitemoffset", "next_offset")).alias(moment))
         .where(F.col(moment).isNotNull())
         .distinct()
     )
-    ordered = STAY.orderBy(moment)
+    ordered = _stay().orderBy(moment)
     return (
         moments.select(
             stay,
@@ -185,14 +197,14 @@ def episodes(events: DataFrame, mode: str = "reference") -> DataFrame:
 def _islands(events: DataFrame) -> DataFrame:
     """The runs are numbered by the off-rows seen so far; the next off-row ends a run."""
     stay = "patientunitstayid"
-    so_far = IN_TIME.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = _in_time().rowsBetween(Window.unboundedPreceding, -1)
     return (
         events.where(F.col("cplitemoffset").isNotNull())
-        .withColumn("run", F.coalesce(F.count(F.when(~ON, 1)).over(so_far), F.lit(0)))
+        .withColumn("run", F.coalesce(F.count(F.when(~_on(), 1)).over(so_far), F.lit(0)))
         .groupBy(stay, "run")
         .agg(
-            F.min(F.when(ON, F.col("cplitemoffset"))).alias("starttime"),
-            F.min(F.when(~ON, F.col("cplitemoffset"))).alias("endtime"),
+            F.min(F.when(_on(), F.col("cplitemoffset"))).alias("starttime"),
+            F.min(F.when(~_on(), F.col("cplitemoffset"))).alias("endtime"),
         )
         .where(F.col("starttime").isNotNull() & F.col("endtime").isNotNull())
         .select(stay, "starttime", "endtime")
