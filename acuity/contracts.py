@@ -57,6 +57,8 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     if missing:
         raise ValueError(f"{table} lacks the columns {missing}")
     types = {f.name.lower(): f.dataType for f in df.schema}
+    if [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in schema(table)]:
+        return df
     return df.select(
         *[
             F.col(f.name).alias(f.name)

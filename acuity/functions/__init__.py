@@ -1,6 +1,7 @@
 from acuity.functions.expressions import (
     after_exclusions,
     like_any,
+    one_of,
     points,
     strict_or_lenient_number,
 )
@@ -11,6 +12,7 @@ __all__ = [
     "hour_of",
     "like_any",
     "minute_key",
+    "one_of",
     "points",
     "strict_or_lenient_number",
 ]

@@ -3,21 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def like_any(column: Column, patterns: Iterable[str]) -> Column:
+def _quoted(values: Iterable[str]) -> str:
+    escaped = (v.replace("\\", "\\\\").replace("'", "\\'") for v in values)
+    return ", ".join(f"'{v}'" for v in escaped)
+
+
+def like_any(column: str, patterns: Sequence[str]) -> Column:
     """True where the text is LIKE one of the patterns (case-sensitive)."""
-    return reduce(or_, [column.like(p) for p in patterns], F.lit(False))
+    return F.expr(f"{column} LIKE ANY ({_quoted(patterns)})")
+
+
+def one_of(column: str, values: Sequence[str]) -> Column:
+    """True where the text is one of the values."""
+    return F.expr(f"{column} IN ({_quoted(values)})")
 
 
-def after_exclusions(column: Column, values: Sequence[str], patterns: Sequence[str] = ()) -> Column:
+def after_exclusions(column: str, values: Sequence[str], patterns: Sequence[str] = ()) -> Column:
     """True for a known text that is none of the values and like none of the patterns."""
-    kept = ~column.isin(*values)
+    kept = ~one_of(column, values)
     return kept & ~like_any(column, patterns) if patterns else kept
 
 

@@ -8,25 +8,32 @@ from pyspark.sql import functions as F
 STAY = "patientunitstayid"
 
 
-def _in_interval(minutes: DataFrame, intervals: DataFrame, start: str, end: str) -> DataFrame:
-    """Rows of ``minutes`` (one per stay and minute) with ``inside``.
+def _in_interval(
+    rows: DataFrame,
+    intervals: DataFrame,
+    start: str,
+    end: str,
+    lowest: tuple[str, ...] = (),
+) -> DataFrame:
+    """One row per (stay, minute) of ``rows``: its lowest values and ``inside``.
 
     A minute lies in some closed interval of its stay when the latest end among the
     intervals begun by then has not passed: one running maximum, no pairing of minutes
-    with intervals. Intervals may overlap. Both inputs are cut to a row per stay and
-    minute before the window.
+    with intervals, which may overlap. Rows and intervals are stacked and reduced to a
+    row per minute before the window, so that a stay's series is bounded by its length.
     """
     begun = intervals.where(F.col(start).isNotNull()).select(
         STAY, F.col(start).cast("long").alias("minute"), F.col(end).alias("until")
     )
-    merged = (
-        minutes.withColumn("asked", F.lit(True))
+    series = (
+        rows.where(F.col("minute").isNotNull())
+        .select(STAY, "minute", *lowest, F.lit(True).alias("asked"))
         .unionByName(begun, allowMissingColumns=True)
         .groupBy(STAY, "minute")
         .agg(
-            F.max("until").alias("until"),
-            *[F.max(c).alias(c) for c in minutes.columns if c not in (STAY, "minute")],
             F.max("asked").alias("asked"),
+            F.max("until").alias("until"),
+            *[F.min(c).alias(c) for c in lowest],
         )
     )
     so_far = (
@@ -34,11 +41,17 @@ def _in_interval(minutes: DataFrame, intervals: DataFrame, start: str, end: str)
         .orderBy("minute")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    latest_end = F.max("until").over(so_far)
     return (
-        merged.withColumn("latest_end", F.max("until").over(so_far))
+        series.select(
+            STAY,
+            "minute",
+            *lowest,
+            "asked",
+            F.coalesce(latest_end >= F.col("minute"), F.lit(False)).alias("inside"),
+        )
         .where("asked")
-        .withColumn("inside", F.coalesce(F.col("latest_end") >= F.col("minute"), F.lit(False)))
-        .drop("until", "asked", "latest_end")
+        .drop("asked")
     )
 
 
@@ -59,12 +72,7 @@ def _split(ratio: Column, inside: Column) -> list[Column]:
 def pf_ratio(bg: DataFrame, episodes: DataFrame) -> DataFrame:
     """One row per blood gas, its ratio in the column of its ventilation state."""
     readings = pf_readings(bg).withColumn("minute", F.col("chartoffset").cast("long"))
-    inside = _in_interval(
-        readings.where(F.col("minute").isNotNull()).select(STAY, "minute").distinct(),
-        episodes,
-        "starttime",
-        "endtime",
-    )
+    inside = _in_interval(readings, episodes, "starttime", "endtime")
     return readings.join(inside, [STAY, "minute"], "left").select(
         STAY,
         "chartoffset",
@@ -77,13 +85,9 @@ def pf_ratio_min(bg: DataFrame, episodes: DataFrame) -> DataFrame:
 
     The state depends on the minute alone, so taking the minimum first is exact.
     """
-    lowest = (
-        pf_readings(bg)
-        .where(F.col("chartoffset").isNotNull())
-        .groupBy(STAY, F.col("chartoffset").cast("long").alias("minute"))
-        .agg(F.min("pao2fio2ratio").alias("pao2fio2ratio"))
-    )
-    return _in_interval(lowest, episodes, "starttime", "endtime").select(
+    readings = pf_readings(bg).withColumn("minute", F.col("chartoffset").cast("long"))
+    minutes = _in_interval(readings, episodes, "starttime", "endtime", ("pao2fio2ratio",))
+    return minutes.select(
         STAY,
         F.col("minute").cast("int").alias("chartoffset"),
         *_split(F.col("pao2fio2ratio"), F.col("inside")),

@@ -26,11 +26,18 @@ def cohort(stays: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def hour_grid(stays: DataFrame, lead_hours: int = rules.GRID_LEAD_HOURS) -> DataFrame:
-    """A row per stay and hour, from ``lead_hours`` before admission to discharge."""
+    """A row per stay and hour, from ``lead_hours`` before admission to discharge.
+
+    One file of stays becomes hundreds of times as many rows, so the stays are spread
+    first; with the number given, adaptive execution does not merge them again.
+    """
     last = F.col("los_icu_hours")
+    spread = int(stays.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         cohort(stays)
         .where(last >= -lead_hours)
+        .select(STAY, "los_icu_hours")
+        .repartition(spread, STAY)
         .select(STAY, F.explode(F.sequence(F.lit(-lead_hours), last)).alias("hr"))
     )
 

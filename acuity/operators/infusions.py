@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acuity import rules
-from acuity.functions import after_exclusions, like_any, minute_key, strict_or_lenient_number
+from acuity.functions import after_exclusions, like_any, minute_key, one_of, strict_or_lenient_number
 from acuity.operators.weights import dosing_weights
 from acuity.rules import Concentration, DrugRule
 
@@ -35,8 +35,8 @@ def _holds_for(drugs: Sequence[DrugRule], condition) -> Column:
 
 
 def _selects(drug: DrugRule) -> Column:
-    return like_any(F.col("drugname"), drug.select_like) & after_exclusions(
-        F.col("drugrate"), drug.drop_rates, drug.drop_rates_like
+    return like_any("drugname", drug.select_like) & after_exclusions(
+        "drugrate", drug.drop_rates, drug.drop_rates_like
     )
 
 
@@ -86,7 +86,7 @@ def _orders_in_time(orders: DataFrame, drugs: Sequence[DrugRule]) -> DataFrame:
         outcomes = drug.concentrations()
         chain = F.when(F.lit(False), F.lit(None).cast("int"))
         for rule in drug.orders:
-            named_so = F.col("drugname").isin(*rule.names)
+            named_so = one_of("drugname", rule.names)
             if rule.like:
                 named_so = named_so | F.col("drugname").like(rule.like)
             if rule.dosage:
@@ -129,7 +129,7 @@ def _minute_facts(
     series = parsed.select(
         *MINUTE,
         "infusiondrugid",
-        F.when(_holds_for(drugs, lambda d: like_any(F.col("drugname"), d.fill_like)), known).alias(
+        F.when(_holds_for(drugs, lambda d: like_any("drugname", d.fill_like)), known).alias(
             "known"
         ),
         _holds_for(drugs, lambda d: F.col("drugname") == d.blank_label).alias("blank"),
@@ -185,7 +185,7 @@ def impute_unit_labels(
     """
     drugs = [d for d in drugs if d.imputed]
     name = F.col("drugname")
-    rows = parsed.where(F.col("drug").isin(*[d.name for d in drugs])).withColumn(
+    rows = parsed.where(one_of("drug", [d.name for d in drugs])).withColumn(
         "minute", minute_key(F.col("infusionoffset"))
     )
     facts = _minute_facts(rows, drugs, orders, weights)
@@ -195,8 +195,8 @@ def impute_unit_labels(
             *[F.when(F.col("carried") == i, label) for i, label in enumerate(d.known_labels)]
         ),
     )
-    filled = F.col("unit_gaps") & _holds_for(drugs, lambda d: like_any(name, d.fill_like))
-    kept = ~F.col("unit_gaps") & _holds_for(drugs, lambda d: like_any(name, d.keep_like))
+    filled = F.col("unit_gaps") & _holds_for(drugs, lambda d: like_any("drugname", d.fill_like))
+    kept = ~F.col("unit_gaps") & _holds_for(drugs, lambda d: like_any("drugname", d.keep_like))
     return (
         rows.join(facts, MINUTE)
         .where(filled | kept)
@@ -214,7 +214,7 @@ def label_rate(rate: Column, weight: Column, drugs: Sequence[DrugRule]) -> Colum
             unit = rules.UNITS[unit_name]
             divisor = unit.denominator * weight if unit.by_weight else F.lit(unit.denominator)
             chain = chain.when(
-                F.col("drugname").isin(*labels), F.try_divide(unit.numerator * rate, divisor)
+                one_of("drugname", labels), F.try_divide(unit.numerator * rate, divisor)
             )
         return chain
 
@@ -256,9 +256,9 @@ def normalise_rates(labelled: DataFrame, drugs: Sequence[DrugRule] = rules.DRUGS
     drugs = [d for d in drugs if d.imputed]
     weight = F.coalesce(F.col("weight"), F.lit(float(rules.DEFAULT_WEIGHT_KG)))
     by_label = _holds_for(
-        drugs, lambda d: F.col("drugname").isin(*[x for _, labels in d.units for x in labels])
+        drugs, lambda d: one_of("drugname", [x for _, labels in d.units for x in labels])
     )
-    by_volume = _holds_for(drugs, lambda d: F.col("drugname").isin(*d.volume_labels))
+    by_volume = _holds_for(drugs, lambda d: one_of("drugname", d.volume_labels))
     one_rate = F.array(F.struct(label_rate(F.col("rate"), weight, drugs).alias("dose")))
     doses = F.when(by_label, one_rate).when(by_volume, _volume_rates(F.col("rate"), weight, drugs))
     identity = ["drug", "infusiondrugid", "patientunitstayid", "infusionoffset", "minute", "drugname"]

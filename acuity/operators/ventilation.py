@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from acuity import rules
-from acuity.functions import like_any
+from acuity.functions import like_any, one_of
 
 EVENT = (
     "cplgeneralid",
@@ -55,9 +55,9 @@ def _closing(**changed: Column) -> Column:
 def classify_vent_events(careplan: DataFrame) -> DataFrame:
     """Airway and ventilation records with their on/off flag."""
     value = F.col("cplitemvalue")
-    on = like_any(value, rules.VENT_ON_LIKE) | value.isin(*rules.VENT_ON)
+    on = like_any("cplitemvalue", rules.VENT_ON_LIKE) | one_of("cplitemvalue", rules.VENT_ON)
     return careplan.where(
-        F.col("cplgroup").isin(*rules.VENT_GROUPS) & (value != "") & F.col("cplitemoffset").isNotNull()
+        one_of("cplgroup", rules.VENT_GROUPS) & (value != "") & F.col("cplitemoffset").isNotNull()
     ).select(*EVENT[:-1], F.when(on, 1).otherwise(0).alias("vent_flag"))
 
 

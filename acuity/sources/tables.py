@@ -20,6 +20,8 @@ SORT_WITHIN_STAY = {
     "ventilation": "starttime",
     "sofa": "hr",
 }
+# the long dose table is read back drug by drug
+PARTITIONED = {"vasoactive": ["drug"]}
 
 
 def read_inputs(
@@ -52,14 +54,16 @@ def replace_table(
     Spark split a stay that is too big for one file and merge small ones.
     """
     spark = df.sparkSession
-    order = ["patientunitstayid"]
+    folders = PARTITIONED.get(name, [])
+    order = [*folders, "patientunitstayid"]
     if name in SORT_WITHIN_STAY:
         order.append(SORT_WITHIN_STAY[name])
     writer = (
-        df.hint("rebalance", "patientunitstayid")
+        df.hint("rebalance", *folders, "patientunitstayid")
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .format("parquet")
+        .partitionBy(*folders)
     )
     if path is not None:
         target = f"{path.rstrip('/')}/{name}"
