@@ -1,0 +1,73 @@
+from acuity.operators.weights import clean_weights, dosing_weights
+from tests.conftest import rows_of
+
+
+def stays(table, pairs):
+    return table(
+        "icustay_detail",
+        [
+            {"patientunitstayid": stay, "admissionweight": adm, "dischargeweight": dis}
+            for stay, adm, dis in pairs
+        ],
+    )
+
+
+def test_repairs_shifted_decimal_points(table):
+    given = [
+        (1, 8.0, 80.0),
+        (2, 0.8, 80.0),
+        (3, 800.0, 80.0),
+        (4, 80.0, 1200.0),
+        (5, 80.0, 8.0),
+        (6, 70.0, None),
+        (7, None, None),
+        (8, 0.0, 70.0),
+        (9, 2.0, None),
+        (10, 70.0, 68.0),
+        (11, None, 61.0),
+        (12, 70.0, -1.0),
+        (1355321, 0.5, 90.0),
+        (2387379, 100.0, 95.0),
+    ]
+    assert rows_of(clean_weights(stays(table, given))) == [
+        (1, 80.0, 80.0),
+        (2, 80.0, 80.0),
+        (3, 80.0, 80.0),
+        (4, 80.0, 120.0),
+        (5, 80.0, None),
+        (6, 70.0, None),
+        (7, None, None),
+        (9, None, None),
+        (10, 70.0, 68.0),
+        (11, None, 61.0),
+        (1355321, 90.0, 90.0),
+        (2387379, 95.0, 95.0),
+    ]
+
+
+def test_ratio_limits(table):
+    given = [
+        (1, 15.0, 100.0),  # 0.15 counts as too low
+        (2, 16.0, 100.0),
+        (3, 690.0, 100.0),  # 6.9 is not yet too high
+        (4, 700.0, 100.0),
+        (5, 20.0, 140.0),
+        (6, 21.0, 210.0),  # too low, but neither weight is in a repaired range
+    ]
+    assert rows_of(clean_weights(stays(table, given))) == [
+        (1, 150.0, 100.0),
+        (2, 16.0, 100.0),
+        (3, 690.0, 100.0),
+        (4, 70.0, 100.0),
+        (5, 200.0, 140.0),
+        (6, 21.0, 210.0),
+    ]
+
+
+def test_copies_count_once(table):
+    assert clean_weights(stays(table, [(1, 70.0, 70.0)] * 3)).count() == 1
+
+
+def test_dosing_weight_prefers_admission(table):
+    cleaned = clean_weights(stays(table, [(1, 70.0, 75.0), (2, None, 75.0), (3, 1.0, None)]))
+    assert rows_of(dosing_weights(cleaned)) == [(1, 70.0), (2, 75.0), (3, None)]
