@@ -23,10 +23,11 @@ EVENT = (
     "cplitemvalue",
     "vent_flag",
 )
+STAY = "patientunitstayid"
 
 
 def _stay() -> WindowSpec:
-    return Window.partitionBy("patientunitstayid")
+    return Window.partitionBy(STAY)
 
 
 def _in_time() -> WindowSpec:
@@ -42,8 +43,8 @@ def _active() -> Column:
 
 
 def _event(**changed: Column) -> Column:
-    """The row as a struct, with some fields replaced."""
-    return F.struct(*[changed.get(c, F.col(c)).alias(c) for c in EVENT])
+    """The row's record without its stay, as a struct with some fields replaced."""
+    return F.struct(*[changed.get(c, F.col(c)).alias(c) for c in EVENT if c != STAY])
 
 
 def _closing(**changed: Column) -> Column:
@@ -52,6 +53,14 @@ def _closing(**changed: Column) -> Column:
     )
 
 
+def _events(df: DataFrame, records: Column) -> DataFrame:
+    """A row per record of the array.
+
+    The stay stays outside the records, so that Spark still knows how rows are laid out.
+    """
+    return df.select(STAY, F.inline(records)).select(*EVENT)
+
+
 def classify_vent_events(careplan: DataFrame) -> DataFrame:
     """Airway and ventilation records with their on/off flag."""
     value = F.col("cplitemvalue")
@@ -68,24 +77,20 @@ def resolve_same_instant(events: DataFrame) -> DataFrame:
     with the smallest text; of the off-rows left the one with the largest text stays.
     Equal texts go by row id.
     """
-    row = F.struct("cplitemvalue", "cplgeneralid", "activeupondischarge", "cplgroup")
-    settled = events.groupBy("patientunitstayid", "cplitemoffset").agg(
-        F.min(F.when(_on(), row)).alias("on_row"),
-        F.max(F.when(~_on(), row)).alias("off_row"),
+    fields = ("cplitemvalue", "cplgeneralid", "activeupondischarge", "cplgroup")
+    settled = events.groupBy(STAY, "cplitemoffset").agg(
+        F.min(F.when(_on(), F.struct(*fields))).alias("on_row"),
+        F.max(F.when(~_on(), F.struct(*fields))).alias("off_row"),
         F.count(F.when(~_on(), 1)).alias("off_rows"),
     )
 
     def kept(source: str, flag: int) -> Column:
-        inside = {c: F.col(source)[c] for c in row_fields}
-        return _event(vent_flag=F.lit(flag), **inside)
+        return _event(vent_flag=F.lit(flag), **{c: F.col(source)[c] for c in fields})
 
-    row_fields = ("cplitemvalue", "cplgeneralid", "activeupondischarge", "cplgroup")
     on_row = F.when(F.col("on_row").isNotNull(), kept("on_row", 1))
-    off_survives = F.when(F.col("on_row").isNull(), F.col("off_rows") >= 1).otherwise(
-        F.col("off_rows") >= 2
-    )
-    off_row = F.when(off_survives, kept("off_row", 0))
-    return settled.select(F.inline(F.filter(F.array(on_row, off_row), lambda r: r.isNotNull())))
+    taken_away = F.when(F.col("on_row").isNotNull(), 1).otherwise(0)
+    off_row = F.when(F.col("off_rows") > taken_away, kept("off_row", 0))
+    return _events(settled, F.filter(F.array(on_row, off_row), lambda r: r.isNotNull()))
 
 
 def trim_leading_off(events: DataFrame) -> DataFrame:
@@ -106,8 +111,9 @@ def close_open_tail(events: DataFrame, minutes: int = rules.VENT_OPEN_TAIL_MINUT
     """A stay that ends on, not active at discharge: add an off-row some minutes later."""
     open_tail = F.col("is_last") & _on() & _active().eqNullSafe(False)
     later = _closing(cplitemoffset=F.col("cplitemoffset") + minutes)
-    return events.withColumn("is_last", _is_last()).select(
-        F.inline(F.when(open_tail, F.array(_event(), later)).otherwise(F.array(_event())))
+    return _events(
+        events.withColumn("is_last", _is_last()),
+        F.when(open_tail, F.array(_event(), later)).otherwise(F.array(_event())),
     )
 
 
@@ -122,30 +128,31 @@ def settle_last_pair(events: DataFrame) -> DataFrame:
     )
     return (
         events.withColumns({"is_last": _is_last(), "before": before})
-        .select(
-            F.when(rewritten, _closing(activeupondischarge=F.lit(False)))
-            .otherwise(_event())
-            .alias("event")
+        .withColumn("rewritten", F.coalesce(rewritten, F.lit(False)))
+        .withColumns(
+            {
+                "activeupondischarge": F.when(F.col("rewritten"), False).otherwise(_active()),
+                "cplitemvalue": F.when(F.col("rewritten"), rules.VENT_CLOSING_VALUE).otherwise(
+                    F.col("cplitemvalue")
+                ),
+            }
         )
-        .select("event.*")
+        .select(*EVENT)
     )
 
 
 def close_at_discharge(events: DataFrame, stays: DataFrame) -> DataFrame:
     """A stay that ends on and active: add an off-row at unit discharge."""
-    discharge = stays.select("patientunitstayid", "unitdischargeoffset")
+    discharge = stays.select(STAY, "unitdischargeoffset")
     open_tail = F.col("is_last") & _on() & _active().eqNullSafe(True)
     at_discharge = _closing(
         activeupondischarge=F.lit(False),
         cplitemoffset=F.col("unitdischargeoffset"),
         cplgroup=F.lit(rules.VENT_CLOSING_GROUP),
     )
-    return (
-        events.withColumn("is_last", _is_last())
-        .join(discharge, "patientunitstayid", "left")
-        .select(
-            F.inline(F.when(open_tail, F.array(_event(), at_discharge)).otherwise(F.array(_event())))
-        )
+    return _events(
+        events.withColumn("is_last", _is_last()).join(discharge, STAY, "left"),
+        F.when(open_tail, F.array(_event(), at_discharge)).otherwise(F.array(_event())),
     )
 
 
@@ -167,45 +174,44 @@ def episodes(events: DataFrame, mode: str = "reference") -> DataFrame:
         return _islands(events)
     if mode != "reference":
         raise ValueError(f"unknown episode mode: {mode}")
-    stay, moment = "patientunitstayid", "moment"
+    moment = "moment"
     moments = (
         events.select(
-            stay,
+            STAY,
             "vent_flag",
             "cplitemoffset",
             F.lead("vent_flag").over(_in_time()).alias("next_flag"),
             F.lead("cplitemoffset").over(_in_time()).alias("next_offset"),
         )
         .where(_on() & F.col("next_flag").isNotNull())
-        .select(stay, F.explode(F.array("cplitemoffset", "next_offset")).alias(moment))
+        .select(STAY, F.explode(F.array("cplitemoffset", "next_offset")).alias(moment))
         .where(F.col(moment).isNotNull())
         .distinct()
     )
     ordered = _stay().orderBy(moment)
     return (
         moments.select(
-            stay,
+            STAY,
             F.col(moment).alias("starttime"),
             F.lead(moment).over(ordered).alias("endtime"),
             F.row_number().over(ordered).alias("position"),
         )
         .where((F.col("position") % 2 == 1) & F.col("endtime").isNotNull())
-        .select(stay, "starttime", "endtime")
+        .select(STAY, "starttime", "endtime")
     )
 
 
 def _islands(events: DataFrame) -> DataFrame:
     """The runs are numbered by the off-rows seen so far; the next off-row ends a run."""
-    stay = "patientunitstayid"
     so_far = _in_time().rowsBetween(Window.unboundedPreceding, -1)
     return (
         events.where(F.col("cplitemoffset").isNotNull())
         .withColumn("run", F.coalesce(F.count(F.when(~_on(), 1)).over(so_far), F.lit(0)))
-        .groupBy(stay, "run")
+        .groupBy(STAY, "run")
         .agg(
             F.min(F.when(_on(), F.col("cplitemoffset"))).alias("starttime"),
             F.min(F.when(~_on(), F.col("cplitemoffset"))).alias("endtime"),
         )
         .where(F.col("starttime").isNotNull() & F.col("endtime").isNotNull())
-        .select(stay, "starttime", "endtime")
+        .select(STAY, "starttime", "endtime")
     )

@@ -1,0 +1,144 @@
+"""Shape of the physical plans, and results that must not depend on the layout."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as job
+from acuity import contracts
+from acuity.operators.grid import hour_grid
+from acuity.operators.pressures import coalesce_pressures
+from acuity.operators.ventilation import episodes, vent_events
+from acuity.plans.scoring import run
+from acuity.sources.event_tables import clinical_inputs
+from acuity.sources.tables import build, read_inputs
+from tests.conftest import SF_DIR, rows_of
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(df) -> list[str]:
+    return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(df))
+
+
+@pytest.fixture
+def inputs(spark):
+    return clinical_inputs(spark, SF_DIR)
+
+
+@pytest.mark.parametrize("name", sorted(job.queries()))
+def test_no_pairing_joins_and_no_python(spark, name):
+    if name == "written_tables":
+        pytest.skip("runs while it is built")
+    text = plan(job.queries()[name](spark, SF_DIR))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "ArrowEval"):
+        assert operator not in text
+
+
+def test_pressures_take_one_shuffle_with_hash_aggregation(inputs):
+    df = coalesce_pressures(inputs["pivoted_vital"], inputs["vitalaperiodic"], inputs["vitalperiodic"])
+    assert len(exchanges(df)) == 1
+    assert "SortAggregate" not in plan(df)
+    assert plan(df).count("HashAggregate") == 2
+
+
+def test_ventilation_shares_one_layout_by_stay(spark, inputs):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stays = spark.createDataFrame([(1, 9)], "patientunitstayid long, unitdischargeoffset int")
+        by = exchanges(episodes(vent_events(inputs["careplangeneral"], stays)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # per minute, per stay, and the discharge times
+    assert len(by) == 3
+    assert sum("cplitemoffset" in keys for keys in by) == 1
+
+
+def test_windows_run_on_reduced_rows_only(spark, inputs):
+    """Below every window of the score lies an aggregation, so its input is bounded."""
+    text = plan(run(inputs)["sofa"])
+    lines = text.splitlines()
+    for i, line in enumerate(lines):
+        if re.search(r"\bWindow \[", line):
+            assert any("Aggregate" in below for below in lines[i:]), line
+
+
+def test_pressure_scan_reads_its_columns_only(spark, tmp_path):
+    table = spark.range(10).select(
+        F.col("id").alias("patientunitstayid"),
+        F.lit(1).alias("observationoffset"),
+        *[F.lit(70.0).alias(c) for c in ("systemicsystolic", "systemicdiastolic", "systemicmean", "other")],
+    )
+    table.write.parquet(str(tmp_path / "vitalperiodic"))
+    df = contracts.conform(spark.read.parquet(str(tmp_path / "vitalperiodic")), "vitalperiodic")
+    text = plan(df.groupBy("patientunitstayid").agg(F.min("systemicmean")))
+    assert "ReadSchema: struct<patientunitstayid:bigint,systemicmean:double>" in text
+
+
+def test_score_does_not_depend_on_row_order_or_layout(spark, inputs):
+    shuffled = {n: df.orderBy(F.rand(3)).repartition(5) for n, df in inputs.items()}
+    assert rows_of(run(inputs)["sofa"]) == rows_of(run(shuffled)["sofa"])
+
+
+def test_score_invariants(inputs):
+    sofa = run(inputs)["sofa"]
+    organs = ["respiration", "coagulation", "liver", "cardiovascular", "cns", "renal"]
+    bad = F.lit(False)
+    for organ in organs:
+        now, day = F.col(organ), F.col(f"{organ}_24hours")
+        bad = bad | (now.isNotNull() & ~now.between(0, 4)) | ~day.between(0, 4) | (F.coalesce(now, F.lit(0)) > day)
+    bad = bad | ~F.col("SOFA_24hours").between(0, 24) | (F.col("hr") < 0)
+    sofa = sofa.cache()
+    assert sofa.where(bad).count() == 0
+    grid = hour_grid(inputs["icustay_detail"]).where("hr >= 0")
+    keys = sofa.select("patientunitstayid", "hr")
+    assert keys.count() == keys.distinct().count() == grid.count()
+    sofa.unpersist()
+
+
+def test_islands_are_disjoint_and_ordered(inputs):
+    found = rows_of(episodes(vent_events(inputs["careplangeneral"], inputs["icustay_detail"]), "islands"))
+    assert found
+    for (stay, start, end), (other, later, _) in zip(found, found[1:]):
+        assert start <= end
+        assert stay != other or end < later
+
+
+def test_written_tables_equal_the_direct_ones(spark, inputs, tmp_path):
+    direct = run(inputs)
+    written = build(inputs, path=str(tmp_path / "out"))
+    assert sorted(written) == sorted(direct)
+    for name in ("weight", "norepinephrine", "dobutamine", "ventilation", "blood_pressure", "sofa"):
+        assert written[name].columns == direct[name].columns
+        assert rows_of(written[name]) == rows_of(direct[name])
+
+
+def test_tables_are_replaced_in_a_database(spark, inputs, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS scoring LOCATION '{tmp_path}/db'")
+    try:
+        for name, df in inputs.items():
+            df.write.mode("overwrite").saveAsTable(f"scoring.{name}")
+        first = build(read_inputs(spark, database="scoring"), database="scoring")["sofa"].count()
+        again = build(read_inputs(spark, database="scoring"), database="scoring")["sofa"].count()
+        assert first == again > 0
+        assert spark.catalog.tableExists("scoring.epinephrine")
+    finally:
+        spark.sql("DROP DATABASE scoring CASCADE")
+
+
+def test_contracts(spark, table, inputs):
+    with pytest.raises(ValueError, match="lacks the columns"):
+        contracts.conform(spark.range(1), "pivoted_bg")
+    with pytest.raises(ValueError, match="missing input tables"):
+        contracts.conform_all({"pivoted_bg": inputs["pivoted_bg"]})
+    upper = spark.createDataFrame([(1, 5, 80.0, 40.0)], "PatientUnitStayID int, ChartOffset long, PaO2 double, FiO2 double")
+    conformed = contracts.conform(upper, "pivoted_bg")
+    assert [(f.name, f.dataType) for f in conformed.schema] == [
+        (f.name, f.dataType) for f in contracts.schema("pivoted_bg")
+    ]
+    counted = {(t, r): n for t, r, n in contracts.violations({"pivoted_bg": conformed}).collect()}
+    assert counted["pivoted_bg", "fio2 is no fraction"] == 1
+    assert counted["pivoted_bg", "chartoffset is null"] == 0
