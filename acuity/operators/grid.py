@@ -28,11 +28,12 @@ def cohort(stays: DataFrame, strict: bool = False) -> DataFrame:
 def hour_grid(stays: DataFrame, lead_hours: int = rules.GRID_LEAD_HOURS) -> DataFrame:
     """A row per stay and hour, from ``lead_hours`` before admission to discharge.
 
-    One file of stays becomes hundreds of times as many rows, so the stays are spread
-    first; with the number given, adaptive execution does not merge them again.
+    A stay becomes hundreds of rows, so the stays are spread first, wider than by
+    default and in the layout of the steps to come. With the number given, adaptive
+    execution does not merge the partitions for being small at this point.
     """
     last = F.col("los_icu_hours")
-    spread = int(stays.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = 2 * int(stays.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         cohort(stays)
         .where(last >= -lead_hours)
@@ -66,27 +67,22 @@ REDUCERS = {"min": F.min, "max": F.max, "sum": F.sum}
 def hourly_panel(grid: DataFrame, signals: Sequence[Signal]) -> DataFrame:
     """The grid with every signal reduced to its hour, NULL where there is no data.
 
-    Grid rows and measurements are stacked and reduced by one aggregation, so all
-    tables share one shuffle of rows already reduced on the map side, and no join
-    is needed however many signals there are.
+    The measurements of all signals are stacked and reduced by one aggregation, so they
+    share one shuffle of rows already reduced on the map side. What is left, at most a
+    row per hour, moves to the grid's layout by stay; the grid itself, made where its
+    stay lies, is never shuffled, and windows over a stay can follow without a shuffle.
     """
     measures = [m for s in signals for m in s.measures]
-    stacked = [grid.select(STAY, "hr", F.lit(True).alias("on_grid"))]
-    for signal in signals:
-        stacked.append(
-            signal.table.where(F.col(signal.offset).isNotNull()).select(
-                STAY,
-                hour_of(F.col(signal.offset)).alias("hr"),
-                *[value.cast("double").alias(name) for name, value, _ in signal.measures],
-            )
+    stacked = [
+        signal.table.where(F.col(signal.offset).isNotNull()).select(
+            STAY,
+            hour_of(F.col(signal.offset)).alias("hr"),
+            *[value.cast("double").alias(name) for name, value, _ in signal.measures],
         )
+        for signal in signals
+    ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
-    return (
-        rows.groupBy(STAY, "hr")
-        .agg(
-            F.max("on_grid").alias("on_grid"),
-            *[REDUCERS[how](name).alias(name) for name, _, how in measures],
-        )
-        .where("on_grid")
-        .drop("on_grid")
+    hourly = rows.groupBy(STAY, "hr").agg(
+        *[REDUCERS[how](name).alias(name) for name, _, how in measures]
     )
+    return grid.join(hourly, [STAY, "hr"], "left")

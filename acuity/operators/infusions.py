@@ -8,7 +8,7 @@ once, on (drug, stay, minute), to pick those facts up.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -40,13 +40,22 @@ def _selects(drug: DrugRule) -> Column:
     )
 
 
-def _selected(infusions: DataFrame, drugs: Sequence[DrugRule], strict: bool) -> DataFrame:
-    chosen = F.filter(
-        F.array(*[F.when(_selects(d), F.lit(d.name)) for d in drugs]), lambda name: name.isNotNull()
+def _per_drug(df: DataFrame, matches: Mapping[str, Column]) -> DataFrame:
+    """The rows that match a drug, once for each drug they match, with ``drug``."""
+    if len(matches) == 1:
+        ((name, matched),) = matches.items()
+        return df.where(matched).withColumn("drug", F.lit(name))
+    names = F.array(*[F.when(matched, F.lit(name)) for name, matched in matches.items()])
+    return (
+        df.where(reduce(or_, matches.values()))
+        .withColumn("drug", F.explode(names))
+        .where(F.col("drug").isNotNull())
     )
-    wanted = reduce(or_, [_selects(d) for d in drugs])
-    return infusions.where(wanted).select(
-        F.explode(chosen).alias("drug"),
+
+
+def _selected(infusions: DataFrame, drugs: Sequence[DrugRule], strict: bool) -> DataFrame:
+    return _per_drug(infusions, {d.name: _selects(d) for d in drugs}).select(
+        "drug",
         *KEPT,
         strict_or_lenient_number(F.col("drugrate"), strict).alias("rate"),
     )
@@ -78,9 +87,6 @@ def _known_label(drug: DrugRule) -> Column:
 def _orders_in_time(orders: DataFrame, drugs: Sequence[DrugRule]) -> DataFrame:
     """Uncancelled orders as (drug, stay, minute of start, kind, end)."""
     drugs = [d for d in drugs if d.order_like]
-    named = F.array(
-        *[F.when(F.col("drugname").like(d.order_like), F.lit(d.name)) for d in drugs]
-    )
 
     def kind(drug: DrugRule) -> Column:
         outcomes = drug.concentrations()
@@ -94,17 +100,16 @@ def _orders_in_time(orders: DataFrame, drugs: Sequence[DrugRule]) -> DataFrame:
             chain = chain.when(named_so, F.lit(outcomes.index(rule.concentration)))
         return chain.otherwise(F.lit(outcomes.index(drug.volume_default)))
 
-    return (
-        orders.where((F.col("drugordercancelled") == "No") & F.col("drugstartoffset").isNotNull())
-        .where(reduce(or_, [F.col("drugname").like(d.order_like) for d in drugs]))
-        .withColumn("drug", F.explode(F.filter(named, lambda name: name.isNotNull())))
-        .select(
-            "drug",
-            "patientunitstayid",
-            minute_key(F.col("drugstartoffset")).alias("minute"),
-            _by_drug(drugs, kind).alias("kind"),
-            F.col("drugstopoffset").alias("stop"),
-        )
+    usable = orders.where(
+        (F.col("drugordercancelled") == "No") & F.col("drugstartoffset").isNotNull()
+    )
+    named = {d.name: like_any("drugname", [d.order_like]) for d in drugs}
+    return _per_drug(usable, named).select(
+        "drug",
+        "patientunitstayid",
+        minute_key(F.col("drugstartoffset")).alias("minute"),
+        _by_drug(drugs, kind).alias("kind"),
+        F.col("drugstopoffset").alias("stop"),
     )
 
 
@@ -231,22 +236,24 @@ def volume_rate(rate: Column, weight: Column, fluid: Concentration) -> Column:
 
 
 def _volume_rates(rate: Column, weight: Column, drugs: Sequence[DrugRule]) -> Column:
-    """Distinct dose rates of a ml/hr row: one per concentration among orders in force."""
+    """Dose rates of a ml/hr row at every concentration, and whether an order says so."""
 
     def of_drug(drug: DrugRule) -> Column:
-        if not drug.order_like:
-            return F.array(F.struct(volume_rate(rate, weight, drug.volume_default).alias("dose")))
         options = [
-            F.when(
-                F.col("in_force")[k], F.struct(volume_rate(rate, weight, fluid).alias("dose"))
-            )
+            (F.col("in_force")[k] if drug.order_like else F.lit(True), fluid)
             for k, fluid in enumerate(drug.concentrations())
         ]
-        return F.array_distinct(F.filter(F.array(*options), lambda option: option.isNotNull()))
+        return F.array(
+            *[_dose(volume_rate(rate, weight, fluid), valid) for valid, fluid in options]
+        )
 
     return _by_drug(drugs, of_drug)
 
 
+def _dose(rate: Column, valid: Column) -> Column:
+    return F.struct(rate.alias("dose"), valid.alias("valid"))
+
+
 def normalise_rates(labelled: DataFrame, drugs: Sequence[DrugRule] = rules.DRUGS) -> DataFrame:
     """Dose rates in mcg/kg/min of rows from :func:`impute_unit_labels`.
 
@@ -259,13 +266,15 @@ def normalise_rates(labelled: DataFrame, drugs: Sequence[DrugRule] = rules.DRUGS
         drugs, lambda d: one_of("drugname", [x for _, labels in d.units for x in labels])
     )
     by_volume = _holds_for(drugs, lambda d: one_of("drugname", d.volume_labels))
-    one_rate = F.array(F.struct(label_rate(F.col("rate"), weight, drugs).alias("dose")))
+    one_rate = F.array(_dose(label_rate(F.col("rate"), weight, drugs), F.lit(True)))
     doses = F.when(by_label, one_rate).when(by_volume, _volume_rates(F.col("rate"), weight, drugs))
     identity = ["drug", "infusiondrugid", "patientunitstayid", "infusionoffset", "minute", "drugname"]
     return (
         labelled.where(by_label | by_volume)
         .select(*identity, *PASSED_THROUGH, F.inline(doses))
-        # copies of a row count once; the rows already lie by (drug, stay, minute)
+        .where("valid")
+        .drop("valid")
+        # equal doses and copies of a row count once; rows lie by (drug, stay, minute) already
         .distinct()
         .select(*[c for c in identity if c != "minute"], F.round("dose", 4).alias("rate"), *PASSED_THROUGH)
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,21 +10,10 @@ from acuity import rules
 MEASURES = ("sbp", "dbp", "map")
 
 
-def _reading(rank: int, systolic: str, diastolic: str, mean: str, diastolic_in_check: bool = True) -> Column:
-    """One source's reading of a row; NULL when the row holds no data for it."""
-    s, d, m = F.col(systolic), F.col(diastolic), F.col(mean)
-    zero = F.lit(0)
-    second = d if diastolic_in_check else s
-    has_data = F.coalesce(s, zero) + F.coalesce(second, zero) + F.coalesce(m, zero) != 0
-    return F.when(
-        has_data,
-        F.struct(
-            F.lit(rank).alias("rank"),
-            s.alias("sbp"),
-            d.alias("dbp"),
-            F.round(F.coalesce(m, d + (s - d) / 3), 0).alias("map"),
-        ),
-    )
+def _reading(rank: int, systolic: str, diastolic: str, mean: str) -> list[Column]:
+    names = ("sbp", "dbp", "mean")
+    columns = [F.col(c).alias(n) for c, n in zip((systolic, diastolic, mean), names)]
+    return [F.lit(rank).alias("rank"), *columns]
 
 
 def pressure_readings(vital: DataFrame, aperiodic: DataFrame, periodic: DataFrame) -> DataFrame:
@@ -37,36 +24,24 @@ def pressure_readings(vital: DataFrame, aperiodic: DataFrame, periodic: DataFram
     The emptiness check of the monitored cuff looks at the systolic value twice and
     never at the diastolic one, so a diastolic value alone is not a reading there.
     """
-
-    def rows(df: DataFrame, offset: str, *readings: Column) -> DataFrame:
-        return df.select(
-            "patientunitstayid",
-            F.col(offset).alias("observationoffset"),
-            F.inline(F.filter(F.array(*readings), lambda r: r.isNotNull())),
-        )
-
-    sources = [
-        rows(
-            vital,
-            "chartoffset",
-            _reading(2, "ibp_systolic", "ibp_diastolic", "ibp_mean"),
-            _reading(4, "nibp_systolic", "nibp_diastolic", "nibp_mean"),
-        ),
-        rows(
-            aperiodic,
-            "observationoffset",
-            _reading(
-                3, "noninvasivesystolic", "noninvasivediastolic", "noninvasivemean",
-                diastolic_in_check=False,
-            ),
-        ),
-        rows(
-            periodic,
-            "observationoffset",
-            _reading(1, "systemicsystolic", "systemicdiastolic", "systemicmean"),
-        ),
-    ]
-    return reduce(DataFrame.unionByName, sources)
+    key, offset = "patientunitstayid", "observationoffset"
+    charted = F.array(
+        F.struct(*_reading(2, "ibp_systolic", "ibp_diastolic", "ibp_mean")),
+        F.struct(*_reading(4, "nibp_systolic", "nibp_diastolic", "nibp_mean")),
+    )
+    cuff = _reading(3, "noninvasivesystolic", "noninvasivediastolic", "noninvasivemean")
+    line = _reading(1, "systemicsystolic", "systemicdiastolic", "systemicmean")
+    readings = (
+        vital.select(key, F.col("chartoffset").alias(offset), F.inline(charted))
+        .unionByName(aperiodic.select(key, offset, *cuff))
+        .unionByName(periodic.select(key, offset, *line))
+    )
+    s, d, m = F.col("sbp"), F.col("dbp"), F.col("mean")
+    zero = F.lit(0)
+    second = F.when(F.col("rank") == 3, s).otherwise(d)
+    has_data = F.coalesce(s, zero) + F.coalesce(second, zero) + F.coalesce(m, zero) != 0
+    mean = F.round(F.coalesce(m, d + (s - d) / 3), 0)
+    return readings.where(has_data).select(key, offset, "rank", "sbp", "dbp", mean.alias("map"))
 
 
 def coalesce_pressures(vital: DataFrame, aperiodic: DataFrame, periodic: DataFrame) -> DataFrame:

@@ -90,7 +90,7 @@ def resolve_same_instant(events: DataFrame) -> DataFrame:
     on_row = F.when(F.col("on_row").isNotNull(), kept("on_row", 1))
     taken_away = F.when(F.col("on_row").isNotNull(), 1).otherwise(0)
     off_row = F.when(F.col("off_rows") > taken_away, kept("off_row", 0))
-    return _events(settled, F.filter(F.array(on_row, off_row), lambda r: r.isNotNull()))
+    return _events(settled, F.array(on_row, off_row)).where(F.col("vent_flag").isNotNull())
 
 
 def trim_leading_off(events: DataFrame) -> DataFrame:
