@@ -25,22 +25,21 @@ def cohort(stays: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def hour_grid(stays: DataFrame, lead_hours: int = rules.GRID_LEAD_HOURS) -> DataFrame:
-    """A row per stay and hour, from ``lead_hours`` before admission to discharge.
+def _by_stay(df: DataFrame) -> DataFrame:
+    """One layout by stay for the grid and what is put on it.
 
-    A stay becomes hundreds of rows, so the stays are spread first, wider than by
-    default and in the layout of the steps to come. With the number given, adaptive
-    execution does not merge the partitions for being small at this point.
+    A few bytes per stay become hundreds of rows here, so the layout is wider than by
+    default; with the number given, adaptive execution does not merge its partitions
+    for being small at this point.
     """
+    return df.repartition(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), STAY)
+
+
+def hour_grid(stays: DataFrame, lead_hours: int = rules.GRID_LEAD_HOURS) -> DataFrame:
+    """A row per stay and hour, from ``lead_hours`` before admission to discharge."""
     last = F.col("los_icu_hours")
-    spread = 2 * int(stays.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        cohort(stays)
-        .where(last >= -lead_hours)
-        .select(STAY, "los_icu_hours")
-        .repartition(spread, STAY)
-        .select(STAY, F.explode(F.sequence(F.lit(-lead_hours), last)).alias("hr"))
-    )
+    spread = _by_stay(cohort(stays).where(last >= -lead_hours).select(STAY, "los_icu_hours"))
+    return spread.select(STAY, F.explode(F.sequence(F.lit(-lead_hours), last)).alias("hr"))
 
 
 def bucket_hourly(df: DataFrame, offset: str, aggregates: Mapping[str, Column]) -> DataFrame:
@@ -64,25 +63,37 @@ class Signal:
 REDUCERS = {"min": F.min, "max": F.max, "sum": F.sum}
 
 
+def _stack(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def hourly_panel(grid: DataFrame, signals: Sequence[Signal]) -> DataFrame:
     """The grid with every signal reduced to its hour, NULL where there is no data.
 
     The measurements of all signals are stacked and reduced by one aggregation, so they
-    share one shuffle of rows already reduced on the map side. What is left, at most a
-    row per hour, moves to the grid's layout by stay; the grid itself, made where its
-    stay lies, is never shuffled, and windows over a stay can follow without a shuffle.
+    share one shuffle of rows already reduced on the map side, spread by stay and hour.
+    What is left, at most a row per hour, moves to the grid's layout by stay and is
+    stacked with it. The grid itself, made where its stay lies, is never shuffled, and
+    windows over a stay can follow without a shuffle.
     """
     measures = [m for s in signals for m in s.measures]
-    stacked = [
-        signal.table.where(F.col(signal.offset).isNotNull()).select(
-            STAY,
-            hour_of(F.col(signal.offset)).alias("hr"),
-            *[value.cast("double").alias(name) for name, value, _ in signal.measures],
-        )
-        for signal in signals
-    ]
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
-    hourly = rows.groupBy(STAY, "hr").agg(
+    measured = _stack(
+        [
+            signal.table.where(F.col(signal.offset).isNotNull()).select(
+                STAY,
+                hour_of(F.col(signal.offset)).alias("hr"),
+                *[value.cast("double").alias(name) for name, value, _ in signal.measures],
+            )
+            for signal in signals
+        ]
+    )
+    hourly = measured.groupBy(STAY, "hr").agg(
         *[REDUCERS[how](name).alias(name) for name, _, how in measures]
     )
-    return grid.join(hourly, [STAY, "hr"], "left")
+    return (
+        _stack([grid.withColumn("on_grid", F.lit(True)), _by_stay(hourly)])
+        .groupBy(STAY, "hr")
+        .agg(F.max("on_grid").alias("on_grid"), *[F.max(name).alias(name) for name, _, _ in measures])
+        .where("on_grid")
+        .drop("on_grid")
+    )

@@ -11,8 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot (stay, minute) even where a later step then shuffles again
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # rows laid out by stay can be joined on (stay, hour) as they lie
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -29,6 +29,13 @@ def inputs(spark):
     return clinical_inputs(spark, SF_DIR)
 
 
+@pytest.fixture
+def unbroadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("name", sorted(job.queries()))
 def test_no_pairing_joins_and_no_python(spark, name):
     if name == "written_tables":
@@ -45,13 +52,9 @@ def test_pressures_take_one_shuffle_with_hash_aggregation(inputs):
     assert plan(df).count("HashAggregate") == 2
 
 
-def test_ventilation_shares_one_layout_by_stay(spark, inputs):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        stays = spark.createDataFrame([(1, 9)], "patientunitstayid long, unitdischargeoffset int")
-        by = exchanges(episodes(vent_events(inputs["careplangeneral"], stays)))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_ventilation_shares_one_layout_by_stay(spark, inputs, unbroadcast):
+    stays = spark.createDataFrame([(1, 9)], "patientunitstayid long, unitdischargeoffset int")
+    by = exchanges(episodes(vent_events(inputs["careplangeneral"], stays)))
     # per minute, per stay, and the discharge times
     assert len(by) == 3
     assert sum("cplitemoffset" in keys for keys in by) == 1
@@ -66,6 +69,42 @@ def test_windows_run_on_reduced_rows_only(spark, inputs):
             assert any("Aggregate" in below for below in lines[i:]), line
 
 
+def test_records_are_never_spread_by_stay_alone(spark, inputs, unbroadcast, tmp_path):
+    """A shuffle by stay only moves rows that an aggregation or a window has bounded,
+    or tables with one row per stay."""
+    for name, df in inputs.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    sofa = run(read_inputs(spark, path=str(tmp_path)))["sofa"]
+    lines = plan(sofa).splitlines()
+    by_stay = 0
+    for i, line in enumerate(lines):
+        if not re.search(r"Exchange hashpartitioning\(patientunitstayid#\d+L, \d+\)", line):
+            continue
+        by_stay += 1
+        depth = line.index("Exchange")
+        child = []
+        for below in lines[i + 1 :]:
+            if len(below) - len(below.lstrip(" :+-")) <= depth:
+                break
+            child.append(below)
+        text = "\n".join(child)
+        assert "Aggregate" in text or re.search(r"FileScan parquet \[patientunitstayid#\d+L,(age|unitdischarge)", text)
+    assert by_stay >= 4
+
+
+def test_infusion_rows_are_spread_by_minute(spark, inputs, unbroadcast):
+    by = exchanges(run(inputs)["norepinephrine"])
+    assert sum("minute" in keys for keys in by) >= 2
+    joins = [line for line in plan(run(inputs)["norepinephrine"]).splitlines() if "SortMergeJoin [drug" in line]
+    assert len(joins) == 1
+
+
+def test_the_grid_is_not_shuffled_after_it_is_made(spark, inputs, unbroadcast):
+    lines = plan(run(inputs)["sofa"]).splitlines()
+    made = next(i for i, line in enumerate(lines) if "Generate explode(sequence(-24" in line)
+    assert not any("Exchange" in line for line in lines[:made])
+
+
 def test_pressure_scan_reads_its_columns_only(spark, tmp_path):
     table = spark.range(10).select(
         F.col("id").alias("patientunitstayid"),
