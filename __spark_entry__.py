@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -175,7 +176,7 @@ def _platelet_bucket(spark: SparkSession, folder: str) -> DataFrame:
 
 def _written(spark: SparkSession, folder: str) -> DataFrame:
     """Write every output table, then read the score back."""
-    target = f"{shared_folder(spark)}/score_tables"
+    target = f"{shared_folder(spark)}/score_tables_{uuid.uuid4().hex}"
     return build(ev.clinical_inputs(spark, folder), path=target)["sofa"].select(STAY, "hr", *WORST)
 
 
