@@ -141,23 +141,31 @@ def stays(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def infusions(obs: DataFrame) -> DataFrame:
+    """Labels come from a lookup table, so that a filter on them is worked out on its few rows."""
     i, stay = F.col("id"), F.col("stay")
-    label = _pick(INFUSION_LABELS, i % 24)
-    for position, (modulus, rest, other) in BLANK_LABELS.items():
-        label = F.when((i % 24 == position) & (stay % modulus != rest), other).otherwise(label)
+    names = [*INFUSION_LABELS, *[other for _, _, other in BLANK_LABELS.values()]]
+    rows = ", ".join(f"({n}, '{name}')" for n, name in enumerate(names))
+    labels = obs.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(position, drugname)")
+    position = i % 24
+    for k, (blank, (modulus, rest, _)) in enumerate(BLANK_LABELS.items(), len(INFUSION_LABELS)):
+        position = F.when((i % 24 == blank) & (stay % modulus != rest), k).otherwise(position)
     rate = (2 * ((i * 7) % 300) + 1).cast("string")
     for modulus, text in RATE_TEXTS.items():
         rate = F.when(i % modulus == 0, F.lit(text)).otherwise(rate)
-    return obs.select(
-        i.alias("infusiondrugid"),
-        stay.alias("patientunitstayid"),
-        F.col("slot").alias("infusionoffset"),
-        label.alias("drugname"),
-        rate.alias("drugrate"),
-        (i % 10).cast("string").alias("infusionrate"),
-        (i % 3).cast("string").alias("drugamount"),
-        F.lit("250").alias("volumeoffluid"),
-        F.lit(None).cast("string").alias("patientweight"),
+    return (
+        obs.select(
+            i.alias("infusiondrugid"),
+            stay.alias("patientunitstayid"),
+            F.col("slot").alias("infusionoffset"),
+            position.cast("int").alias("position"),
+            rate.alias("drugrate"),
+            (i % 10).cast("string").alias("infusionrate"),
+            (i % 3).cast("string").alias("drugamount"),
+            F.lit("250").alias("volumeoffluid"),
+            F.lit(None).cast("string").alias("patientweight"),
+        )
+        .join(labels, "position")
+        .drop("position")
     )
 
 
