@@ -180,6 +180,14 @@ def _written(spark: SparkSession, folder: str) -> DataFrame:
     return build(ev.clinical_inputs(spark, folder), path=target)["sofa"].select(STAY, "hr", *WORST)
 
 
+def _violations(spark: SparkSession, folder: str) -> DataFrame:
+    """Contract checks of the blood gas and care-plan tables."""
+    obs = ev.observations(spark, folder)
+    return contracts.violations(
+        {"pivoted_bg": ev.blood_gas(obs), "careplangeneral": ev.careplan(obs)}
+    )
+
+
 def _full(spark: SparkSession, folder: str) -> DataFrame:
     return run(ev.clinical_inputs(spark, folder))["sofa"]
 
@@ -234,9 +242,7 @@ def queries() -> dict[str, Query]:
         ),
         "sofa_full": _full,
         "written_tables": _written,
-        "contract_violations": lambda s, f: contracts.violations(
-            {"pivoted_bg": ev.blood_gas(ev.observations(s, f))}
-        ),
+        "contract_violations": _violations,
     }
     found = {name: _query(q) for name, q in plain.items()}
     for drug in rules.DRUGS:

@@ -44,6 +44,11 @@ KEYS = {
     "pivoted_lab": ("patientunitstayid", "chartoffset"),
     "pivoted_uo": ("patientunitstayid", "chartoffset"),
 }
+UNIQUE = {
+    "infusiondrug": "infusiondrugid",
+    "careplangeneral": "cplgeneralid",
+    "icustay_detail": "patientunitstayid",
+}
 
 
 def schema(table: str) -> StructType:
@@ -77,13 +82,20 @@ def conform_all(inputs: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def violations(inputs: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows that break a contract, counted per table and rule; one pass per table."""
+    """Rows that break a contract, counted per table and rule; one pass per table.
+
+    A row id or stay that should be unique is counted once for each copy too many.
+    """
     counts = []
     for table, df in inputs.items():
-        rules = {f"{k} is null": F.col(k).isNull() for k in KEYS[table]}
+        rules = {f"{k} is null": F.count(F.when(F.col(k).isNull(), 1)) for k in KEYS[table]}
         if table == "pivoted_bg":
-            rules["fio2 is no fraction"] = ~((F.col("fio2") > 0) & (F.col("fio2") <= 1))
-        checked = df.agg(*[F.count(F.when(broken, 1)).alias(r) for r, broken in rules.items()])
+            fraction = (F.col("fio2") > 0) & (F.col("fio2") <= 1)
+            rules["fio2 is no fraction"] = F.count(F.when(~fraction, 1))
+        if table in UNIQUE:
+            key = UNIQUE[table]
+            rules[f"{key} is repeated"] = F.count(key) - F.count_distinct(key)
+        checked = df.agg(*[broken.alias(r) for r, broken in rules.items()])
         counts.append(
             checked.select(
                 F.lit(table).alias("table"),

@@ -24,6 +24,10 @@ SORT_WITHIN_STAY = {
 PARTITIONED = {"vasoactive": ["drug"]}
 
 
+def _qualified(name: str, database: str | None) -> str:
+    return f"{database}.{name}" if database else name
+
+
 def read_inputs(
     spark: SparkSession,
     database: str | None = None,
@@ -40,7 +44,7 @@ def read_inputs(
         name = names.get(table, table)
         if path is not None:
             return spark.read.parquet(f"{path.rstrip('/')}/{name}")
-        return spark.table(f"{database}.{name}" if database else name)
+        return spark.table(_qualified(name, database))
 
     return {table: read(table) for table in contracts.INPUTS}
 
@@ -69,7 +73,7 @@ def replace_table(
         target = f"{path.rstrip('/')}/{name}"
         writer.save(target)
         return spark.read.parquet(target)
-    target = f"{database}.{name}" if database else name
+    target = _qualified(name, database)
     writer.saveAsTable(target)
     return spark.table(target)
 
@@ -84,7 +88,12 @@ def build(
     """Write every output table in dependency order; later tables read the written ones.
 
     Written tables end the lineage, so a lost executor costs one table's work at most.
+    The long dose table only serves the others: a catalog drops it in the end, in a
+    folder it stays beside them.
     """
-    return run(
+    out = run(
         inputs, mode, strict, keep=lambda name, df: replace_table(df, name, database, path)
     )
+    if path is None:
+        out["sofa"].sparkSession.sql(f"DROP TABLE IF EXISTS {_qualified('vasoactive', database)}")
+    return out

@@ -363,7 +363,12 @@ FINAL = {
     "contract_violations": "SELECT 'pivoted_bg' AS \"table\", 'fio2 is no fraction' AS rule,"
     " count(*) FILTER (NOT (fio2 > 0 AND fio2 <= 1)) AS \"rows\" FROM gases"
     " UNION ALL SELECT 'pivoted_bg', 'patientunitstayid is null', count(*) FILTER (stay IS NULL) FROM gases"
-    " UNION ALL SELECT 'pivoted_bg', 'chartoffset is null', count(*) FILTER (off IS NULL) FROM gases",
+    " UNION ALL SELECT 'pivoted_bg', 'chartoffset is null', count(*) FILTER (off IS NULL) FROM gases"
+    " UNION ALL SELECT 'careplangeneral', 'cplgeneralid is null', count(*) FILTER (id IS NULL) FROM careplan"
+    " UNION ALL SELECT 'careplangeneral', 'patientunitstayid is null', count(*) FILTER (stay IS NULL) FROM careplan"
+    " UNION ALL SELECT 'careplangeneral', 'cplitemoffset is null', count(*) FILTER (off IS NULL) FROM careplan"
+    " UNION ALL SELECT 'careplangeneral', 'cplgeneralid is repeated',"
+    "   (SELECT coalesce(sum(n - 1), 0)::BIGINT FROM (SELECT count(*) AS n FROM careplan GROUP BY id))",
 }
 
 

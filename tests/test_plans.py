@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as job
-from acuity import contracts
+from acuity import contracts, rules
+from acuity.operators import infusions as infusion
 from acuity.operators.grid import hour_grid
 from acuity.operators.pressures import coalesce_pressures
 from acuity.operators.ventilation import episodes, vent_events
+from acuity.operators.weights import clean_weights
 from acuity.plans.scoring import run
 from acuity.sources.event_tables import clinical_inputs
 from acuity.sources.tables import build, read_inputs
@@ -99,6 +101,36 @@ def test_infusion_rows_are_spread_by_minute(spark, inputs, unbroadcast):
     assert len(joins) == 1
 
 
+def test_a_hot_minute_is_split(spark, table, unbroadcast):
+    """One minute of one stay with most of the rows: several tasks share its join."""
+    label = "Epinephrine (mcg/min)"
+    rows = [(1, i, 0) for i in range(30000)] + [(s, 30000 + s, 0) for s in range(2, 300)]
+    infusions = spark.createDataFrame(
+        rows, "patientunitstayid long, infusiondrugid long, infusionoffset int"
+    ).select(
+        "*",
+        F.lit(label).alias("drugname"),
+        F.lit("8").alias("drugrate"),
+        *[F.lit("x").alias(c) for c in infusion.PASSED_THROUGH],
+    )
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        weight = clean_weights(table("icustay_detail", []))
+        df = infusion.vasoactive_rates(infusions, table("medication", []), weight, (rules.EPINEPHRINE,))
+        execution = df._jdf.queryExecution()
+        assert execution.toRdd().count() == len(rows)
+        assert "SortMergeJoin(skew=true)" in execution.executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_the_grid_is_not_shuffled_after_it_is_made(spark, inputs, unbroadcast):
     lines = plan(run(inputs)["sofa"]).splitlines()
     made = next(i for i, line in enumerate(lines) if "Generate explode(sequence(-24" in line)
@@ -164,6 +196,7 @@ def test_tables_are_replaced_in_a_database(spark, inputs, tmp_path):
         again = build(read_inputs(spark, database="scoring"), database="scoring")["sofa"].count()
         assert first == again > 0
         assert spark.catalog.tableExists("scoring.epinephrine")
+        assert not spark.catalog.tableExists("scoring.vasoactive")
     finally:
         spark.sql("DROP DATABASE scoring CASCADE")
 
@@ -181,3 +214,6 @@ def test_contracts(spark, table, inputs):
     counted = {(t, r): n for t, r, n in contracts.violations({"pivoted_bg": conformed}).collect()}
     assert counted["pivoted_bg", "fio2 is no fraction"] == 1
     assert counted["pivoted_bg", "chartoffset is null"] == 0
+    stays = table("icustay_detail", [{"patientunitstayid": s} for s in (1, 1, 1, 2, None)])
+    counted = {r: n for _, r, n in contracts.violations({"icustay_detail": stays}).collect()}
+    assert counted == {"patientunitstayid is null": 1, "patientunitstayid is repeated": 2}
