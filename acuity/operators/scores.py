@@ -92,17 +92,49 @@ def organ_points(panel: DataFrame) -> DataFrame:
 
 
 def rolling_worst(
-    df: DataFrame, columns: Sequence[str] = rules.ORGANS, hours: int = rules.ROLLING_HOURS
+    df: DataFrame,
+    columns: Sequence[str] = rules.ORGANS,
+    hours: int = rules.ROLLING_HOURS,
+    levels: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Worst value of the last hours per column, zero where nothing is known."""
-    w = last_hours(hours)
-    return df.withColumns(
-        {f"{c}_{hours}hours": F.coalesce(F.max(c).over(w), F.lit(0)) for c in columns}
+    """Worst value of the last hours per column, zero where nothing is known.
+
+    For columns that only take the given levels above zero, the worst is the highest
+    level last reached within these hours. The hour of last reaching each level is a
+    running maximum, which is cheaper than looking at all the hours for every row.
+    """
+    if levels is None:
+        w = last_hours(hours)
+        return df.withColumns(
+            {f"{c}_{hours}hours": F.coalesce(F.max(c).over(w), F.lit(0)) for c in columns}
+        )
+    so_far = (
+        Window.partitionBy(STAY)
+        .orderBy("hr")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    reached = {
+        f"{c}_reached_{level}": F.max(F.when(F.col(c) >= level, F.col("hr"))).over(so_far)
+        for c in columns
+        for level in levels
+    }
+
+    def worst(column: str) -> Column:
+        recent = [
+            F.when(F.col(f"{column}_reached_{level}") > F.col("hr") - hours, level)
+            for level in sorted(levels, reverse=True)
+        ]
+        return F.coalesce(*recent, F.lit(0))
+
+    return (
+        df.withColumns(reached)
+        .withColumns({f"{c}_{hours}hours": worst(c) for c in columns})
+        .drop(*reached)
     )
 
 
 def total_score(scored: DataFrame) -> DataFrame:
     """Rolling worst per organ and their sum; hours before admission only feed the windows."""
-    worst = rolling_worst(scored)
-    total = sum((F.col(f"{organ}_24hours") for organ in rules.ORGANS[1:]), F.col(f"{rules.ORGANS[0]}_24hours"))
-    return worst.withColumn("SOFA_24hours", total).where(F.col("hr") >= 0)
+    worst = rolling_worst(scored, levels=rules.ORGAN_LEVELS)
+    first, *rest = [F.col(f"{organ}_{rules.ROLLING_HOURS}hours") for organ in rules.ORGANS]
+    return worst.withColumn("SOFA_24hours", sum(rest, first)).where(F.col("hr") >= 0)

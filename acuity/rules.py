@@ -266,3 +266,4 @@ CATECHOLAMINE_LIMIT = 0.1
 MAP_BELOW = ((70, 1),)
 
 ORGANS = ("respiration", "coagulation", "liver", "cardiovascular", "cns", "renal")
+ORGAN_LEVELS = (1, 2, 3, 4)

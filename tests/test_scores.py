@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +108,17 @@ def test_output_columns(panel):
         "patientunitstayid", "hr", *COLUMNS, *rules.ORGANS, *[f"{o}_24hours" for o in rules.ORGANS], "SOFA_24hours",
     ]
     assert df.select(F.col("SOFA_24hours")).first()[0] == 0
+
+
+def test_levels_give_the_same_as_looking_at_every_hour(spark):
+    rng = random.Random(2)
+    data = [
+        (stay, hr, *[rng.choice([None, None, None, 0, 1, 2, 3, 4]) for _ in range(2)])
+        for stay in range(1, 8)
+        for hr in range(-24, 60)
+    ]
+    df = spark.createDataFrame(data, "patientunitstayid long, hr int, a int, b int")
+    plain = scores.rolling_worst(df, ["a", "b"], 6)
+    levels = scores.rolling_worst(df, ["a", "b"], 6, rules.ORGAN_LEVELS)
+    assert levels.columns == plain.columns
+    assert rows_of(levels) == rows_of(plain)
