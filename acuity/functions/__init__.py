@@ -1,5 +1,6 @@
 from acuity.functions.expressions import (
     after_exclusions,
+    case,
     like_any,
     one_of,
     points,
@@ -9,6 +10,7 @@ from acuity.functions.timeline import hour_of, minute_key
 
 __all__ = [
     "after_exclusions",
+    "case",
     "hour_of",
     "like_any",
     "minute_key",

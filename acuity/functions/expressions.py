@@ -20,7 +20,7 @@ def like_any(column: str, patterns: Sequence[str]) -> Column:
 
 def one_of(column: str, values: Sequence[str]) -> Column:
     """True where the text is one of the values."""
-    return F.expr(f"{column} IN ({_quoted(values)})")
+    return F.expr(f"{column} IN ({_quoted(values)})") if values else F.lit(False)
 
 
 def after_exclusions(column: str, values: Sequence[str], patterns: Sequence[str] = ()) -> Column:
@@ -41,13 +41,18 @@ def strict_or_lenient_number(column: Column, strict: bool) -> Column:
     return number.cast("double")
 
 
+def case(pairs: Iterable[tuple[Column, object]]) -> Column:
+    """The value of the first condition that holds, else NULL."""
+    (condition, value), *rest = pairs
+    chain = F.when(condition, value)
+    for condition, value in rest:
+        chain = chain.when(condition, value)
+    return chain
+
+
 def points(rules: Sequence[tuple[Column, int]], *inputs: Column) -> Column:
     """Score by the first rule that holds; 0 if none does, NULL without any input."""
-    (first, score), *rest = rules
-    chain = F.when(first, F.lit(score))
-    for condition, score in rest:
-        chain = chain.when(condition, F.lit(score))
-    return chain.when(F.coalesce(*inputs).isNotNull(), F.lit(0))
+    return case([*rules, (F.coalesce(*inputs).isNotNull(), 0)])
 
 
 def below(column: Column, bands: Sequence[tuple[float, int]]) -> list[tuple[Column, int]]:

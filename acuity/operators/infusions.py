@@ -16,9 +16,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acuity import rules
-from acuity.functions import after_exclusions, like_any, minute_key, one_of, strict_or_lenient_number
+from acuity.functions import (
+    after_exclusions,
+    case,
+    like_any,
+    minute_key,
+    one_of,
+    strict_or_lenient_number,
+)
 from acuity.operators.weights import dosing_weights
-from acuity.rules import Concentration, DrugRule
+from acuity.rules import Concentration, DrugRule, Unit
 
 MINUTE = ["drug", "patientunitstayid", "minute"]
 PASSED_THROUGH = ("infusionrate", "drugamount", "volumeoffluid", "patientweight")
@@ -75,31 +82,31 @@ def infusion_rejects(infusions: DataFrame, drugs: Sequence[DrugRule] = rules.DRU
 
 def _known_label(drug: DrugRule) -> Column:
     """Position of the label among the drug's known labels, NULL if it tells no unit."""
-    name = F.col("drugname")
-    chain = F.when(F.lit(False), F.lit(None).cast("int"))
-    for i, label in enumerate(drug.known_labels):
-        chain = chain.when(name == label, F.lit(i))
-    for pattern, label in drug.known_like:
-        chain = chain.when(name.like(pattern), F.lit(drug.known_labels.index(label)))
-    return chain
+    labels = [(one_of("drugname", [label]), i) for i, label in enumerate(drug.known_labels)]
+    others = [
+        (like_any("drugname", [pattern]), drug.known_labels.index(label))
+        for pattern, label in drug.known_like
+    ]
+    return case(labels + others)
+
+
+def _order_kind(drug: DrugRule) -> Column:
+    """Position of the order's concentration among those of the drug."""
+    outcomes = drug.concentrations()
+    pairs = []
+    for rule in drug.orders:
+        named_so = one_of("drugname", rule.names)
+        if rule.like:
+            named_so = named_so | like_any("drugname", [rule.like])
+        if rule.dosage:
+            named_so = named_so & one_of("dosage", [rule.dosage])
+        pairs.append((named_so, outcomes.index(rule.concentration)))
+    return case([*pairs, (F.lit(True), outcomes.index(drug.volume_default))])
 
 
 def _orders_in_time(orders: DataFrame, drugs: Sequence[DrugRule]) -> DataFrame:
     """Uncancelled orders as (drug, stay, minute of start, kind, end)."""
     drugs = [d for d in drugs if d.order_like]
-
-    def kind(drug: DrugRule) -> Column:
-        outcomes = drug.concentrations()
-        chain = F.when(F.lit(False), F.lit(None).cast("int"))
-        for rule in drug.orders:
-            named_so = one_of("drugname", rule.names)
-            if rule.like:
-                named_so = named_so | F.col("drugname").like(rule.like)
-            if rule.dosage:
-                named_so = named_so & (F.col("dosage") == rule.dosage)
-            chain = chain.when(named_so, F.lit(outcomes.index(rule.concentration)))
-        return chain.otherwise(F.lit(outcomes.index(drug.volume_default)))
-
     usable = orders.where(
         (F.col("drugordercancelled") == "No") & F.col("drugstartoffset").isNotNull()
     )
@@ -108,7 +115,7 @@ def _orders_in_time(orders: DataFrame, drugs: Sequence[DrugRule]) -> DataFrame:
         "drug",
         "patientunitstayid",
         minute_key(F.col("drugstartoffset")).alias("minute"),
-        _by_drug(drugs, kind).alias("kind"),
+        _by_drug(drugs, _order_kind).alias("kind"),
         F.col("drugstopoffset").alias("stop"),
     )
 
@@ -196,9 +203,7 @@ def impute_unit_labels(
     facts = _minute_facts(rows, drugs, orders, weights)
     carried = _by_drug(
         drugs,
-        lambda d: F.coalesce(
-            *[F.when(F.col("carried") == i, label) for i, label in enumerate(d.known_labels)]
-        ),
+        lambda d: case([(F.col("carried") == i, label) for i, label in enumerate(d.known_labels)]),
     )
     filled = F.col("unit_gaps") & _holds_for(drugs, lambda d: like_any("drugname", d.fill_like))
     kept = ~F.col("unit_gaps") & _holds_for(drugs, lambda d: like_any("drugname", d.keep_like))
@@ -213,17 +218,16 @@ def impute_unit_labels(
 def label_rate(rate: Column, weight: Column, drugs: Sequence[DrugRule]) -> Column:
     """Dose rate where the label names a dose unit, NULL where it does not."""
 
-    def of_drug(drug: DrugRule) -> Column:
-        chain = F.when(F.lit(False), F.lit(None).cast("double"))
-        for unit_name, labels in drug.units:
-            unit = rules.UNITS[unit_name]
-            divisor = unit.denominator * weight if unit.by_weight else F.lit(unit.denominator)
-            chain = chain.when(
-                one_of("drugname", labels), F.try_divide(unit.numerator * rate, divisor)
-            )
-        return chain
+    def of_label(unit: Unit) -> Column:
+        divisor = unit.denominator * weight if unit.by_weight else F.lit(unit.denominator)
+        return F.try_divide(unit.numerator * rate, divisor)
 
-    return _by_drug(drugs, of_drug)
+    return _by_drug(
+        drugs,
+        lambda d: case(
+            [(one_of("drugname", labels), of_label(rules.UNITS[unit])) for unit, labels in d.units]
+        ),
+    )
 
 
 def volume_rate(rate: Column, weight: Column, fluid: Concentration) -> Column:

@@ -186,6 +186,33 @@ def test_excluded_and_unreadable_rates(table, spark):
         inf.dobutamine(infusions, strict=True).collect()
 
 
+def test_strict_mode_reads_wanted_rates_only(rates):
+    rows = [
+        (1, 1, 0, "dopamine (mcg/kg/min)", "OFF"),
+        (1, 2, 0, "dopamine (mcg/kg/min)", "Time Correction"),
+        (1, 3, 0, "Norepinephrine (mcg/kg/min)", "Documentation undone"),
+        (1, 4, 0, "Epinephrine (mcg/kg/min)", "50 in mcg"),
+        (1, 5, 0, "Heparin", "note"),
+        (1, 6, 0, "Epinephrine (mcg/kg/min)", "2"),
+    ]
+    imputed = tuple(d for d in rules.DRUGS if d.imputed)
+    assert rates(rows, imputed, strict=True) == [(6, "Epinephrine (mcg/kg/min)", 2.0)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        rates([*rows, (1, 7, 0, "Epinephrine (mcg/kg/min)", "two")], imputed, strict=True)
+
+
+def test_a_row_that_names_two_drugs_counts_for_both(rates):
+    rows = [(1, 1, 0, "Dobutamine + dopamine", "3")]
+    assert rates(rows, (rules.DOBUTAMINE,)) == [(1, "Dobutamine + dopamine", 3.0)]
+    both = rates([(1, 1, 0, "Norepinephrine ()", "8"), (1, 2, 0, "Norepinephrine (mcg/min)", "8"),
+                  (1, 3, 0, "Epinephrine (mcg/min)", "8")], rules.DRUGS)
+    assert both == [
+        (1, "Norepinephrine (mcg/min)", 0.1),
+        (2, "Norepinephrine (mcg/min)", 0.1),
+        (3, "Epinephrine (mcg/min)", 0.1),
+    ]
+
+
 def test_copies_count_once_for_converted_drugs(rates):
     row = (1, 1, 0, "Epinephrine (mcg/min)", "8")
     assert rates([row, row], EPINEPHRINE) == [(1, "Epinephrine (mcg/min)", 0.1)]
