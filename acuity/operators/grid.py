@@ -36,10 +36,18 @@ def _by_stay(df: DataFrame) -> DataFrame:
 
 
 def hour_grid(stays: DataFrame, lead_hours: int = rules.GRID_LEAD_HOURS) -> DataFrame:
-    """A row per stay and hour, from ``lead_hours`` before admission to discharge."""
+    """A row per stay and hour, from ``lead_hours`` before admission to discharge.
+
+    Copies of a stay are merged before they grow; the longest counts.
+    """
     last = F.col("los_icu_hours")
-    spread = _by_stay(cohort(stays).where(last >= -lead_hours).select(STAY, "los_icu_hours"))
-    return spread.select(STAY, F.explode(F.sequence(F.lit(-lead_hours), last)).alias("hr"))
+    longest = (
+        cohort(stays)
+        .where(last >= -lead_hours)
+        .groupBy(STAY)
+        .agg(F.max("los_icu_hours").alias("los_icu_hours"))
+    )
+    return _by_stay(longest).select(STAY, F.explode(F.sequence(F.lit(-lead_hours), last)).alias("hr"))
 
 
 def bucket_hourly(df: DataFrame, offset: str, aggregates: Mapping[str, Column]) -> DataFrame:

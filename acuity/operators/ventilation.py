@@ -78,18 +78,22 @@ def resolve_same_instant(events: DataFrame) -> DataFrame:
     Equal texts go by row id.
     """
     fields = ("cplitemvalue", "cplgeneralid", "activeupondischarge", "cplgroup")
+    record = F.struct(*fields)
     settled = events.groupBy(STAY, "cplitemoffset").agg(
-        F.min(F.when(_on(), F.struct(*fields))).alias("on_row"),
-        F.max(F.when(~_on(), F.struct(*fields))).alias("off_row"),
-        F.count(F.when(~_on(), 1)).alias("off_rows"),
+        F.min(F.when(_on(), record)).alias("on_row"),
+        F.min(F.when(~_on(), record)).alias("taken_away"),
+        F.max(F.when(~_on(), record)).alias("off_row"),
     )
 
     def kept(source: str, flag: int) -> Column:
         return _event(vent_flag=F.lit(flag), **{c: F.col(source)[c] for c in fields})
 
     on_row = F.when(F.col("on_row").isNotNull(), kept("on_row", 1))
-    taken_away = F.when(F.col("on_row").isNotNull(), 1).otherwise(0)
-    off_row = F.when(F.col("off_rows") > taken_away, kept("off_row", 0))
+    # with copies of one off-row only, taking it away leaves none
+    other_row = F.col("off_row.cplgeneralid") != F.col("taken_away.cplgeneralid")
+    off_row = F.when(
+        F.col("off_row").isNotNull() & (F.col("on_row").isNull() | other_row), kept("off_row", 0)
+    )
     return _events(settled, F.array(on_row, off_row)).where(F.col("vent_flag").isNotNull())
 
 
@@ -142,8 +146,11 @@ def settle_last_pair(events: DataFrame) -> DataFrame:
 
 
 def close_at_discharge(events: DataFrame, stays: DataFrame) -> DataFrame:
-    """A stay that ends on and active: add an off-row at unit discharge."""
-    discharge = stays.select(STAY, "unitdischargeoffset")
+    """A stay that ends on and active: add an off-row at unit discharge.
+
+    Copies of a stay's record are merged before the join; the last discharge counts.
+    """
+    discharge = stays.groupBy(STAY).agg(F.max("unitdischargeoffset").alias("unitdischargeoffset"))
     open_tail = F.col("is_last") & _on() & _active().eqNullSafe(True)
     at_discharge = _closing(
         activeupondischarge=F.lit(False),
