@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import sys
-import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -15,11 +14,18 @@ from pyspark.sql import functions as F  # noqa: E402
 from acuity import contracts, rules  # noqa: E402
 from acuity.operators import blood_gas, grid, infusions, pressures, scores, ventilation, weights  # noqa: E402
 from acuity.plans.scoring import run, score_signals  # noqa: E402
-from acuity.session import shared_folder, tune  # noqa: E402
+from acuity.session import scratch_path, tune  # noqa: E402
 from acuity.sources import event_tables as ev  # noqa: E402
 from acuity.sources.tables import build  # noqa: E402
 from checks import oracles  # noqa: E402
 
+try:
+    from acuity.llm import registry as corpus  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("acuity.llm", "corpus_pipeline"):
+        raise
+    corpus = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 STAY = "patientunitstayid"
 WORST = [f"{organ}_24hours" for organ in rules.ORGANS] + ["SOFA_24hours"]
@@ -176,7 +182,7 @@ def _platelet_bucket(spark: SparkSession, folder: str) -> DataFrame:
 
 def _written(spark: SparkSession, folder: str) -> DataFrame:
     """Write every output table, then read the score back."""
-    target = f"{shared_folder(spark)}/score_tables_{uuid.uuid4().hex}"
+    target = scratch_path(spark, "score_tables")
     return build(ev.clinical_inputs(spark, folder), path=target)["sofa"].select(STAY, "hr", *WORST)
 
 
@@ -193,8 +199,8 @@ def _full(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    """The whole hourly score."""
-    return _full(tune(spark), "/root/testdata/sf0.001")
+    """The whole hourly score of the tables in ``$ENTRY_SF_DIR``, a smoke-test folder by default."""
+    return _full(tune(spark), os.environ.get("ENTRY_SF_DIR", "/root/testdata/sf0.001"))
 
 
 def queries() -> dict[str, Query]:
@@ -248,8 +254,8 @@ def queries() -> dict[str, Query]:
     for drug in rules.DRUGS:
         found[f"rate_{drug.name}"] = _rates(drug.name)
     found["band_cardiovascular"] = _bands("cardiovascular", "MeanBP_min")
-    return found
+    return found | (corpus.queries() if corpus else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    return oracles.oracle_sql() | (corpus.oracle_sql() if corpus else {})

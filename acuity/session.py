@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -16,22 +17,52 @@ SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings; cluster-wide ones such as shuffle sizes stay untouched."""
+    """Apply the runtime settings to the session, for all its later work.
+
+    Cluster-wide ones such as shuffle sizes stay untouched. ``SETTINGS`` can be passed
+    to the session builder instead.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Where intermediate tables go: the folder the cluster names for checkpoints.
+_OWN: dict[str, str] = {}
+
 
-    A folder of this machine is used only where Spark itself runs on this machine.
+def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """Where intermediate tables go: the caller's folder, or the one the cluster names for checkpoints.
+
+    Where neither is given and Spark itself runs on this machine, a temporary folder
+    stands in for the life of the application; no setting is changed.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = folder or spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named
-    if spark.sparkContext.master.startswith("local"):
-        local = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", local)
-        return local
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = tempfile.mkdtemp(prefix="run-")
+        _delete_at_end(spark, _OWN[app])
+    return _OWN[app]
+
+
+def _delete_at_end(spark: SparkSession, path: str) -> None:
+    """Let the file system remove a scratch path when the application ends."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
+def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A new path in the shared folder, removed when the application ends."""
+    path = f"{shared_folder(spark, folder)}/{name}_{uuid.uuid4().hex}"
+    _delete_at_end(spark, path)
+    return path
+
+
+def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write a table to the shared folder and return it as written, which cuts the lineage."""
+    path = scratch_path(df.sparkSession, name, folder)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
