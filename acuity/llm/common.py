@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,18 +40,3 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def remainder(col: F.Column, n: int) -> F.Column:
     """CRC-32 of a value's text, modulo n; NULL stays NULL."""
     return F.crc32(col.cast("string").cast("binary")) % n
-
-
-def rows_of(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple[list, ...]]:
-    """The named columns of each batch as Python lists."""
-    for batch in batches:
-        yield tuple(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)
-
-
-def join_spans(spans: Iterable[tuple[int, int, str, int]]) -> str:
-    """kind:start:end of (start, rank of kind, kind, end), by start, then rank."""
-    return ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in sorted(spans))
-
-
-def digest(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from acuity.llm import simhash
+from acuity.llm import packing, pii, simhash
 
 
 def queries() -> dict:
     return {
         "op4_simhash": simhash.op4,
+        "op7_packing": packing.op7,
+        "op10_personal_data": pii.op10,
     }
 
 
