@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from acuity.llm import packing, pii, simhash
+from acuity.llm import langid, packing, pii, secrets, simhash
 
 
 def queries() -> dict:
     return {
+        "op3_language_id": langid.op3,
         "op4_simhash": simhash.op4,
+        "op5_secrets": secrets.op5,
         "op7_packing": packing.op7,
         "op10_personal_data": pii.op10,
     }
