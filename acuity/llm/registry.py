@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from acuity.llm import langid, packing, pii, secrets, simhash
+from acuity.llm import langid, mixing, packing, pii, quality, secrets, simhash
 
 
 def queries() -> dict:
     return {
+        "op2_quality_rules": quality.op2,
         "op3_language_id": langid.op3,
         "op4_simhash": simhash.op4,
         "op5_secrets": secrets.op5,
+        "op6_mixing": mixing.op6,
         "op7_packing": packing.op7,
         "op10_personal_data": pii.op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op6_mixing": mixing.op6_sql(),
+    }
