@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from acuity.llm import langid, mixing, packing, pii, quality, secrets, simhash
+from acuity.llm import htmltext, langid, mixing, packing, pii, quality, secrets, simhash
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op5_secrets": secrets.op5,
         "op6_mixing": mixing.op6,
         "op7_packing": packing.op7,
+        "op9_html_text": htmltext.op9,
         "op10_personal_data": pii.op10,
     }
 
