@@ -105,11 +105,12 @@ def _fill(left: np.ndarray, taken: list[int], room: int) -> list[int]:
     return taken
 
 
-def completions(left: np.ndarray, room: int, waste: int, most: int = 64) -> list[tuple[int, tuple[int, ...]]]:
+def completions(left: np.ndarray, room: int, waste: int, most: int = 64, effort: list[int] | None = None) -> list[tuple[int, tuple[int, ...]]]:
     """Undominated fillings of ``room`` that waste at most so much, least waste first.
 
     A filling is dominated if a length in it can be exchanged for a larger one that is
-    left and still fits. ``most`` bounds how many are weighed at a node of the search.
+    left and still fits. ``most`` bounds how many are weighed at a node of the search;
+    the steps taken are counted off ``effort``.
     """
     out: list[tuple[int, tuple[int, ...]]] = []
     have = np.flatnonzero(left[: room + 1])[::-1].tolist()
@@ -136,6 +137,8 @@ def completions(left: np.ndarray, room: int, waste: int, most: int = 64) -> list
                 out.append((room, taken))
 
     walk(0, room, ())
+    if effort is not None:
+        effort[0] -= steps[0]
     return sorted(set(out), key=lambda f: (f[0], tuple(-x for x in f[1])))
 
 
@@ -145,13 +148,13 @@ def lower_bound(counts: np.ndarray, size: int) -> int:
     return max(-(-total // size), int(counts[size // 2 + 1 :].sum()))
 
 
-def bin_completion(counts: np.ndarray, size: int, nodes: int = 4000, tail: int = 48) -> list[list[int]]:
+def bin_completion(counts: np.ndarray, size: int, effort: int = 50_000, tail: int = 48) -> list[list[int]]:
     """Bins of at most ``size``, as few as the search finds.
 
     The incumbent is best-fit decreasing. If that is above the lower bound, bins are
     completed around the largest length left, best filling first, and a branch ends once
     its waste leaves no way to fewer bins than the incumbent. Depth first; the last ``tail``
-    bins are searched again with other fillings, over at most ``nodes`` nodes. All
+    bins are searched again with other fillings, in at most about ``effort`` steps. All
     lengths are packed whatever the search finds.
     """
     best = best_fit(counts, size)
@@ -167,7 +170,7 @@ def bin_completion(counts: np.ndarray, size: int, nodes: int = 4000, tail: int =
     again = np.zeros_like(counts)
     for b in last:
         np.add.at(again, b, 1)
-    return head + _search(again, size, last, nodes)
+    return head + _search(again, size, last, effort)
 
 
 def _complete(left: np.ndarray, size: int) -> list[list[int]]:
@@ -187,16 +190,16 @@ def _complete(left: np.ndarray, size: int) -> list[list[int]]:
     return bins
 
 
-def _search(counts: np.ndarray, size: int, incumbent: list[list[int]], nodes: int) -> list[list[int]]:
+def _search(counts: np.ndarray, size: int, incumbent: list[list[int]], effort: int) -> list[list[int]]:
     best = incumbent
     total = int((counts * np.arange(len(counts))).sum())
     bound = lower_bound(counts, size)
-    seen = 0
+    steps = [effort]
     # (lengths left, bins so far, waste so far)
     todo: list[tuple[np.ndarray, list[list[int]], int]] = [(counts, [], 0)]
-    while todo and seen < nodes and len(best) > bound:
+    while todo and steps[0] > 0 and len(best) > bound:
         left, bins, waste = todo.pop()
-        seen += 1
+        steps[0] -= 1
         spare = (len(best) - 1) * size - total - waste
         if spare < 0:
             continue
@@ -206,7 +209,7 @@ def _search(counts: np.ndarray, size: int, incumbent: list[list[int]], nodes: in
         largest = int(np.flatnonzero(left)[-1])
         after = left.copy()
         after[largest] -= 1
-        for lost, filling in reversed(completions(after, size - largest, spare)):
+        for lost, filling in reversed(completions(after, size - largest, spare, effort=steps)):
             rest = after.copy()
             np.subtract.at(rest, list(filling), 1)
             todo.append((rest, [*bins, [largest, *filling]], waste + lost))
