@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from acuity.llm import htmltext, langid, mixing, packing, pii, quality, secrets, simhash
+from acuity.llm import embeddings, htmltext, langid, lm, mixing, packing, pii, quality, secrets, simhash
 
 
 def queries() -> dict:
     return {
+        "op1_embedding_dedup": embeddings.op1,
         "op2_quality_rules": quality.op2,
         "op3_language_id": langid.op3,
         "op4_simhash": simhash.op4,
         "op5_secrets": secrets.op5,
         "op6_mixing": mixing.op6,
         "op7_packing": packing.op7,
+        "op8_lm_scoring": lm.op8,
         "op9_html_text": htmltext.op9,
         "op10_personal_data": pii.op10,
     }
