@@ -157,7 +157,10 @@ def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", d
     return Profiles(names, keys, ranks, depth, depth)
 
 
-def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def identify(
+    docs: DataFrame, profiles: Profiles, text_col: str = "text", keep: list[str] | None = None,
+    added: tuple[str, str, str] = ("lang_pred", "score", "lead"),
+) -> DataFrame:
     """The columns in ``keep`` (all by default) with lang_pred, score and lead of every whole text.
 
     A text that is NULL or has no letters is ``und`` with score 0, as is every text
@@ -166,7 +169,6 @@ def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text", keep:
     """
     spark = ship(docs.sparkSession)
     sent = spark.sparkContext.broadcast(profiles)
-    added = ("lang_pred", "score", "lead")
     names = [c for c in (docs.columns if keep is None else keep) if c not in added]
     rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(text_col).cast("string").alias("__text"))
 
@@ -178,12 +180,21 @@ def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text", keep:
             yield pdf
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("__text").schema)
-    return rows.mapInPandas(work, f"{schema}, lang_pred string, score double, lead double")
+    new = ", ".join(f"`{n}` {kind}" for n, kind in zip(added, ("string", "double", "double"), strict=True))
+    return rows.mapInPandas(work, f"{schema}, {new}")
 
 
-def accepted(found: DataFrame, least: float = 0.02) -> F.Column:
-    """Whether a row of ``identify`` has a language: not ``und``, and nearer to a profile than ``least``."""
-    return (F.col("lang_pred") != UNDECIDED) & (F.col("score") >= least)
+def accept(docs: DataFrame, least: float = 0.02) -> DataFrame:
+    """The rows of ``docs`` in a known language, with all their columns.
+
+    Profiles are learned from the two thirds of labelled rows with a CRC-32 of doc_id that leaves
+    0 or 2 modulo 3. Rejected are texts that are NULL, have no letters, or score below
+    ``least``, which is farther from every profile than any ordinary text.
+    """
+    names = ("__lang", "__score", "__lead")
+    profiles = learn(docs.where(remainder(F.col("doc_id"), 3) != 1))
+    found = identify(docs, profiles, added=names)
+    return found.where((F.col("__lang") != UNDECIDED) & (F.col("__score") >= least)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op3(spark, folder: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from acuity.llm import embeddings, htmltext, langid, lm, mixing, packing, pii, quality, secrets, simhash
 
 
 def queries() -> dict:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_embedding_dedup": embeddings.op1,
         "op2_quality_rules": quality.op2,
         "op3_language_id": langid.op3,
@@ -21,6 +23,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "op6_mixing": mixing.op6_sql(),
-    }
+    found = {"op6_mixing": mixing.op6_sql()}
+    return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

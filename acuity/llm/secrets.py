@@ -236,6 +236,23 @@ def scan(docs: DataFrame, rate: float = 1e-4, text_col: str = "text") -> DataFra
     return docs.withColumn("spans", secret_spans(F.col(text_col), levels(docs, rate, text_col)))
 
 
+def cleaned(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with secrets replaced by a mark; n_chars, where there is one, follows the new text."""
+    spans = secret_spans(F.col("text"), levels(docs))
+    found = docs.withColumn("__spans", spans)
+    hit = F.size("__spans") > 0
+    out = []
+    for c in docs.columns:
+        if c == "text":
+            out.append(redacted(F.col("text"), F.col("__spans")).alias("text"))
+        elif c == "n_chars":
+            new = F.char_length(redacted(F.col("text"), F.col("__spans"))).cast(docs.schema["n_chars"].dataType)
+            out.append(F.when(hit, new).otherwise(F.col("n_chars")).alias("n_chars"))
+        else:
+            out.append(F.col(f"`{c}`"))
+    return found.select(*out)
+
+
 def joined(spans: Column) -> Column:
     """kind:start:end of each span, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -259,6 +259,18 @@ def near_duplicates(
     return prints.join(label, "fp").select("id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, folder: str | None = None) -> DataFrame:
+    """One row of each group of linked texts, with all its columns: that of the least doc_id.
+
+    Of repeated rows the one read first stays. Groups are found without the other columns;
+    the rows are then picked by a join on doc_id and place of reading.
+    """
+    key = F.struct(F.col("doc_id"), F.monotonically_increasing_id().alias("row"))
+    keyed = docs.withColumn("__key", key)
+    found = near_duplicates(keyed, "__key", folder=folder).where("id = component_id").select(F.col("id").alias("__key"))
+    return keyed.join(stored(found, "kept", folder), "__key", "left_semi").drop("__key")
+
+
 def op4(spark, folder: str) -> DataFrame:
     """The contract's digest of ``documents``: doc_id, fingerprint, component_id."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
