@@ -225,7 +225,6 @@ class _Reader:
             attributes = html[m.end() : s.start()]
             alone = attributes.endswith("/") and (tag in VOID or tag == "svg")
             if tag in RAW and not alone:
-                self.flush() if tag not in INLINE else None
                 found = _CLOSERS[tag].search(html, at)
                 if not found:
                     at = n

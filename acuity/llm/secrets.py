@@ -238,16 +238,15 @@ def scan(docs: DataFrame, rate: float = 1e-4, text_col: str = "text") -> DataFra
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with secrets replaced by a mark; n_chars, where there is one, follows the new text."""
-    spans = secret_spans(F.col("text"), levels(docs))
-    found = docs.withColumn("__spans", spans)
-    hit = F.size("__spans") > 0
+    found = docs.withColumn("__spans", secret_spans(F.col("text"), levels(docs)))
+    found = found.withColumn("__text", redacted(F.col("text"), F.col("__spans")))
     out = []
     for c in docs.columns:
         if c == "text":
-            out.append(redacted(F.col("text"), F.col("__spans")).alias("text"))
+            out.append(F.col("__text").alias("text"))
         elif c == "n_chars":
-            new = F.char_length(redacted(F.col("text"), F.col("__spans"))).cast(docs.schema["n_chars"].dataType)
-            out.append(F.when(hit, new).otherwise(F.col("n_chars")).alias("n_chars"))
+            new = F.char_length("__text").cast(docs.schema["n_chars"].dataType)
+            out.append(F.when(F.size("__spans") > 0, new).otherwise(F.col("n_chars")).alias("n_chars"))
         else:
             out.append(F.col(f"`{c}`"))
     return found.select(*out)

@@ -1,0 +1,113 @@
+from collections import defaultdict
+
+import pytest
+
+from acuity.llm import mixing
+from checks.compare import compare, connect
+
+LEAF = "domain string, lang string, source string, docs long, tokens long"
+
+
+def plain(leaves, share, epochs, weights):
+    """Quota of each leaf by filling a little level after level, the plain way."""
+    tree = {tuple(r[:3]): r[4] * epochs for r in leaves}
+
+    def weight(level, name):
+        own = weights.get(mixing.LEVELS[level], {})
+        return own.get(name, own.get(mixing.OTHER, 1))
+
+    usable = {k: v for k, v in tree.items() if all(weight(i, k[i]) > 0 for i in range(3))}
+
+    def give(nodes, level, budget):
+        if level == 3:
+            return {nodes[0]: budget}
+        kids = defaultdict(list)
+        for n in nodes:
+            kids[n[level]].append(n)
+        room = {k: sum(usable.get(n, 0) for n in v) for k, v in kids.items()}
+        got = dict.fromkeys(kids, 0.0)
+        active = {k for k in kids if weight(level, k) > 0}
+        left = budget
+        while active and left > 1e-9:
+            total = sum(weight(level, k) for k in active)
+            step = min(left / total, min((room[k] - got[k]) / weight(level, k) for k in active))
+            for k in active:
+                got[k] += step * weight(level, k)
+            left -= step * total
+            full = {k for k in active if room[k] - got[k] < 1e-9}
+            active -= full
+            if not full:
+                break
+        out = {}
+        for k, v in kids.items():
+            out |= give(v, level + 1, got[k])
+        return out
+
+    budget = min(sum(r[4] for r in leaves) * share // 100, sum(usable.values()))
+    return give(list(tree), 0, budget)
+
+
+CASES = [
+    # all fit
+    ([("a", "en", "s", 5, 100), ("b", "en", "s", 5, 100)], 50, 1, {}),
+    # a short source: its sibling takes the rest before the other language does
+    ([("a", "en", "s", 1, 10), ("a", "en", "t", 9, 500), ("a", "de", "s", 9, 500), ("b", "en", "s", 9, 1000)], 40, 1, {"domain": {"a": 3, "b": 1}}),
+    # a short language and a short domain
+    ([("a", "en", "s", 1, 10), ("a", "de", "s", 1, 20), ("b", "en", "s", 9, 5000)], 90, 1, {"domain": {"a": 9, "b": 1}}),
+    # weight 0, epochs above one, everything full
+    ([("a", "en", "s", 1, 10), ("b", "en", "s", 1, 30), ("c", "x", "y", 1, 60)], 100, 3, {"domain": {"a": 1, "b": 1, "c": 0}}),
+    ([("a", "en", "s", 1, 10), ("b", "en", "s", 1, 30)], 100, 1, {"domain": {"a": 7, "b": 1}}),
+]
+
+
+@pytest.mark.parametrize("leaves, share, epochs, weights", CASES)
+def test_budgets(spark, leaves, share, epochs, weights):
+    got = mixing.budgets(spark.createDataFrame(leaves, LEAF), share, epochs, weights).collect()
+    want = plain(leaves, share, epochs, weights)
+    assert len(got) == len(leaves)
+    for r in got:
+        assert abs(r.quota - want[(r.domain, r.lang, r.source)]) <= 1, (r, want)
+
+
+def test_the_query_equals_its_sql_form(spark, sf_dir):
+    same, note = compare(spark, connect(sf_dir), sf_dir, "op6_mixing")
+    assert same, note
+
+
+def test_a_leaf_gives_the_first_tokens_of_its_epochs(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET", 3)
+    rows = [(i, 1 + i % 7, "web", "en", "s") for i in range(40)] + [(100, 50, "web", "en", "t"), (101, 0, "web", "en", "t")]
+    df = spark.createDataFrame(rows, "doc_id long, n_tokens long, domain string, lang string, source string")
+    got = mixing.plan(df, 100, 3, {"source": {"s": 9, "t": 0}}).collect()
+    total = sum(r[1] for r in rows)
+    by_epoch = defaultdict(list)
+    for r in got:
+        assert r.source == "s"
+        by_epoch[r.epoch].append(r)
+    taken = 0
+    for epoch, own in sorted(by_epoch.items()):
+        own.sort(key=lambda r: r.key)
+        at = 0
+        for r in own:
+            assert r.start_token == at
+            at += r.n_tokens
+            taken += r.taken
+        if epoch + 1 < len(by_epoch):
+            assert len(own) == 40 and all(r.taken == r.n_tokens for r in own)
+    assert taken == min(total, 3 * sum(r[1] for r in rows[:40]))
+
+
+def test_the_stage_returns_whole_rows(make):
+    df = make([(i, "word " * (1 + i % 5)) for i in range(50)] + [(60, None), (61, ""), (None, "a b")])
+    got = mixing.mix(df, 50, 1)
+    assert got.columns == df.columns
+    rows = got.collect()
+    assert len(rows) == len({r.doc_id for r in rows}) and not {60, 61} & {r.doc_id for r in rows}
+    used = sum(len(r.text.split()) for r in rows)
+    assert 76 <= used < 76 + 5
+    assert mixing.mix(df.limit(0), 50, 1).count() == 0
+
+
+def test_rows_that_share_an_id_stand_together(make):
+    df = make([(7, "a b c"), (7, "a b c"), (8, "d e f g")])
+    assert sorted(r.doc_id for r in mixing.mix(df, 100, 1).collect()) == [7, 7, 8]

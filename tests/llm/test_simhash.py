@@ -1,0 +1,100 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from acuity.llm import simhash
+from acuity.llm.components import components
+
+
+def plain_print(text):
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall("[^\x20\x09-\x0d]+", text)
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    ones = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s.encode(), 42)
+        for b in range(64):
+            ones[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * ones[b] > len(shingles))
+
+
+def plain_roots(ids, prints, bits=4):
+    order = sorted(range(len(ids)), key=lambda i: ids[i])
+    root = {}
+    for i in order:
+        if i in root:
+            continue
+        root[i], todo = ids[i], [i]
+        while todo:
+            x = todo.pop()
+            for j in range(len(ids)):
+                if j not in root and bin(prints[x] ^ prints[j]).count("1") <= bits:
+                    root[j] = ids[i]
+                    todo.append(j)
+    return [root[i] for i in range(len(ids))]
+
+
+def test_the_query_equals_brute_force(spark, sf_dir, texts):
+    ids = sorted(texts)
+    prints = [plain_print(texts[i]) for i in ids]
+    want = dict(zip(ids, zip((f"{p:016x}" for p in prints), plain_roots(ids, prints), strict=True), strict=True))
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.op4(spark, sf_dir).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("text", ["", None, " \n\t", "One", "a b c", "a b c d", "Ärger \x0b MIXED case É x", "w " * 5000])
+def test_fingerprints(text):
+    assert simhash.fingerprint(text) == plain_print(text)
+
+
+@pytest.mark.parametrize("target, chunk", [(4, 16384), (16, 5), (1024, 7)])
+def test_trees_find_every_pair(spark, target, chunk):
+    """Random fingerprints with near ones around some, at leaf and chunk sizes that split everything."""
+    rng = random.Random(5)
+    found = {rng.getrandbits(64) for _ in range(120)} | {0, (1 << 64) - 1}
+    for base in list(found)[:25]:
+        for _ in range(6):
+            x = base
+            for b in rng.sample(range(64), rng.randint(1, 5)):
+                x ^= 1 << b
+            found.add(x)
+    prints = sorted(found)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    df = spark.createDataFrame([(s,) for s in signed], "fp long")
+    edges = simhash.links(df, 4, target, chunk)
+    root = {r.node: r.root for r in components(edges).collect()}
+    want = plain_roots(signed, prints)
+    assert [root.get(s, s) for s in signed] == want
+
+
+def test_null_empty_repeated_rows_and_clashing_columns(make):
+    df = make([(1, None), (2, ""), (3, "a b c d e"), (3, "a b c d e"), (4, "A B\nC d e"), (None, "other words here now"), (9, "x y z")])
+    got = sorted(((r.id if r.id is not None else -1), r.component_id) for r in simhash.near_duplicates(df).collect())
+    assert got[1:] == [(1, 1), (2, 1), (3, 3), (3, 3), (4, 3), (9, 9)]
+    assert got[0] == (-1, None)
+    assert simhash.near_duplicates(df.limit(0)).count() == 0
+    kept = simhash.one_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 1, 3, 9]
+
+
+def test_components(spark):
+    rng = np.random.default_rng(1)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(400 + i, 401 + i) for i in range(60)] + [(500, 501 + i) for i in range(50)]
+    df = spark.createDataFrame([*pairs, (None, 3), (7, 7)], "a long, b long")
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        if a != b:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    assert {r.node: r.root for r in components(df).collect()} == {x: find(x) for x in list(root)}
+    assert components(df.limit(0)).count() == 0
