@@ -15,7 +15,7 @@ from acuity import contracts, rules  # noqa: E402
 from acuity.operators import blood_gas, grid, infusions, pressures, scores, ventilation, weights  # noqa: E402
 from acuity.plans.scoring import run, score_signals  # noqa: E402
 from acuity.session import scratch_path, tune  # noqa: E402
-from acuity.sources import event_tables as ev  # noqa: E402
+from checks import event_tables as ev  # noqa: E402
 from acuity.sources.tables import build  # noqa: E402
 from checks import oracles  # noqa: E402
 
@@ -31,6 +31,10 @@ STAY = "patientunitstayid"
 WORST = [f"{organ}_24hours" for organ in rules.ORGANS] + ["SOFA_24hours"]
 
 
+# the output tables that hold records, and the form each is compared with
+WRITTEN = oracles.WRITTEN
+
+
 def _query(build_df: Callable[[SparkSession, str], DataFrame]) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         return build_df(tune(spark), folder)
@@ -180,18 +184,19 @@ def _platelet_bucket(spark: SparkSession, folder: str) -> DataFrame:
     return grid.bucket_hourly(labs, "chartoffset", {"platelet_min": F.min("platelets")})
 
 
-def _written(spark: SparkSession, folder: str) -> DataFrame:
-    """Write every output table, then read the score back."""
-    target = scratch_path(spark, "score_tables")
-    return build(ev.clinical_inputs(spark, folder), path=target)["sofa"].select(STAY, "hr", *WORST)
+def _written(table: str) -> Query:
+    """Write every output table, then read one back."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        tables = build(ev.clinical_inputs(spark, folder), path=scratch_path(spark, "score_tables"))
+        return tables[table]
+
+    return query
 
 
 def _violations(spark: SparkSession, folder: str) -> DataFrame:
-    """Contract checks of the blood gas and care-plan tables."""
-    obs = ev.observations(spark, folder)
-    return contracts.violations(
-        {"pivoted_bg": ev.blood_gas(obs), "careplangeneral": ev.careplan(obs)}
-    )
+    """Contract checks of every input."""
+    return contracts.violations(ev.clinical_inputs(spark, folder))
 
 
 def _full(spark: SparkSession, folder: str) -> DataFrame:
@@ -247,12 +252,14 @@ def queries() -> dict[str, Query]:
             STAY, "hr", *WORST
         ),
         "sofa_full": _full,
-        "written_tables": _written,
+        "written_tables": lambda s, f: _written("sofa")(s, f).select(STAY, "hr", *WORST),
         "contract_violations": _violations,
     }
     found = {name: _query(q) for name, q in plain.items()}
     for drug in rules.DRUGS:
         found[f"rate_{drug.name}"] = _rates(drug.name)
+    for table in WRITTEN:
+        found[f"written_{table}"] = _query(_written(table))
     found["band_cardiovascular"] = _bands("cardiovascular", "MeanBP_min")
     return found | (corpus.queries() if corpus else {})
 

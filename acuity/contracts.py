@@ -34,7 +34,7 @@ INPUTS = {
 KEYS = {
     "infusiondrug": ("infusiondrugid", "patientunitstayid"),
     "medication": ("patientunitstayid",),
-    "careplangeneral": ("cplgeneralid", "patientunitstayid", "cplitemoffset"),
+    "careplangeneral": ("cplgeneralid", "patientunitstayid"),
     "vitalperiodic": ("patientunitstayid", "observationoffset"),
     "vitalaperiodic": ("patientunitstayid", "observationoffset"),
     "pivoted_vital": ("patientunitstayid", "chartoffset"),

@@ -25,29 +25,26 @@ def cohort(stays: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def _by_stay(df: DataFrame) -> DataFrame:
-    """One layout by stay for the grid and what is put on it.
-
-    A few bytes per stay become hundreds of rows here, so the layout is wider than by
-    default; with the number given, adaptive execution does not merge its partitions
-    for being small at this point.
-    """
-    return df.repartition(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), STAY)
+def _by_stay(df: DataFrame, partitions: int | None) -> DataFrame:
+    """One layout by stay for the grid and what is put on it."""
+    return df.repartition(partitions, STAY) if partitions else df.repartition(STAY)
 
 
-def hour_grid(stays: DataFrame, lead_hours: int = rules.GRID_LEAD_HOURS) -> DataFrame:
+def hour_grid(
+    stays: DataFrame, lead_hours: int = rules.GRID_LEAD_HOURS, partitions: int | None = None
+) -> DataFrame:
     """A row per stay and hour, from ``lead_hours`` before admission to discharge.
 
-    Copies of a stay are merged before they grow; the longest counts.
+    Copies of a stay are merged before they grow; the longest counts. A few bytes per stay
+    become hundreds of rows, so a big cohort may ask for more ``partitions`` here (and in
+    :func:`hourly_panel`) than adaptive execution finds worth while.
     """
     last = F.col("los_icu_hours")
-    longest = (
-        cohort(stays)
-        .where(last >= -lead_hours)
-        .groupBy(STAY)
-        .agg(F.max("los_icu_hours").alias("los_icu_hours"))
-    )
-    return _by_stay(longest).select(STAY, F.explode(F.sequence(F.lit(-lead_hours), last)).alias("hr"))
+    kept = cohort(stays).where(last >= -lead_hours)
+    if partitions:
+        kept = _by_stay(kept, partitions)
+    longest = kept.groupBy(STAY).agg(F.max("los_icu_hours").alias("los_icu_hours"))
+    return longest.select(STAY, F.explode(F.sequence(F.lit(-lead_hours), last)).alias("hr"))
 
 
 def bucket_hourly(df: DataFrame, offset: str, aggregates: Mapping[str, Column]) -> DataFrame:
@@ -75,7 +72,9 @@ def _stack(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def hourly_panel(grid: DataFrame, signals: Sequence[Signal]) -> DataFrame:
+def hourly_panel(
+    grid: DataFrame, signals: Sequence[Signal], partitions: int | None = None
+) -> DataFrame:
     """The grid with every signal reduced to its hour, NULL where there is no data.
 
     The measurements of all signals are stacked and reduced by one aggregation, so they
@@ -99,7 +98,7 @@ def hourly_panel(grid: DataFrame, signals: Sequence[Signal]) -> DataFrame:
         *[REDUCERS[how](name).alias(name) for name, _, how in measures]
     )
     return (
-        _stack([grid.withColumn("on_grid", F.lit(True)), _by_stay(hourly)])
+        _stack([grid.withColumn("on_grid", F.lit(True)), _by_stay(hourly, partitions)])
         .groupBy(STAY, "hr")
         .agg(F.max("on_grid").alias("on_grid"), *[F.max(name).alias(name) for name, _, _ in measures])
         .where("on_grid")

@@ -94,7 +94,7 @@ def _order_kind(drug: DrugRule) -> Column:
     """Position of the order's concentration among those of the drug."""
     outcomes = drug.concentrations()
     pairs = []
-    for rule in drug.orders:
+    for rule in drug.possible_orders():
         named_so = one_of("drugname", rule.names)
         if rule.like:
             named_so = named_so | like_any("drugname", [rule.like])
@@ -188,19 +188,21 @@ def impute_unit_labels(
     drugs: Sequence[DrugRule] = rules.DRUGS,
     orders: DataFrame | None = None,
     weights: DataFrame | None = None,
+    as_charted: Sequence[DrugRule] = (),
 ) -> DataFrame:
     """Replace ``drugname`` by the label that says the unit of the rate.
 
     In a stay with a blank label every row takes the label carried to it; in all
     others the row keeps its own. With ``orders`` and ``weights`` given, the rows
-    also get the facts that dose conversion needs.
+    also get the facts that dose conversion needs. Rows of the drugs ``as_charted``
+    pass through as they are.
     """
     drugs = [d for d in drugs if d.imputed]
     name = F.col("drugname")
-    rows = parsed.where(one_of("drug", [d.name for d in drugs])).withColumn(
-        "minute", minute_key(F.col("infusionoffset"))
-    )
-    facts = _minute_facts(rows, drugs, orders, weights)
+    imputed = one_of("drug", [d.name for d in drugs])
+    passing = one_of("drug", [d.name for d in as_charted])
+    rows = parsed.where(imputed | passing).withColumn("minute", minute_key(F.col("infusionoffset")))
+    facts = _minute_facts(rows.where(imputed), drugs, orders, weights)
     carried = _by_drug(
         drugs,
         lambda d: case([(F.col("carried") == i, label) for i, label in enumerate(d.known_labels)]),
@@ -208,8 +210,8 @@ def impute_unit_labels(
     filled = F.col("unit_gaps") & _holds_for(drugs, lambda d: like_any("drugname", d.fill_like))
     kept = ~F.col("unit_gaps") & _holds_for(drugs, lambda d: like_any("drugname", d.keep_like))
     return (
-        rows.join(facts, MINUTE)
-        .where(filled | kept)
+        rows.join(facts, MINUTE, "left" if as_charted else "inner")
+        .where(filled | kept | passing)
         .withColumn("drugname", F.when(F.col("unit_gaps"), carried).otherwise(name))
         .drop("unit_gaps", "carried")
     )
@@ -258,11 +260,17 @@ def _dose(rate: Column, valid: Column) -> Column:
     return F.struct(rate.alias("dose"), valid.alias("valid"))
 
 
-def normalise_rates(labelled: DataFrame, drugs: Sequence[DrugRule] = rules.DRUGS) -> DataFrame:
+def normalise_rates(
+    labelled: DataFrame,
+    drugs: Sequence[DrugRule] = rules.DRUGS,
+    as_charted: Sequence[DrugRule] = (),
+) -> DataFrame:
     """Dose rates in mcg/kg/min of rows from :func:`impute_unit_labels`.
 
     A label with a dose unit gives one rate. A ml/hr label gives one per distinct
     concentration of the orders in force. Rows with any other label have no dose.
+    Equal doses and copies of a row count once, but rows of the drugs ``as_charted``
+    have the rate they were charted with and keep their copies.
     """
     drugs = [d for d in drugs if d.imputed]
     weight = F.coalesce(F.col("weight"), F.lit(float(rules.DEFAULT_WEIGHT_KG)))
@@ -271,16 +279,26 @@ def normalise_rates(labelled: DataFrame, drugs: Sequence[DrugRule] = rules.DRUGS
     )
     by_volume = _holds_for(drugs, lambda d: one_of("drugname", d.volume_labels))
     one_rate = F.array(_dose(label_rate(F.col("rate"), weight, drugs), F.lit(True)))
-    doses = F.when(by_label, one_rate).when(by_volume, _volume_rates(F.col("rate"), weight, drugs))
+    charted = one_of("drug", [d.name for d in as_charted])
+    doses = (
+        F.when(charted, F.array(_dose(F.col("rate"), F.lit(True))))
+        .when(by_label, one_rate)
+        .when(by_volume, _volume_rates(F.col("rate"), weight, drugs))
+    )
     identity = ["drug", "infusiondrugid", "patientunitstayid", "infusionoffset", "minute", "drugname"]
-    return (
-        labelled.where(by_label | by_volume)
+    doses = (
+        labelled.where(by_label | by_volume | charted)
         .select(*identity, *PASSED_THROUGH, F.inline(doses))
         .where("valid")
         .drop("valid")
-        # equal doses and copies of a row count once; rows lie by (drug, stay, minute) already
-        .distinct()
-        .select(*[c for c in identity if c != "minute"], F.round("dose", 4).alias("rate"), *PASSED_THROUGH)
+    )
+    # rows lie by (drug, stay, minute) already
+    counted = doses.groupBy(*doses.columns).agg(F.count("*").alias("copies"))
+    if as_charted:
+        again = F.sequence(F.lit(1).cast("long"), F.when(charted, F.col("copies")).otherwise(F.lit(1).cast("long")))
+        counted = counted.withColumn("copy", F.explode(again))
+    return counted.select(
+        *[c for c in identity if c != "minute"], F.round("dose", 4).alias("rate"), *PASSED_THROUGH
     )
 
 
@@ -291,27 +309,27 @@ def vasoactive_rates(
     drugs: Sequence[DrugRule] = rules.DRUGS,
     strict: bool = False,
 ) -> DataFrame:
-    """Dose rates of all the drugs in one long table with a ``drug`` column."""
-    parts = []
+    """Dose rates of all the drugs in one long table with a ``drug`` column.
+
+    The infusions are read twice: for the rows, and for the minute series of a stay.
+    """
     plain = [d for d in drugs if not d.imputed]
     imputed = [d for d in drugs if d.imputed]
-    if plain:
-        # rates of these drugs are taken as charted
-        parts.append(
-            parse_infusions(infusions, plain, strict).select(
-                "drug",
-                "infusiondrugid",
-                "patientunitstayid",
-                "infusionoffset",
-                "drugname",
-                F.round("rate", 4).alias("rate"),
-                *PASSED_THROUGH,
-            )
-        )
+    parsed = parse_infusions(infusions, drugs, strict)
     if imputed:
-        parsed = parse_infusions(infusions, imputed, strict)
-        parts.append(normalise_rates(impute_unit_labels(parsed, imputed, orders, weights), imputed))
-    return reduce(DataFrame.unionByName, parts)
+        return normalise_rates(
+            impute_unit_labels(parsed, imputed, orders, weights, plain), imputed, plain
+        )
+    # rates of these drugs are taken as charted
+    return parsed.select(
+        "drug",
+        "infusiondrugid",
+        "patientunitstayid",
+        "infusionoffset",
+        "drugname",
+        F.round("rate", 4).alias("rate"),
+        *PASSED_THROUGH,
+    )
 
 
 def drug_table(rates: DataFrame, drug: str) -> DataFrame:
@@ -323,6 +341,11 @@ def drug_table(rates: DataFrame, drug: str) -> DataFrame:
     )
 
 
+def long_table(rates: DataFrame, drug: str) -> DataFrame:
+    """A drug's table as rows of the long one."""
+    return rates.withColumnRenamed(f"rate_{drug}", "rate").withColumn("drug", F.lit(drug))
+
+
 def dobutamine(infusions: DataFrame, strict: bool = False) -> DataFrame:
     """Dobutamine needs neither weight nor orders."""
     plain = parse_infusions(infusions, (rules.DOBUTAMINE,), strict)

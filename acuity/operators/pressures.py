@@ -64,11 +64,16 @@ def coalesce_pressures(vital: DataFrame, aperiodic: DataFrame, periodic: DataFra
     )
 
 
+def plausible_map() -> Column:
+    """The mean pressure where it can be one, else NULL."""
+    value = F.col("map")
+    return F.when((value > 0) & (value < rules.PRESSURE_LIMITS["map"]), value)
+
+
 def map_min(pressures: DataFrame) -> DataFrame:
     """Lowest plausible mean pressure per (stay, minute)."""
-    value = F.col("map")
     return (
-        pressures.where((value > 0) & (value < rules.PRESSURE_LIMITS["map"]))
+        pressures.where(plausible_map().isNotNull())
         .groupBy("patientunitstayid", F.col("observationoffset").alias("chartoffset"))
         .agg(F.min("map").alias("MeanBP_min"))
     )

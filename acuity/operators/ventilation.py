@@ -62,11 +62,11 @@ def _events(df: DataFrame, records: Column) -> DataFrame:
 
 
 def classify_vent_events(careplan: DataFrame) -> DataFrame:
-    """Airway and ventilation records with their on/off flag."""
+    """Airway and ventilation records with their on/off flag; those without a time stay."""
     value = F.col("cplitemvalue")
     on = like_any("cplitemvalue", rules.VENT_ON_LIKE) | one_of("cplitemvalue", rules.VENT_ON)
     return careplan.where(
-        one_of("cplgroup", rules.VENT_GROUPS) & (value != "") & F.col("cplitemoffset").isNotNull()
+        one_of("cplgroup", rules.VENT_GROUPS) & (value != "")
     ).select(*EVENT[:-1], F.when(on, 1).otherwise(0).alias("vent_flag"))
 
 
@@ -75,7 +75,8 @@ def resolve_same_instant(events: DataFrame) -> DataFrame:
 
     The on-row with the smallest text stays. An on-row takes one off-row away, the one
     with the smallest text; of the off-rows left the one with the largest text stays.
-    Equal texts go by row id.
+    Equal texts go by row id. Records without a time are one minute of their own, before
+    all others, in which an on-row takes no off-row away.
     """
     fields = ("cplitemvalue", "cplgeneralid", "activeupondischarge", "cplgroup")
     record = F.struct(*fields)
@@ -91,18 +92,21 @@ def resolve_same_instant(events: DataFrame) -> DataFrame:
     on_row = F.when(F.col("on_row").isNotNull(), kept("on_row", 1))
     # with copies of one off-row only, taking it away leaves none
     other_row = F.col("off_row.cplgeneralid") != F.col("taken_away.cplgeneralid")
-    off_row = F.when(
-        F.col("off_row").isNotNull() & (F.col("on_row").isNull() | other_row), kept("off_row", 0)
-    )
+    stays_on = F.col("on_row").isNull() | F.col("cplitemoffset").isNull() | other_row
+    off_row = F.when(F.col("off_row").isNotNull() & stays_on, kept("off_row", 0))
     return _events(settled, F.array(on_row, off_row)).where(F.col("vent_flag").isNotNull())
 
 
 def trim_leading_off(events: DataFrame) -> DataFrame:
-    """Drop what lies before the first on-row of a stay, and stays without one."""
+    """Drop what lies before the first on-row of a stay, and stays without one.
+
+    An on-row without a time comes first, so that nothing of its stay is dropped.
+    """
+    untimed_on = F.max(_on() & F.col("cplitemoffset").isNull()).over(_stay())
     first_on = F.min(F.when(_on(), F.col("cplitemoffset"))).over(_stay())
     return (
-        events.withColumn("first_on", first_on)
-        .where(F.col("cplitemoffset") >= F.col("first_on"))
+        events.withColumns({"untimed_on": untimed_on, "first_on": first_on})
+        .where(F.col("untimed_on") | (F.col("cplitemoffset") >= F.col("first_on")))
         .select(*EVENT)
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from acuity import contracts, rules
 from acuity.operators.blood_gas import pf_ratio_min
 from acuity.operators.grid import Signal, hour_grid, hourly_panel
-from acuity.operators.infusions import drug_table, vasoactive_rates
-from acuity.operators.pressures import coalesce_pressures, map_min
+from acuity.operators.infusions import drug_table, infusion_rejects, long_table, vasoactive_rates
+from acuity.operators.pressures import coalesce_pressures, plausible_map
 from acuity.operators.scores import organ_points, total_score
 from acuity.operators.ventilation import episodes, vent_events
 from acuity.operators.weights import clean_weights
@@ -35,7 +36,8 @@ def score_signals(
         return name, F.when((F.col("drug") == drug) & (F.col("rate") > 0), F.col("rate")), "max"
 
     return [
-        Signal(map_min(pressures), "chartoffset", [("MeanBP_min", F.col("MeanBP_min"), "min")]),
+        # the table has a row per minute, whose minimum needs no aggregation of its own
+        Signal(pressures, "observationoffset", [("MeanBP_min", plausible_map(), "min")]),
         Signal(scores, "chartoffset", [("GCS_min", F.col("gcs"), "min")]),
         Signal(
             labs,
@@ -71,28 +73,35 @@ def run(
     inputs: Mapping[str, DataFrame],
     mode: str = "reference",
     strict: bool = False,
-    keep: Keep = lambda name, df: df,
+    keep: Keep | None = None,
+    share: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> dict[str, DataFrame]:
-    """All output tables.
+    """All output tables, with what they leave out and what breaks a contract.
 
+    ``infusion_rejects`` has the infusion rows whose rate text is no number,
+    ``contract_violations`` the number of rows that break each rule of the inputs.
     ``mode`` is the way episodes are built, ``strict`` refuses rates that are no number.
     ``keep`` is called on each table in dependency order and returns what the later
-    ones read; a sink passes its writer, so that a table is worked out once.
+    ones read; a sink passes its writer, so that a table is worked out once. ``share`` is
+    called on the dose rates, of which four tables are written.
     """
     t = contracts.conform_all(inputs)
     out: dict[str, DataFrame] = {}
 
     def table(name: str, df: DataFrame) -> DataFrame:
-        out[name] = keep(name, df)
+        out[name] = keep(name, df) if keep else df
         return out[name]
 
+    table("contract_violations", contracts.violations(t))
+    table("infusion_rejects", infusion_rejects(t["infusiondrug"]))
     weights = table("weight", clean_weights(t["icustay_detail"]))
-    rates = keep(
-        "vasoactive",
-        vasoactive_rates(t["infusiondrug"], t["medication"], weights, rules.DRUGS, strict),
+    rates = share(
+        vasoactive_rates(t["infusiondrug"], t["medication"], weights, rules.DRUGS, strict)
     )
-    for drug in rules.DRUGS:
-        table(drug.name, drug_table(rates, drug.name))
+    drugs = [table(drug.name, drug_table(rates, drug.name)) for drug in rules.DRUGS]
+    if keep:
+        # the written tables stand for the plan that made them
+        rates = reduce(DataFrame.unionByName, map(long_table, drugs, [d.name for d in rules.DRUGS]))
     pressures = table(
         "blood_pressure",
         coalesce_pressures(t["pivoted_vital"], t["vitalaperiodic"], t["vitalperiodic"]),

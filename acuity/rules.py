@@ -6,7 +6,8 @@ from here and turn them into Spark column expressions.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, replace
 
 DEFAULT_WEIGHT_KG = 80
 
@@ -66,9 +67,16 @@ class DrugRule:
     def imputed(self) -> bool:
         return self.blank_label is not None
 
+    def possible_orders(self) -> tuple[OrderRule, ...]:
+        """The order rules without names that ``order_like`` never lets through."""
+        wanted = re.compile(".*".join(map(re.escape, (self.order_like or "%").split("%"))), re.S)
+        rules = [replace(o, names=tuple(n for n in o.names if wanted.fullmatch(n))) for o in self.orders]
+        return tuple(o for o in rules if o.names or o.like)
+
     def concentrations(self) -> list[Concentration]:
         """The distinct outcomes an order can have, in rule order."""
-        return list(dict.fromkeys([o.concentration for o in self.orders] + [self.volume_default]))
+        outcomes = [o.concentration for o in self.possible_orders()]
+        return list(dict.fromkeys([*outcomes, self.volume_default]))
 
 
 # --- fixed values: dose units -> mcg/kg/min --------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from acuity import contracts
@@ -15,13 +16,11 @@ SORT_WITHIN_STAY = {
     "dopamine": "infusionoffset",
     "epinephrine": "infusionoffset",
     "norepinephrine": "infusionoffset",
-    "vasoactive": "infusionoffset",
+    "infusion_rejects": "infusionoffset",
     "blood_pressure": "observationoffset",
     "ventilation": "starttime",
     "sofa": "hr",
 }
-# the long dose table is read back drug by drug
-PARTITIONED = {"vasoactive": ["drug"]}
 
 
 def _qualified(name: str, database: str | None) -> str:
@@ -58,17 +57,12 @@ def replace_table(
     Spark split a stay that is too big for one file and merge small ones.
     """
     spark = df.sparkSession
-    folders = PARTITIONED.get(name, [])
-    order = [*folders, "patientunitstayid"]
-    if name in SORT_WITHIN_STAY:
-        order.append(SORT_WITHIN_STAY[name])
-    writer = (
-        df.hint("rebalance", *folders, "patientunitstayid")
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .format("parquet")
-        .partitionBy(*folders)
-    )
+    if "patientunitstayid" in df.columns:
+        order = ["patientunitstayid"]
+        if name in SORT_WITHIN_STAY:
+            order.append(SORT_WITHIN_STAY[name])
+        df = df.hint("rebalance", "patientunitstayid").sortWithinPartitions(*order)
+    writer = df.write.mode("overwrite").format("parquet")
     if path is not None:
         target = f"{path.rstrip('/')}/{name}"
         writer.save(target)
@@ -88,12 +82,20 @@ def build(
     """Write every output table in dependency order; later tables read the written ones.
 
     Written tables end the lineage, so a lost executor costs one table's work at most.
-    The long dose table only serves the others: a catalog drops it in the end, in a
-    folder it stays beside them.
+    The dose rates are worked out once and held on the executors' disks while the four
+    drug tables are written; what is lost of them is worked out again.
     """
-    out = run(
-        inputs, mode, strict, keep=lambda name, df: replace_table(df, name, database, path)
-    )
-    if path is None:
-        out["sofa"].sparkSession.sql(f"DROP TABLE IF EXISTS {_qualified('vasoactive', database)}")
-    return out
+    held: list[DataFrame] = []
+
+    def share(df: DataFrame) -> DataFrame:
+        held.append(df.persist(StorageLevel.DISK_ONLY))
+        return held[-1]
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        return replace_table(df, name, database, path)
+
+    try:
+        return run(inputs, mode, strict, keep, share)
+    finally:
+        for df in held:
+            df.unpersist()

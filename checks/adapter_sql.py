@@ -19,14 +19,15 @@ stays AS (
          CASE k % 20 WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 12 THEN NULL WHEN 4 THEN 0 WHEN 5 THEN 71
                      WHEN 6 THEN 71 WHEN 7 THEN 71 WHEN 8 THEN 710 WHEN 9 THEN 1200 WHEN 10 THEN 7
                      WHEN 11 THEN 2.1::DOUBLE ELSE 41 + 2 * (k % 40) + k % 5 END::DOUBLE AS dis
-  FROM (SELECT c_custkey AS k, (SELECT max(off) FROM obs WHERE stay = c_custkey) AS last FROM customer)
+  FROM (SELECT c_custkey AS k, (SELECT max(off) FROM obs WHERE stay = c_custkey) AS last,
+          unnest(range(if(c_custkey % 97 = 0, 2, 1))) AS copy FROM customer)
 ),
 infusions AS (
-  SELECT id, stay, slot AS off,
+  SELECT id, stay, CASE WHEN id % 73 <> 0 THEN slot END AS off,
     CASE
-      WHEN id % 24 = 3 AND stay % 2 <> 1 THEN 'Norepinephrine (mg/min)'
-      WHEN id % 24 = 10 AND stay % 3 <> 1 THEN 'Epinephrine (mg/hr)'
-      WHEN id % 24 = 16 AND stay % 3 <> 0 THEN 'dopamine (mcg/kg/min)'
+      WHEN id % 27 = 3 AND stay % 2 <> 1 THEN 'Norepinephrine (mg/min)'
+      WHEN id % 27 = 10 AND stay % 3 <> 1 THEN 'Epinephrine (mg/hr)'
+      WHEN id % 27 = 16 AND stay % 3 <> 0 THEN 'dopamine (mcg/kg/min)'
       ELSE ['Norepinephrine (mcg/min)', 'Norepinephrine (mcg/kg/min)', 'Norepinephrine (ml/hr)',
             'Norepinephrine ()', 'Norepinephrine STD 4 mg Dextrose 5% 250 ml (mcg/min)',
             'Norepinephrine (mcg/hr)', 'norepinephrine Volume (ml) (ml/hr)', 'Norepinephrine',
@@ -36,9 +37,12 @@ infusions AS (
             'Dopamine (mcg/kg/hr)', 'dopamine (mcg/kg/min)',
             'DOPamine STD 400 mg Dextrose 5% 250 ml  Premix (mcg/kg/min)', 'Dobutamine (mcg/kg/min)',
             'DOBUTamine STD 500 mg Dextrose 5% 250 ml  Premix (mcg/kg/min)',
-            'Norepinephrine (mg/hr)', 'Heparin (units/hr)'][id % 24 + 1]
+            'Norepinephrine (mg/hr)', 'Heparin (units/hr)',
+            'Norepinephrine STD 9 mg Dextrose 5% 250 ml (mcg/min)', 'Epinephrine drip (mcg/min)',
+            'dopamine drip (mcg/kg/min)'][id % 27 + 1]
     END AS name,
-    CASE WHEN id % 53 = 0 THEN NULL WHEN id % 47 = 0 THEN '50 mcg' WHEN id % 43 = 0 THEN 'see note'
+    CASE WHEN id % 67 = 0 THEN '12.0625' WHEN id % 61 = 0 THEN '0.03125' WHEN id % 59 = 0 THEN '2.5'
+         WHEN id % 53 = 0 THEN NULL WHEN id % 47 = 0 THEN '50 mcg' WHEN id % 43 = 0 THEN 'see note'
          WHEN id % 41 = 0 THEN 'UD' WHEN id % 37 = 0 THEN 'ERROR' WHEN id % 31 = 0 THEN ''
          WHEN id % 29 = 0 THEN 'OFF' ELSE (2 * ((id * 7) % 300) + 1)::VARCHAR END AS rate_text,
     (id % 10)::VARCHAR AS infusionrate, (id % 3)::VARCHAR AS drugamount,
@@ -57,7 +61,7 @@ drug_orders AS (
   FROM obs
 ),
 careplan AS (
-  SELECT id, stay, slot AS off,
+  SELECT id, stay, CASE WHEN id % 19 <> 0 THEN slot END AS off,
     CASE (id // 9) % 3 WHEN 0 THEN true WHEN 1 THEN false END AS active,
     CASE WHEN id % 10 = 0 THEN 'Other' WHEN id % 2 = 1 THEN 'Airway' ELSE 'Ventilation' END AS grp,
     ['Intubated/oral ETT', 'Ventilated - with daily extubation evaluation', 'Non-invasive ventilation',
@@ -79,9 +83,9 @@ gases AS (
 ),
 measured AS (
   SELECT stay, off, 'gcs' AS what, (3 + id % 13)::DOUBLE AS x FROM obs WHERE id % 4 <> 0
-  UNION ALL SELECT stay, off, 'bilirubin', ((id * 7) % 150) / 10 FROM obs WHERE id % 3 = 0
-  UNION ALL SELECT stay, off, 'creatinine', ((id * 11) % 60) / 10 FROM obs WHERE id % 3 = 1
-  UNION ALL SELECT stay, off, 'platelets', ((id * 13) % 400)::DOUBLE FROM obs WHERE id % 2 = 0
+  UNION ALL SELECT stay, if(id % 71 <> 0, off, NULL), 'bilirubin', ((id * 7) % 150) / 10 FROM obs WHERE id % 3 = 0
+  UNION ALL SELECT stay, if(id % 71 <> 0, off, NULL), 'creatinine', ((id * 11) % 60) / 10 FROM obs WHERE id % 3 = 1
+  UNION ALL SELECT stay, if(id % 71 <> 0, off, NULL), 'platelets', ((id * 13) % 400)::DOUBLE FROM obs WHERE id % 2 = 0
   UNION ALL SELECT stay, off, 'urine', ((id * 17) % 400)::DOUBLE FROM obs WHERE id % 6 <> 0
 )
 """

@@ -40,6 +40,10 @@ INFUSION_LABELS = (
     "DOBUTamine STD 500 mg Dextrose 5% 250 ml  Premix (mcg/kg/min)",
     "Norepinephrine (mg/hr)",
     "Heparin (units/hr)",
+    # units are known, but no rule lists these labels
+    "Norepinephrine STD 9 mg Dextrose 5% 250 ml (mcg/min)",
+    "Epinephrine drip (mcg/min)",
+    "dopamine drip (mcg/kg/min)",
 )
 # blank labels occur in part of the stays; elsewhere another label stands there
 BLANK_LABELS = {
@@ -58,7 +62,10 @@ ORDER_NAMES = (
     "Heparin",
 )
 DOSAGES = ("16 MG", "8 MG", "4 MG", None)
-RATE_TEXTS = {29: "OFF", 31: "", 37: "ERROR", 41: "UD", 43: "see note", 47: "50 mcg", 53: None}
+RATE_TEXTS = {
+    29: "OFF", 31: "", 37: "ERROR", 41: "UD", 43: "see note", 47: "50 mcg", 53: None,
+    59: "2.5", 61: "0.03125", 67: "12.0625",
+}
 CAREPLAN_VALUES = (
     "Intubated/oral ETT",
     "Ventilated - with daily extubation evaluation",
@@ -94,7 +101,7 @@ def observations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stays(spark: SparkSession, folder: str) -> DataFrame:
-    """A stay per customer; it ends with its last event, some earlier, some unknown."""
+    """A stay per customer, some twice; it ends with its last event, some earlier, some unknown."""
     last = observations(spark, folder).groupBy("stay").agg(F.max("off").alias("last"))
     key = F.col("c_custkey")
     case = key % 20
@@ -127,6 +134,7 @@ def stays(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise((20 + key % 60).cast("string"))
     )
     left_early = F.when(key % 5 == 0, 2880).otherwise(0)
+    copies = F.sequence(F.lit(1), F.when(key % 97 == 0, 2).otherwise(1))
     return (
         spark.read.parquet(f"{folder}/customer.parquet")
         .join(last, key == F.col("stay"), "left")
@@ -136,7 +144,9 @@ def stays(spark: SparkSession, folder: str) -> DataFrame:
             (F.col("last") - left_early).cast("int").alias("unitdischargeoffset"),
             adm.alias("admissionweight"),
             dis.alias("dischargeweight"),
+            F.explode(copies).alias("copy"),
         )
+        .drop("copy")
     )
 
 
@@ -146,9 +156,9 @@ def infusions(obs: DataFrame) -> DataFrame:
     names = [*INFUSION_LABELS, *[other for _, _, other in BLANK_LABELS.values()]]
     rows = ", ".join(f"({n}, '{name}')" for n, name in enumerate(names))
     labels = obs.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(position, drugname)")
-    position = i % 24
+    position = i % 27
     for k, (blank, (modulus, rest, _)) in enumerate(BLANK_LABELS.items(), len(INFUSION_LABELS)):
-        position = F.when((i % 24 == blank) & (stay % modulus != rest), k).otherwise(position)
+        position = F.when((i % 27 == blank) & (stay % modulus != rest), k).otherwise(position)
     rate = (2 * ((i * 7) % 300) + 1).cast("string")
     for modulus, text in RATE_TEXTS.items():
         rate = F.when(i % modulus == 0, F.lit(text)).otherwise(rate)
@@ -156,7 +166,7 @@ def infusions(obs: DataFrame) -> DataFrame:
         obs.select(
             i.alias("infusiondrugid"),
             stay.alias("patientunitstayid"),
-            F.col("slot").alias("infusionoffset"),
+            F.when(i % 73 != 0, F.col("slot")).alias("infusionoffset"),
             position.cast("int").alias("position"),
             rate.alias("drugrate"),
             (i % 10).cast("string").alias("infusionrate"),
@@ -188,7 +198,7 @@ def careplan(obs: DataFrame) -> DataFrame:
         i.alias("cplgeneralid"),
         F.col("stay").alias("patientunitstayid"),
         F.when(turn == 0, True).when(turn == 1, False).alias("activeupondischarge"),
-        F.col("slot").alias("cplitemoffset"),
+        F.when(i % 19 != 0, F.col("slot")).alias("cplitemoffset"),
         F.when(i % 10 == 0, "Other").when(i % 2 == 1, "Airway").otherwise("Ventilation").alias("cplgroup"),
         _pick(CAREPLAN_VALUES, i % 9).alias("cplitemvalue"),
     )
@@ -263,7 +273,7 @@ def labs(obs: DataFrame) -> DataFrame:
     i = F.col("id")
     return obs.select(
         F.col("stay").alias("patientunitstayid"),
-        F.col("off").alias("chartoffset"),
+        F.when(i % 71 != 0, F.col("off")).alias("chartoffset"),
         F.when(i % 3 == 0, (i * 7) % 150 / 10).alias("bilirubin"),
         F.when(i % 3 == 1, (i * 11) % 60 / 10).alias("creatinine"),
         F.when(i % 2 == 0, ((i * 13) % 400).cast("double")).alias("platelets"),

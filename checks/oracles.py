@@ -27,7 +27,44 @@ weights AS (
 )
 """
 
+# --- fixed values: the labels whose rate is a dose, with its unit -----------------
 DRUGS = """
+accepted(drug, name, unit) AS (VALUES
+  ('dopamine', 'Dopamine (mcg/kg/min)', 'mcg/kg/min'),
+  ('dopamine', 'dopamine (mcg/kg/min)', 'mcg/kg/min'),
+  ('dopamine', 'DOPamine STD 15 mg Dextrose 5% 250 ml  Premix (mcg/kg/min)', 'mcg/kg/min'),
+  ('dopamine', 'DOPamine STD 400 mg Dextrose 5% 250 ml  Premix (mcg/kg/min)', 'mcg/kg/min'),
+  ('dopamine', 'DOPamine STD 400 mg Dextrose 5% 500 ml  Premix (mcg/kg/min)', 'mcg/kg/min'),
+  ('dopamine', 'DOPamine MAX 800 mg Dextrose 5% 250 ml  Premix (mcg/kg/min)', 'mcg/kg/min'),
+  ('dopamine', 'Dopamine (mcg/kg/hr)', 'mcg/kg/hr'),
+  ('dopamine', 'Dopamine (mcg/hr)', 'mcg/hr'),
+  ('dopamine', 'Dopamine (mcg/min)', 'mcg/min'),
+  ('dopamine', 'Dopamine (mg/hr)', 'mg/hr'),
+  ('dopamine', 'Dopamine (nanograms/kg/min)', 'nanograms/kg/min'),
+  ('epinephrine', 'Epinephrine (mcg/min)', 'mcg/min'),
+  ('epinephrine', 'EPINEPHrine(Adrenalin)STD 4 mg Sodium Chloride 0.9% 500 ml (mcg/min)', 'mcg/min'),
+  ('epinephrine', 'EPINEPHrine(Adrenalin)STD 7 mg Sodium Chloride 0.9% 250 ml (mcg/min)', 'mcg/min'),
+  ('epinephrine', 'EPINEPHrine(Adrenalin)MAX 30 mg Sodium Chloride 0.9% 250 ml (mcg/min)', 'mcg/min'),
+  ('epinephrine', 'Epinephrine (mcg/kg/min)', 'mcg/kg/min'),
+  ('epinephrine', 'Epinephrine (mcg/hr)', 'mcg/hr'),
+  ('epinephrine', 'Epinephrine (mg/kg/min)', 'mg/kg/min'),
+  ('epinephrine', 'Epinephrine (mg/hr)', 'mg/hr'),
+  ('norepinephrine', 'Norepinephrine (mcg/min)', 'mcg/min'),
+  ('norepinephrine', 'Norepinephrine STD 4 mg Dextrose 5% 250 ml (mcg/min)', 'mcg/min'),
+  ('norepinephrine', 'Norepinephrine STD 4 mg Dextrose 5% 500 ml (mcg/min)', 'mcg/min'),
+  ('norepinephrine', 'Norepinephrine STD 8 mg Dextrose 5% 250 ml (mcg/min)', 'mcg/min'),
+  ('norepinephrine', 'Norepinephrine STD 8 mg Dextrose 5% 500 ml (mcg/min)', 'mcg/min'),
+  ('norepinephrine', 'Norepinephrine STD 32 mg Dextrose 5% 282 ml (mcg/min)', 'mcg/min'),
+  ('norepinephrine', 'Norepinephrine STD 32 mg Dextrose 5% 500 ml (mcg/min)', 'mcg/min'),
+  ('norepinephrine', 'Norepinephrine MAX 32 mg Dextrose 5% 250 ml (mcg/min)', 'mcg/min'),
+  ('norepinephrine', 'Norepinephrine MAX 32 mg Dextrose 5% 500 ml (mcg/min)', 'mcg/min'),
+  ('norepinephrine', 'Norepinephrine (mcg/kg/min)', 'mcg/kg/min'),
+  ('norepinephrine', 'Norepinephrine (mcg/hr)', 'mcg/hr'),
+  ('norepinephrine', 'Norepinephrine (mg/hr)', 'mg/hr'),
+  ('norepinephrine', 'Norepinephrine (mcg/kg/hr)', 'mcg/kg/hr'),
+  ('norepinephrine', 'Norepinephrine (mg/min)', 'mg/min'),
+  ('norepinephrine', 'Norepinephrine (mg/kg/min)', 'mg/kg/min')
+),
 named AS (
   SELECT 'dobutamine' AS drug, * FROM infusions
   WHERE regexp_matches(name, 'Dobutamine|DOBUTamine') AND rate_text <> ''
@@ -45,7 +82,7 @@ named AS (
     AND rate_text NOT IN ('Documentation undone', 'ERROR', 'UD', '') AND NOT contains(rate_text, 'OFF')
 ),
 numeric_rows AS (
-  SELECT *, try_cast(rate_text AS DOUBLE) AS r FROM named WHERE try_cast(rate_text AS DOUBLE) IS NOT NULL
+  SELECT *, try_cast(rate_text AS DOUBLE) AS r, coalesce(off, -1099511627776) AS minute FROM named WHERE try_cast(rate_text AS DOUBLE) IS NOT NULL
 ),
 gaps AS (
   SELECT DISTINCT drug, stay FROM numeric_rows
@@ -57,7 +94,7 @@ in_gap AS (
      OR (drug = 'epinephrine' AND starts_with(name, 'Epinephrine')) OR drug = 'norepinephrine'
 ),
 telling AS (
-  SELECT drug, stay, off, id, if(contains(name, 'norepinephrine'), 'Norepinephrine (ml/hr)', name) AS label
+  SELECT drug, stay, minute, id, if(contains(name, 'norepinephrine'), 'Norepinephrine (ml/hr)', name) AS label
   FROM in_gap
   WHERE name IN ('Dopamine', 'Epinephrine', 'Norepinephrine')
      OR contains(name, 'norepinephrine')
@@ -66,8 +103,8 @@ telling AS (
 ),
 told AS (
   SELECT g.drug, g.id,
-    coalesce(arg_max(t.label, t.off::HUGEINT * 1000000000000 + t.id) FILTER (t.off <= g.off),
-             arg_min(t.label, t.off::HUGEINT * 1000000000000 - t.id) FILTER (t.off > g.off)) AS label
+    coalesce(arg_max(t.label, t.minute::HUGEINT * 1000000000000 + t.id) FILTER (t.minute <= g.minute),
+             arg_min(t.label, t.minute::HUGEINT * 1000000000000 - t.id) FILTER (t.minute > g.minute)) AS label
   FROM in_gap g LEFT JOIN telling t ON t.drug = g.drug AND t.stay = g.stay
   GROUP BY g.drug, g.id
 ),
@@ -89,8 +126,7 @@ units(unit, num, den, per_kg) AS (
          ('mg/kg/min', 1000, 1, false), ('nanograms/kg/min', 1, 1000, false)
 ),
 unit_known AS (
-  SELECT *, regexp_extract(name, '\\(([a-z/]+)\\)$', 1) AS unit FROM dosed
-  WHERE NOT (drug = 'dopamine' AND name IN ('Dopamine (mg/min)', 'Dopamine (mg/kg/min)'))
+  SELECT * FROM dosed JOIN accepted USING (drug, name)
 ),
 label_rates AS (
   SELECT u.* EXCLUDE (unit), num * r / (den * if(per_kg, kg, 1)) AS rate FROM unit_known u JOIN units USING (unit)
@@ -156,7 +192,7 @@ flagged AS (
 ),
 undisputed AS (
   SELECT * FROM flagged
-  QUALIFY NOT (on_off = 0 AND max(on_off) OVER (PARTITION BY stay, off) = 1
+  QUALIFY NOT (on_off = 0 AND off IS NOT NULL AND max(on_off) OVER (PARTITION BY stay, off) = 1
                AND row_number() OVER (PARTITION BY stay, off, on_off ORDER BY item, id) = 1)
 ),
 settled AS (
@@ -168,8 +204,9 @@ settled AS (
 ),
 trimmed AS (
   SELECT s.* FROM settled s
-  JOIN (SELECT stay, min(off) AS begin_off FROM settled WHERE on_off = 1 GROUP BY stay) f USING (stay)
-  WHERE s.off >= begin_off
+  JOIN (SELECT stay, min(off) AS begin_off, bool_or(off IS NULL) AS from_start
+        FROM settled WHERE on_off = 1 GROUP BY stay) f USING (stay)
+  WHERE from_start OR s.off >= begin_off
 ),
 tail1 AS (
   SELECT * FROM trimmed
@@ -199,7 +236,7 @@ closed AS (
   SELECT t.id, t.stay, s.discharge, false, 'Airway', 'Spontaneous - adequate', 0
   FROM (SELECT * FROM paired
         QUALIFY row_number() OVER (PARTITION BY stay ORDER BY off DESC NULLS LAST, on_off, id DESC) = 1) t
-  LEFT JOIN stays s USING (stay)
+  LEFT JOIN (SELECT DISTINCT stay, discharge FROM stays) s USING (stay)
   WHERE t.on_off = 1 AND t.active
 ),
 numbered AS (
@@ -217,17 +254,22 @@ vent AS (
   SELECT a.stay, a.point AS starttime, b.point AS endtime
   FROM moments a JOIN moments b ON b.stay = a.stay AND b.k = a.k + 1 WHERE a.k % 2 = 1
 ),
+timed AS (
+  SELECT * REPLACE (row_number() OVER (PARTITION BY stay ORDER BY off, on_off DESC, id) AS n)
+  FROM numbered WHERE off IS NOT NULL
+),
 runs AS (
   SELECT a.stay, a.off AS starttime,
-         (SELECT min(z.off) FROM numbered z WHERE z.stay = a.stay AND z.n > a.n AND z.on_off = 0) AS endtime
-  FROM numbered a LEFT JOIN numbered before ON before.stay = a.stay AND before.n = a.n - 1
+         (SELECT min(z.off) FROM timed z WHERE z.stay = a.stay AND z.n > a.n AND z.on_off = 0) AS endtime
+  FROM timed a LEFT JOIN timed before ON before.stay = a.stay AND before.n = a.n - 1
   WHERE a.on_off = 1 AND coalesce(before.on_off, 0) = 0
 )
 """
 
 SCORES = """
 grid AS (
-  SELECT stay, unnest(range(-24, ceil(discharge / 60.0)::INT + 1))::INT AS hr FROM stays WHERE age <> ''
+  SELECT stay, unnest(range(-24, ceil(discharge / 60.0)::INT + 1))::INT AS hr
+  FROM (SELECT DISTINCT stay, discharge FROM stays WHERE age <> '')
 ),
 pf AS (
   SELECT g.id, g.stay, g.off, round(pao2 / nullif(fio2, 0), 0) AS ratio,
@@ -360,17 +402,73 @@ FINAL = {
     "sofa_total": f"SELECT stay AS patientunitstayid, hr, {WORST}, {TOTAL} FROM worst WHERE hr >= 0",
     "sofa_full": f"SELECT {PANEL_COLUMNS}, {ORGANS}, {WORST}, {TOTAL} FROM worst WHERE hr >= 0",
     "written_tables": f"SELECT stay AS patientunitstayid, hr, {WORST}, {TOTAL} FROM worst WHERE hr >= 0",
-    "contract_violations": "SELECT 'pivoted_bg' AS \"table\", 'fio2 is no fraction' AS rule,"
-    " count(*) FILTER (NOT (fio2 > 0 AND fio2 <= 1)) AS \"rows\" FROM gases"
-    " UNION ALL SELECT 'pivoted_bg', 'patientunitstayid is null', count(*) FILTER (stay IS NULL) FROM gases"
-    " UNION ALL SELECT 'pivoted_bg', 'chartoffset is null', count(*) FILTER (off IS NULL) FROM gases"
-    " UNION ALL SELECT 'careplangeneral', 'cplgeneralid is null', count(*) FILTER (id IS NULL) FROM careplan"
-    " UNION ALL SELECT 'careplangeneral', 'patientunitstayid is null', count(*) FILTER (stay IS NULL) FROM careplan"
-    " UNION ALL SELECT 'careplangeneral', 'cplitemoffset is null', count(*) FILTER (off IS NULL) FROM careplan"
-    " UNION ALL SELECT 'careplangeneral', 'cplgeneralid is repeated',"
-    "   (SELECT coalesce(sum(n - 1), 0)::BIGINT FROM (SELECT count(*) AS n FROM careplan GROUP BY id))",
 }
 
 
+def _violations() -> str:
+    """A count for each rule of each input table."""
+    lab = "if(id % 71 <> 0, off, NULL)"
+    # table -> (rows, columns that must not be NULL, column that must not repeat)
+    inputs = {
+        "infusiondrug": ("infusions", {"infusiondrugid": "id", "patientunitstayid": "stay"}, "id"),
+        "medication": ("drug_orders", {"patientunitstayid": "stay"}, None),
+        "careplangeneral": ("careplan", {"cplgeneralid": "id", "patientunitstayid": "stay"}, "id"),
+        "vitalperiodic": (
+            "(FROM cuff WHERE kind IN ('view', 'purchase'))",
+            {"patientunitstayid": "stay", "observationoffset": "off"},
+            None,
+        ),
+        "vitalaperiodic": (
+            "(FROM cuff WHERE kind = 'error')",
+            {"patientunitstayid": "stay", "observationoffset": "off"},
+            None,
+        ),
+        "pivoted_vital": (
+            "(FROM cuff WHERE kind IN ('click', 'signup'))",
+            {"patientunitstayid": "stay", "chartoffset": "off"},
+            None,
+        ),
+        "icustay_detail": ("stays", {"patientunitstayid": "stay"}, "stay"),
+        "pivoted_bg": ("gases", {"patientunitstayid": "stay", "chartoffset": "off"}, None),
+        "pivoted_score": ("obs", {"patientunitstayid": "stay", "chartoffset": "off"}, None),
+        "pivoted_lab": ("obs", {"patientunitstayid": "stay", "chartoffset": lab}, None),
+        "pivoted_uo": ("obs", {"patientunitstayid": "stay", "chartoffset": "off"}, None),
+    }
+    parts = [
+        "SELECT 'pivoted_bg' AS \"table\", 'fio2 is no fraction' AS rule,"
+        " count(*) FILTER (NOT (fio2 > 0 AND fio2 <= 1)) AS \"rows\" FROM gases"
+    ]
+    for table, (rows, known, single) in inputs.items():
+        for column, value in known.items():
+            parts.append(f"SELECT '{table}', '{column} is null', count(*) FILTER ({value} IS NULL) FROM {rows}")
+            if value == single:
+                parts.append(
+                    f"SELECT '{table}', '{column} is repeated', count({value}) - count(DISTINCT {value}) FROM {rows}"
+                )
+    return " UNION ALL ".join(parts)
+
+
+FINAL["contract_violations"] = _violations()
+# written table -> the query that makes the same rows
+WRITTEN = {
+    "weight": "weight_repair",
+    "dobutamine": "rate_dobutamine",
+    "dopamine": "rate_dopamine",
+    "epinephrine": "rate_epinephrine",
+    "norepinephrine": "rate_norepinephrine",
+    "blood_pressure": "pressure_coalesce",
+    "ventilation": "vent_episodes_reference",
+    "sofa": "sofa_full",
+    "contract_violations": "contract_violations",
+    "infusion_rejects": None,
+}
+REJECTED = (
+    "SELECT drug, id AS infusiondrugid, stay AS patientunitstayid, off AS infusionoffset, name AS drugname,"
+    " rate_text AS drugrate, infusionrate, drugamount, volumeoffluid, patientweight FROM named"
+    " WHERE rate_text IS NOT NULL AND try_cast(rate_text AS DOUBLE) IS NULL"
+)
+FINAL |= {f"written_{table}": FINAL.get(name, REJECTED) for table, name in WRITTEN.items()}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: f"WITH {CTES} {select}" for name, select in FINAL.items()}

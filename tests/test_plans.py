@@ -6,14 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as job
+from checks import oracles
 from acuity import contracts, rules
 from acuity.operators import infusions as infusion
-from acuity.operators.grid import hour_grid
+from acuity.operators.grid import hour_grid, hourly_panel
 from acuity.operators.pressures import coalesce_pressures
 from acuity.operators.ventilation import episodes, vent_events
 from acuity.operators.weights import clean_weights
-from acuity.plans.scoring import run
-from acuity.sources.event_tables import clinical_inputs
+from acuity.plans.scoring import run, score_signals
+from checks.event_tables import clinical_inputs
 from acuity.sources.tables import build, read_inputs
 from tests.conftest import SF_DIR, rows_of
 
@@ -38,7 +39,7 @@ def unbroadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(job.queries()))
+@pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
 def test_no_pairing_joins_and_no_python(spark, name):
     if name == "written_tables":
         pytest.skip("runs while it is built")
@@ -130,6 +131,39 @@ def test_a_hot_minute_is_split(spark, table, unbroadcast):
             spark.conf.unset(key)
 
 
+def test_the_grid_takes_one_shuffle(spark, inputs, unbroadcast):
+    assert len(exchanges(hour_grid(spark.createDataFrame([(1, "40", 90)], "patientunitstayid long, age string, unitdischargeoffset int")))) == 1
+
+
+def test_the_grid_takes_a_number_of_partitions(spark, table):
+    stays = table("icustay_detail", [{"patientunitstayid": i, "age": "40", "unitdischargeoffset": 90} for i in range(50)])
+    assert "patientunitstayid#" in exchanges(hour_grid(stays, partitions=7))[0] and ", 7" in exchanges(hour_grid(stays, partitions=7))[0]
+    assert hour_grid(stays, partitions=7).count() == hour_grid(stays).count() == 50 * 27
+
+
+def test_all_drugs_read_the_infusions_twice(spark, inputs, unbroadcast, tmp_path):
+    for name, df in inputs.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    t = read_inputs(spark, path=str(tmp_path))
+    rates = infusion.vasoactive_rates(t["infusiondrug"], t["medication"], clean_weights(t["icustay_detail"]))
+    assert len(re.findall(r"FileScan parquet .*infusionoffset", plan(rates))) == 2
+
+
+def test_the_score_does_not_spread_pressures_by_minute(spark, inputs, unbroadcast, tmp_path):
+    tables = build(inputs, path=str(tmp_path))
+    signals = score_signals(
+        inputs["pivoted_bg"], inputs["pivoted_score"], inputs["pivoted_lab"], inputs["pivoted_uo"],
+        tables["blood_pressure"], tables["ventilation"], infusion.long_table(tables["dopamine"], "dopamine"),
+    )
+    by = exchanges(hourly_panel(hour_grid(inputs["icustay_detail"]), signals))
+    assert by and not any("observationoffset" in keys for keys in by)
+
+
+def test_orders_that_cannot_occur_are_left_out():
+    assert rules.NOREPINEPHRINE.concentrations() == [rules.Concentration(4, 250), rules.Concentration()]
+    assert rules.EPINEPHRINE.concentrations() == [rules.Concentration(4, 250)]
+
+
 def test_the_grid_is_not_shuffled_after_it_is_made(spark, inputs, unbroadcast):
     lines = plan(run(inputs)["sofa"]).splitlines()
     made = next(i for i, line in enumerate(lines) if "Generate explode(sequence(-24" in line)
