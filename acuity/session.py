@@ -49,13 +49,15 @@ def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
 
 
 def _delete_at_end(spark: SparkSession, path: str) -> None:
-    """Let the file system remove a scratch path when the application ends."""
+    """Make a scratch folder, and let the file system remove it when the application ends."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(where)
+    files.deleteOnExit(where)
 
 
 def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
-    """A new path in the shared folder, removed when the application ends."""
+    """A new folder in the shared one, removed when the application ends."""
     path = f"{shared_folder(spark, folder)}/{name}_{uuid.uuid4().hex}"
     _delete_at_end(spark, path)
     return path
@@ -63,6 +65,6 @@ def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> s
 
 def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write a table to the shared folder and return it as written, which cuts the lineage."""
-    path = scratch_path(df.sparkSession, name, folder)
+    path = f"{scratch_path(df.sparkSession, name, folder)}/table"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
