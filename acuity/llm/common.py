@@ -12,12 +12,21 @@ from pyspark.sql import functions as F
 import acuity
 
 _SHIPPED: set[str] = set()
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: the most texts that a Python worker holds at a time
+MOST_TEXTS = 1000
 #: white space that parts words
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Let the executors' Python import this package, once for each application."""
+    """Let the executors' Python import this package, once for each application.
+
+    Also lowers the session's number of records in an Arrow batch to ``MOST_TEXTS`` where it is
+    higher, as texts are long.
+    """
+    if not 0 < int(spark.conf.get(_BATCH)) <= MOST_TEXTS:
+        spark.conf.set(_BATCH, str(MOST_TEXTS))
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         root = os.path.dirname(os.path.abspath(acuity.__file__))
