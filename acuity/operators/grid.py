@@ -26,8 +26,12 @@ def cohort(stays: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def _by_stay(df: DataFrame, partitions: int | None) -> DataFrame:
-    """One layout by stay for the grid and what is put on it."""
-    return df.repartition(partitions, STAY) if partitions else df.repartition(STAY)
+    """One layout by stay for the grid and what is put on it.
+
+    A few bytes per stay become hundreds of rows here, which adaptive execution can't know
+    when it merges small partitions; so the number is given, a task for each core by default.
+    """
+    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism, STAY)
 
 
 def hour_grid(
@@ -35,15 +39,13 @@ def hour_grid(
 ) -> DataFrame:
     """A row per stay and hour, from ``lead_hours`` before admission to discharge.
 
-    Copies of a stay are merged before they grow; the longest counts. A few bytes per stay
-    become hundreds of rows, so a big cohort may ask for more ``partitions`` here (and in
-    :func:`hourly_panel`) than adaptive execution finds worth while.
+    Copies of a stay are merged where they meet, before they grow; the longest counts. One
+    shuffle serves both. ``partitions`` is the number of tasks that make the grid, which
+    :func:`hourly_panel` has to be given as well.
     """
     last = F.col("los_icu_hours")
     kept = cohort(stays).where(last >= -lead_hours)
-    if partitions:
-        kept = _by_stay(kept, partitions)
-    longest = kept.groupBy(STAY).agg(F.max("los_icu_hours").alias("los_icu_hours"))
+    longest = _by_stay(kept, partitions).groupBy(STAY).agg(F.max("los_icu_hours").alias("los_icu_hours"))
     return longest.select(STAY, F.explode(F.sequence(F.lit(-lead_hours), last)).alias("hr"))
 
 
