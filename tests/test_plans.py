@@ -90,7 +90,7 @@ def test_records_are_never_spread_by_stay_alone(spark, inputs, unbroadcast, tmp_
                 break
             child.append(below)
         text = "\n".join(child)
-        assert "Aggregate" in text or "unitdischargeoffset" in text and "/icustay_detail" in text
+        assert "Aggregate" in text or "unitdischargeoffset" in text and "age#" in text
     assert by_stay >= 4
 
 
