@@ -56,9 +56,12 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _CLOSERS = {name: re.compile(f"</{name}(?=[\\s/>])", re.I) for name in RAW}
 
 
-def _roles(attributes: str) -> tuple[str, bool]:
-    """(name of an element's class and id, whether they say that it isn't the article)."""
-    names, side = [], False
+def _roles(attributes: str) -> tuple[str, bool, int]:
+    """(name of an element's class and id, whether it is hidden, how far names say that it isn't the article).
+
+    2: a name is made of hints only (``social-share``); 1: a hint is one word of a name (``share-price``).
+    """
+    names, side, hint = [], False, 0
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or "").strip("\"'")
         if key == "style":
@@ -69,8 +72,10 @@ def _roles(attributes: str) -> tuple[str, bool]:
             side |= value.lower() == "true"
         else:
             names.append(value)
-            side |= any(w.lower() in HINTS for w in _WORDS.findall(value))
-    return " ".join(names), side
+            for name in value.split():
+                hinted = [w.lower() in HINTS for w in _WORDS.findall(name)]
+                hint = max(hint, any(hinted) + (any(hinted) and all(hinted)))
+    return " ".join(names), side, hint
 
 
 @dataclass
@@ -78,8 +83,8 @@ class Page:
     """What a page is made of: structural tokens in order, and blocks of text between them."""
 
     tokens: list[tuple] = field(default_factory=list)
-    # (place among the tokens, text, characters in links, aside, in the main element, path)
-    blocks: list[tuple[int, str, int, bool, bool, tuple]] = field(default_factory=list)
+    # (place among the tokens, text, characters in links, aside, in the main element, path, (path, hint) of hinted elements around)
+    blocks: list[tuple[int, str, int, bool, bool, tuple, tuple]] = field(default_factory=list)
 
 
 class _Reader:
@@ -87,22 +92,22 @@ class _Reader:
 
     def __init__(self) -> None:
         self.page = Page()
-        # (tag, path, aside, main)
-        self.open: list[tuple[str, tuple, bool, bool]] = []
+        # (tag, path, aside, main, hinted)
+        self.open: list[tuple[str, tuple, bool, bool, tuple]] = []
         self.parts: list[str] = []
         self.linked = 0
         self.links = 0
 
-    def state(self) -> tuple[tuple, bool, bool]:
-        return self.open[-1][1:] if self.open else ((), False, False)
+    def state(self) -> tuple[tuple, bool, bool, tuple]:
+        return self.open[-1][1:] if self.open else ((), False, False, ())
 
     def flush(self) -> None:
         if self.parts:
             text = "".join(self.parts)
             text = " ".join((unescape(text) if "&" in text else text).split())
             if text:
-                path, side, main = self.state()
-                self.page.blocks.append((len(self.page.tokens), text, self.linked, side, main, path))
+                path, side, main, hinted = self.state()
+                self.page.blocks.append((len(self.page.tokens), text, self.linked, side, main, path, hinted))
             self.parts, self.linked = [], 0
 
     def text(self, s: str) -> None:
@@ -125,18 +130,19 @@ class _Reader:
                 if tag == "br":
                     self.parts.append(" ")
                 return
-            path, side, main = self.state()
+            path, side, main, hinted = self.state()
             if attributes and not alone:
-                name, aside = _roles(attributes)
-                if aside and not side:
+                name, aside, hint = _roles(attributes)
+                if (aside or hint == 2) and not side:
                     # what an inline advert holds is a block of its own
                     self.flush()
-                    self.open.append((tag, (*path, f"{tag}.{name}"), True, main))
+                    inner = (*path, f"{tag}.{name}")
+                    self.open.append((tag, inner, aside, main, hinted if aside else (*hinted, (inner, hint))))
                     self.links += tag == "a"
                     return
             if not alone:
                 self.links += tag == "a"
-                self.open.append((tag, path, side, main))
+                self.open.append((tag, path, side, main, hinted))
             return
         self.flush()
         ends = ENDS.get(tag, () if tag in ("col", "param", "source", "track") else ("p",))
@@ -147,19 +153,26 @@ class _Reader:
                 break
             if self.open[k][0] in HOLDS:
                 break
-        path, side, main = self.state()
-        name, aside = _roles(attributes) if attributes else ("", False)
+        path, side, main, hinted = self.state()
+        name, aside, hint = _roles(attributes) if attributes else ("", False, 0)
         inner = (*path, f"{tag}.{name}" if name else tag)
         main_here = main or tag in MAIN or name.lower() == "main"
         # a header inside the article heads the article
-        aside = aside or tag in SIDE and not (tag == "header" and main)
+        if tag == "form":  # a form can hold the whole page
+            hint = 2
+        else:
+            aside = aside or tag in SIDE and not (tag == "header" and main)
         if tag in MAIN | {"body", "html"} and not main:
-            aside = False
+            aside, hint = False, 0
+        if main_here and not main:
+            hinted = ()  # the main element starts anew, whatever holds it is called
+        if hint:
+            hinted = (*hinted, (inner, hint))
         self.page.tokens.append(("", inner))
         if tag in VOID or alone:
             self.page.tokens.append(("/", inner))
             return
-        self.open.append((tag, inner, side or aside, main_here))
+        self.open.append((tag, inner, side or aside, main_here, hinted))
 
     def end(self, tag: str) -> None:
         for k in range(len(self.open) - 1, -1, -1):
@@ -168,7 +181,7 @@ class _Reader:
                     # only what is inline may stand open above it
                     if any(o[0] not in INLINE for o in self.open[k + 1 :]):
                         return
-                    if self.open[k][2] and (k == 0 or not self.open[k - 1][2]):
+                    if self.open[k][1] != (self.open[k - 1][1] if k else ()):
                         self.flush()
                 while len(self.open) > k:
                     self.pop()
@@ -245,11 +258,15 @@ def read(html: str | None) -> Page:
 
 @dataclass
 class Template:
-    """Tokens of the template in order, each with its place; ``repeats`` are the nested classes by gap."""
+    """Tokens of the template in order, each with its place; ``repeats`` are the nested classes by gap.
+
+    ``apart`` are the hinted elements that are slots of their own, apart from the article.
+    """
 
     order: dict[tuple, int]
     repeats: dict[tuple, int]
     constant: set[tuple]
+    apart: set[tuple] = field(default_factory=set)
 
 
 def deduce(pages: list[Page]) -> Template:
@@ -258,7 +275,7 @@ def deduce(pages: list[Page]) -> Template:
     for i, page in enumerate(pages):
         for token in page.tokens:
             counts[token][i] += 1
-        for _, text, _, _, main, path in page.blocks:
+        for _, text, _, _, main, path, _ in page.blocks:
             if not main:
                 counts[("=", path, text)][i] += 1
     classes: dict[tuple, list[tuple]] = defaultdict(list)
@@ -297,7 +314,19 @@ def deduce(pages: list[Page]) -> Template:
     constant = set()
     if len(pages) >= 3 and len(whole) >= 3:
         constant = {t[1:] for v, tokens in classes.items() if len(v) == len(pages) and all(n == 1 for _, n in v) for t in tokens if t[0] == "="}
-    return Template(order, repeats, constant)
+    apart = set()
+    if len(pages) >= 3 and len(whole) >= 3:
+        size: dict[tuple, int] = defaultdict(int)
+        for page in pages:
+            for _, text, _, side, main, _, hinted in page.blocks:
+                if not side:
+                    size[main] += len(text)
+                    for path, hint in dict(hinted).items():
+                        if hint == 1:
+                            size[main, path] += len(text)
+        # what holds half of the text is the article, whatever its name
+        apart = {t[1] for t in order if t[0] == "" and any(0 < 2 * size.get((main, t[1]), 0) < size[main] for main in (False, True))}
+    return Template(order, repeats, constant, apart)
 
 
 def extract(pages: list[Page], template: Template) -> list[str]:
@@ -318,7 +347,9 @@ def extract(pages: list[Page], template: Template) -> list[str]:
     menus = {gap for gap, (size, linked) in slots.items() if linked > 0.6 * size}
     out = []
     for page, own in zip(pages, placed, strict=True):
-        rest = [(b, gap) for b, gap in zip(page.blocks, own, strict=True) if not b[3]]
+        rest = [(b, gap) for b, gap in zip(page.blocks, own, strict=True) if not b[3] and not any(p in template.apart for p, _ in b[6])]
+        # names that would leave nothing are not heeded
+        rest = [(b, gap) for b, gap in rest if not any(hint == 2 for _, hint in b[6])] or rest
         main = [b for b, _ in rest if b[4]]
         if not main:
             main = [b for b, gap in rest if gap not in menus and (b[5], b[1]) not in template.constant]

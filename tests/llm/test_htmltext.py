@@ -90,3 +90,23 @@ def test_the_query_equals_a_plain_reading_of_the_articles(spark, sf_dir):
         blocks = [" ".join(unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split("</?(?:p|h1|li|td|tr|table|ul|div)\\b[^>]*>", inner)]
         assert r.text == "\n".join(b for b in blocks if b)
         assert r.n_chars == len(r.text) and r.url == pages[r.page_id].url
+
+
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "no-sidebar", "has-header", "page-with-comments", "widget"])
+def test_an_article_is_whole_whatever_its_wrappers_are_called(name):
+    assert one(f"<body><div class='{name}'><article><p>x</p><p>y</p></article></div>") == "x\ny"
+    assert one(f"<form><div id='{name}'><main><p>x</p><nav>n</nav></main></div></form>") == "x"
+    assert one(f"<body><div class='{name}'><p>x</p></div>") == "x"
+
+
+def test_a_hinted_element_goes_only_as_a_slot_of_its_own():
+    rng = random.Random(3)
+
+    def shell(body, i):
+        odd = "<p class='share-price'>up 3</p><div class='legal-text'>the law</div>" if i == 4 else ""
+        return f"<body><div class='has-header'><article><div class='legal-body'>{body}{odd}</div><div class='post-share-row'>on {i} sites</div></article></div>"
+
+    pages = site(rng, 12, shell)
+    read = [htmltext.read(h) for h, _ in pages]
+    want = [t + ("\nup 3\nthe law" if i == 4 else "") for i, (_, t) in enumerate(pages)]
+    assert htmltext.extract(read, htmltext.deduce(read)) == want
