@@ -5,7 +5,8 @@ tags told apart by their path, and constant lines) that occur equally often on e
 page form an equivalence class. A class is valid if its tokens keep one order; classes
 that occur once a page form the template, and classes that repeat nest in one of its gaps.
 The gaps are slots. Slots whose enclosing elements are menus, adverts and the like, or
-whose text is mostly links, are dropped, and what the other slots hold is the text.
+whose text is mostly links, are dropped, and what the other slots hold is the text. Main
+elements are read by slots as well; lines and lists of links that all unlike articles have go.
 """
 
 from __future__ import annotations
@@ -53,6 +54,7 @@ _NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:_-]*")
 _STOP = re.compile(r"[\"'>]")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_HEADING = re.compile(r"h[1-6](?:\.|$)")
 _CLOSERS = {name: re.compile(f"</{name}(?=[\\s/>])", re.I) for name in RAW}
 
 
@@ -260,13 +262,58 @@ def read(html: str | None) -> Page:
 class Template:
     """Tokens of the template in order, each with its place; ``repeats`` are the nested classes by gap.
 
-    ``apart`` are the hinted elements that are slots of their own, apart from the article.
+    ``apart`` are the hinted elements that are slots of their own, apart from the article. ``constant`` are
+    lines outside the main elements, ``inner`` those inside, ``menus`` slots of links inside.
     """
 
     order: dict[tuple, int]
     repeats: dict[tuple, int]
     constant: set[tuple]
     apart: set[tuple] = field(default_factory=set)
+    inner: set[tuple] = field(default_factory=set)
+    menus: set[int] = field(default_factory=set)
+
+
+def _unlike(pages: list[Page]) -> list[Page]:
+    """Pages whose main elements are no copies: at most half of the text is in those before."""
+    out, seen = [], set()
+    for page in pages:
+        lines = [b[1] for b in page.blocks if b[4] and not b[3]]
+        if lines and 2 * sum(len(x) for x in lines if x in seen) <= sum(map(len, lines)):
+            out.append(page)
+            seen.update(lines)
+    return out
+
+
+def _inner(pages: list[Page], order: dict[tuple, int], repeats: dict[tuple, int]) -> tuple[set[tuple], set[int]]:
+    """(lines, slots of links) of the template inside the main elements, learned from unlike ones alone."""
+    some = _unlike(pages)
+    if len(some) < 3:
+        return set(), set()
+    on: dict[tuple, int] = defaultdict(int)
+    slots: dict[int, list[int]] = defaultdict(lambda: [0, 0, 0])
+    for page in some:
+        blocks = [b for b in page.blocks if b[4] and not b[3]]
+        for line in {(b[5], b[1]) for b in blocks}:
+            on[line] += 1
+        for b, gap in zip(page.blocks, _gaps(page, order), strict=True):
+            if b[4] and not b[3]:
+                # a linked heading is no menu
+                links = not any(_HEADING.match(x) for x in b[5]) and ("", b[5]) in repeats
+                for i, x in enumerate((len(b[1]), b[2], links)):
+                    slots[gap][i] += x
+    every = sum(size for size, _, _ in slots.values())
+    menus = {gap for gap, (size, linked, n) in slots.items() if linked > 0.6 * size and n >= 2 * len(some) and 2 * size < every}
+    # however often a page has the line
+    return {line for line, n in on.items() if n == len(some)}, menus
+
+
+def _gaps(page: Page, order: dict[tuple, int]) -> list[int]:
+    """The slot of each block."""
+    marks = [(k, order[t]) for k, t in enumerate(page.tokens) if t in order]
+    starts = [k for k, _ in marks]
+    places = (bisect_right(starts, b[0] - 1) - 1 for b in page.blocks)
+    return [marks[at][1] if at >= 0 else -1 for at in places]
 
 
 def deduce(pages: list[Page]) -> Template:
@@ -326,7 +373,7 @@ def deduce(pages: list[Page]) -> Template:
                             size[main, path] += len(text)
         # what holds half of the text is the article, whatever its name
         apart = {t[1] for t in order if t[0] == "" and any(0 < 2 * size.get((main, t[1]), 0) < size[main] for main in (False, True))}
-    return Template(order, repeats, constant, apart)
+    return Template(order, repeats, constant, apart, *_inner(pages, order, repeats))
 
 
 def extract(pages: list[Page], template: Template) -> list[str]:
@@ -334,13 +381,8 @@ def extract(pages: list[Page], template: Template) -> list[str]:
     slots: dict[int, list[int]] = defaultdict(lambda: [0, 0])
     placed = []
     for page in pages:
-        marks = [(k, template.order[t]) for k, t in enumerate(page.tokens) if t in template.order]
-        starts = [k for k, _ in marks]
-        own = []
-        for block in page.blocks:
-            at = bisect_right(starts, block[0] - 1) - 1
-            gap = marks[at][1] if at >= 0 else -1
-            own.append(gap)
+        own = _gaps(page, template.order)
+        for block, gap in zip(page.blocks, own, strict=True):
             slots[gap][0] += len(block[1])
             slots[gap][1] += block[2]
         placed.append(own)
@@ -351,6 +393,8 @@ def extract(pages: list[Page], template: Template) -> list[str]:
         # names that would leave nothing are not heeded
         rest = [(b, gap) for b, gap in rest if not any(hint == 2 for _, hint in b[6])] or rest
         main = [b for b, _ in rest if b[4]]
+        # a main element is a hint for what the slots hold; the template's lines and links in it go
+        main = [b for b, gap in rest if b[4] and gap not in template.menus and (b[5], b[1]) not in template.inner] or main
         if not main:
             main = [b for b, gap in rest if gap not in menus and (b[5], b[1]) not in template.constant]
         out.append("\n".join(b[1] for b in main))

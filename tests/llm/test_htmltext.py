@@ -110,3 +110,20 @@ def test_a_hinted_element_goes_only_as_a_slot_of_its_own():
     read = [htmltext.read(h) for h, _ in pages]
     want = [t + ("\nup 3\nthe law" if i == 4 else "") for i, (_, t) in enumerate(pages)]
     assert htmltext.extract(read, htmltext.deduce(read)) == want
+
+
+def test_repeated_lines_and_link_lists_inside_the_article_are_the_template():
+    rng = random.Random(4)
+
+    def shell(body, i):
+        links = "".join(f"<li><a href=/{k}>story {k} of {i}</a>" for k in range(3))
+        note = "<p>Sign up for our letter</p>"
+        return f"<body><article><h1><a href=/{i}>Title {i}</a></h1><p>Read this first</p>{note}<div class=b>{body}</div>{note}<ul class=x3>{links}</ul></article></body>"
+
+    pages = site(rng, 14, shell)
+    read = [htmltext.read(h) for h, _ in pages]
+    want = [f"Title {i}\n{t}" for i, (_, t) in enumerate(pages)]
+    assert htmltext.extract(read, htmltext.deduce(read)) == want
+    # copies of one article and two others show no template
+    few = [read[0]] * 20 + read[1:2]
+    assert "Read this first" in htmltext.extract(few, htmltext.deduce(few))[0]
