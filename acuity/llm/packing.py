@@ -153,9 +153,10 @@ def bin_completion(counts: np.ndarray, size: int, effort: int = 50_000, tail: in
 
     The incumbent is best-fit decreasing. If that is above the lower bound, bins are
     completed around the largest length left, best filling first, and a branch ends once
-    its waste leaves no way to fewer bins than the incumbent. Depth first; the last ``tail``
-    bins are searched again with other fillings, in at most about ``effort`` steps. All
-    lengths are packed whatever the search finds.
+    its waste leaves no way to fewer bins than the incumbent. Depth first; all bins are
+    searched again with other fillings, ``tail`` bins together in at most about ``effort`` steps: the
+    last ones, then all by waste, the most first, then bins of much waste beside bins of little,
+    until no group gets better. All lengths are packed whatever the search finds.
     """
     best = best_fit(counts, size)
     bound = lower_bound(counts, size)
@@ -166,11 +167,29 @@ def bin_completion(counts: np.ndarray, size: int, effort: int = 50_000, tail: in
         best = first
     if len(best) <= bound:
         return best
-    head, last = best[:-tail], best[-tail:]
-    again = np.zeros_like(counts)
-    for b in last:
-        np.add.at(again, b, 1)
-    return head + _search(again, size, last, effort)
+    best = best[:-tail] + _again(best[-tail:], counts, size, effort)
+    fewer = True
+    while fewer and len(best) > bound:
+        before = len(best)
+        for mixed in (False, True):
+            best.sort(key=sum)
+            groups = max(1, -(-len(best) // tail))
+            dealt = [best[k::groups] if mixed else best[k * tail : (k + 1) * tail] for k in range(groups)]
+            best = []
+            for k, group in enumerate(dealt):
+                if len(best) + sum(map(len, dealt[k:])) > bound:
+                    group = _again(group, counts, size, effort)
+                best += group
+        fewer = len(best) < before
+    return best
+
+
+def _again(bins: list[list[int]], counts: np.ndarray, size: int, effort: int) -> list[list[int]]:
+    """What some bins hold, in fewer if the search finds that."""
+    own = np.zeros_like(counts)
+    for b in bins:
+        np.add.at(own, b, 1)
+    return _search(own, size, bins, effort)
 
 
 def _complete(left: np.ndarray, size: int) -> list[list[int]]:

@@ -110,3 +110,14 @@ def test_shards_lose_no_row(spark):
     for r in got:
         room[r.sequence_id] += r.length
     assert max(room.values()) <= 100
+
+
+def test_bins_of_the_whole_shard_are_searched_again():
+    rng = np.random.default_rng(3)
+    lengths = np.concatenate([rng.integers(34, 45, 200), rng.integers(26, 33, 200)])
+    counts = np.bincount(lengths, minlength=101)
+    bins = packing.bin_completion(counts, 100)
+    assert sorted(x for b in bins for x in b) == sorted(lengths.tolist())
+    assert max(map(sum, bins)) <= 100
+    # searching the last 48 bins alone leaves 150
+    assert len(bins) <= 146
