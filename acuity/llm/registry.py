@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from acuity.llm import embeddings, htmltext, langid, lm, mixing, packing, pii, quality, secrets, simhash
+from acuity.llm import embeddings, htmltext, langid, lm, mixing, negatives, packing, pii, quality, secrets, simhash, topk, variants
 
 
 def queries() -> dict:
@@ -19,9 +19,17 @@ def queries() -> dict:
         "op8_lm_scoring": lm.op8,
         "op9_html_text": htmltext.op9,
         "op10_personal_data": pii.op10,
+        "op11_spelling_variants": variants.op11,
+        "op12_top_k": topk.op12,
+        "op13_hard_negatives": negatives.op13,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op6_mixing": mixing.op6_sql()}
+    found = {
+        "op6_mixing": mixing.op6_sql(),
+        "op11_spelling_variants": variants.op11_sql(),
+        "op12_top_k": topk.op12_sql(),
+        "op13_hard_negatives": negatives.op13_sql(),
+    }
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
