@@ -26,7 +26,7 @@ def primes_for(bound: int) -> list[int]:
     """As few primes as tell all whole numbers from -bound to bound apart."""
     chosen, product = [], 1
     for p in PRIMES:
-        if product > 2 * bound:
+        if chosen and product > 2 * bound:
             break
         chosen.append(p)
         product *= p
