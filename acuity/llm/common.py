@@ -45,6 +45,17 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores behind them until no column of ``df`` has such a name."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def release() -> None:
     """Give freed memory back, which a Python worker else keeps from task to task."""
     pa.default_memory_pool().release_unused()

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from acuity.llm.common import remainder, ship, table
+from acuity.llm.common import fresh, remainder, ship, table
 
 UNDECIDED = "und"
 _EDGE = 1  # stands for the bounds of words; no letter has this code
@@ -170,31 +170,48 @@ def identify(
     spark = ship(docs.sparkSession)
     sent = spark.sparkContext.broadcast(profiles)
     names = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(text_col).cast("string").alias("__text"))
+    (whole,) = fresh(docs, "whole")
+    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(text_col).cast("string").alias(whole))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [sent.value.score(t) for t in pdf.pop("__text")]
+            found = [sent.value.score(t) for t in pdf.pop(whole)]
             for i, name in enumerate(added):
                 pdf[name] = [f[i] for f in found]
             yield pdf
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("__text").schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop(whole).schema)
     new = ", ".join(f"`{n}` {kind}" for n, kind in zip(added, ("string", "double", "double"), strict=True))
     return rows.mapInPandas(work, f"{schema}, {new}")
 
 
-def accept(docs: DataFrame, least: float = 0.02) -> DataFrame:
-    """The rows of ``docs`` in a known language, with all their columns.
+def least_score(docs: DataFrame, profiles: Profiles, share: float = 0.5, rare: float = 0.001) -> float:
+    """A score that next to no text of a known language falls below.
+
+    It is ``share`` of the score that all but the share ``rare`` of the labelled texts reach which the profiles
+    have not seen and call by their label. Without such texts it is 0.
+    """
+    (pred, score, lead) = fresh(docs, "pred", "score", "lead")
+    unseen = docs.where((remainder(F.col("doc_id"), 3) == 1) & F.col("lang").isNotNull())
+    found = identify(unseen, profiles, keep=["lang"], added=(pred, score, lead)).where(F.col(pred) == F.col("lang"))
+    bound = found.agg(F.percentile_approx(score, rare, 10_000)).first()[0]
+    return share * (bound or 0.0)
+
+
+def accept(docs: DataFrame, least: float | None = None) -> DataFrame:
+    """The rows of ``docs`` in a known language, with all their columns; a NULL lang becomes the language found.
 
     Profiles are learned from the two thirds of labelled rows with a CRC-32 of doc_id that leaves
     0 or 2 modulo 3. Rejected are texts that are NULL, have no letters, or score below
-    ``least``, which is farther from every profile than any ordinary text.
+    ``least``, by default the :func:`least_score` of the third that was left out.
     """
-    names = ("__lang", "__score", "__lead")
+    names = tuple(fresh(docs, "pred", "score", "lead"))
     profiles = learn(docs.where(remainder(F.col("doc_id"), 3) != 1))
-    found = identify(docs, profiles, added=names)
-    return found.where((F.col("__lang") != UNDECIDED) & (F.col("__score") >= least)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    if least is None:
+        least = least_score(docs, profiles)
+    found = identify(docs, profiles, added=names).where((F.col(names[0]) != UNDECIDED) & (F.col(names[1]) >= least))
+    lang = F.coalesce(F.col("lang"), F.col(names[0])).alias("lang")
+    return found.select(*[lang if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def op3(spark, folder: str) -> DataFrame:

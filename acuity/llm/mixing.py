@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from acuity.llm.common import SPACE, table
+from acuity.llm.common import SPACE, fresh, table
 from acuity.session import stored
 
 LEVELS = ("domain", "lang", "source")
@@ -163,13 +163,14 @@ def mix(
     taken = plan(found, share, epochs, weights, seed, folder)
     none = F.lit("none")
     last = taken.groupBy(*LEVELS, "epoch").agg(F.max("key").alias("key"))
-    last = stored(last.select(*[F.col(c).alias(f"__{c}") for c in (*LEVELS, "epoch", "key")]), "cut", folder)
+    names = dict(zip((*LEVELS, "epoch", "key"), fresh(docs, *[f"cut_{c}" for c in (*LEVELS, "epoch", "key")]), strict=True))
+    last = stored(last.select(*[F.col(c).alias(name) for c, name in names.items()]), "cut", folder)
     leaf = (
-        (F.coalesce(domain_of(F.col("source")), none) == F.col("__domain"))
-        & (F.coalesce(F.col("lang").cast("string"), none) == F.col("__lang"))
-        & (F.coalesce(F.col("source").cast("string"), none) == F.col("__source"))
+        (F.coalesce(domain_of(F.col("source")), none) == F.col(names["domain"]))
+        & (F.coalesce(F.col("lang").cast("string"), none) == F.col(names["lang"]))
+        & (F.coalesce(F.col("source").cast("string"), none) == F.col(names["source"]))
     )
-    inside = _order(F.col("__epoch"), F.col("doc_id"), seed) <= F.col("__key")
+    inside = _order(F.col(names["epoch"]), F.col("doc_id"), seed) <= F.col(names["key"])
     return docs.where(n_tokens(F.col("text")) > 0).join(last, leaf & inside).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acuity.llm.common import table
+from acuity.llm.common import fresh, table
 
 # --- fixed values: kinds in the order of listing, and their patterns -----------
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -238,15 +238,16 @@ def scan(docs: DataFrame, rate: float = 1e-4, text_col: str = "text") -> DataFra
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with secrets replaced by a mark; n_chars, where there is one, follows the new text."""
-    found = docs.withColumn("__spans", secret_spans(F.col("text"), levels(docs)))
-    found = found.withColumn("__text", redacted(F.col("text"), F.col("__spans")))
+    spans, new_text = fresh(docs, "spans", "new_text")
+    found = docs.withColumn(spans, secret_spans(F.col("text"), levels(docs)))
+    found = found.withColumn(new_text, redacted(F.col("text"), F.col(spans)))
     out = []
     for c in docs.columns:
         if c == "text":
-            out.append(F.col("__text").alias("text"))
+            out.append(F.col(new_text).alias("text"))
         elif c == "n_chars":
-            new = F.char_length("__text").cast(docs.schema["n_chars"].dataType)
-            out.append(F.when(F.size("__spans") > 0, new).otherwise(F.col("n_chars")).alias("n_chars"))
+            new = F.char_length(new_text).cast(docs.schema["n_chars"].dataType)
+            out.append(F.when(F.size(spans) > 0, new).otherwise(F.col("n_chars")).alias("n_chars"))
         else:
             out.append(F.col(f"`{c}`"))
     return found.select(*out)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acuity.llm.common import ship
+from acuity.llm.common import fresh, ship
 from acuity.llm.components import components
 from acuity.session import stored
 
@@ -262,13 +262,24 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """One row of each group of linked texts, with all its columns: that of the least doc_id.
 
-    Of repeated rows the one read first stays. Groups are found without the other columns;
-    the rows are then picked by a join on doc_id and place of reading.
+    Rows are told apart by doc_id and two hashes of the text, never by their place, so it is of no
+    effect if the documents are read in other pieces the second time. Of rows that share both, one
+    stays: that with the least hash of all its columns. A NULL doc_id counts as the largest.
     """
-    key = F.struct(F.col("doc_id"), F.monotonically_increasing_id().alias("row"))
-    keyed = docs.withColumn("__key", key)
-    found = near_duplicates(keyed, "__key", folder=folder).where("id = component_id").select(F.col("id").alias("__key"))
-    return keyed.join(stored(found, "kept", folder), "__key", "left_semi").drop("__key")
+    key, copies, row = fresh(docs, "key", "copies", "row")
+    text = F.col("text").cast("string")
+    named = F.struct(
+        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64(text).alias("a"), F.crc32(text.cast("binary")).alias("b")
+    )
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(*columns, named.alias(key))
+    found = near_duplicates(keyed, key, folder=folder).where("id <=> component_id")
+    found = stored(found.groupBy(F.col("id").alias(key)).agg(F.count("*").alias(copies)), "kept", folder)
+    joined = keyed.join(found, keyed[key].eqNullSafe(found[key])).select(*columns, keyed[key], copies)
+    # repeated rows are merged apart from the others, which need no further step
+    again = joined.where(F.col(copies) > 1).groupBy(key).agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias(row))
+    again = again.select(*[F.col(row)[c].alias(c) for c in docs.columns])
+    return joined.where(F.col(copies) == 1).select(*columns).unionByName(again)
 
 
 def op4(spark, folder: str) -> DataFrame:

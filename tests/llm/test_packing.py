@@ -14,7 +14,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def plain():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -51,7 +50,7 @@ def test_the_query_packs_every_id(spark, sf_dir, plain):
 
 
 def test_odd_texts(spark, plain):
-    texts = {1: None, 2: "", 3: "<|endoftext|> 's  　 \U0001f600" * 3, 4: "word " * 9000, 5: " " * 70_000, 6: "x" * 30_000, 7: "ab\n\n\n  c"}
+    texts = {1: None, 2: "", 8: "a <|endoftext|> b<|endoftext|><|endoftext|>\n<|endoftext| >", 3: "<|endoftext|> 's  　 \U0001f600" * 3, 4: "word " * 9000, 5: " " * 70_000, 6: "x" * 30_000, 7: "ab\n\n\n  c"}
     df = spark.createDataFrame([(k, v, 0) for k, v in texts.items()], "doc_id long, text string, length int")
     check(packing.pack_documents(df, PATH).withColumnRenamed("id", "doc_id").collect(), texts, plain, 2048)
     assert packing.pack_documents(df.limit(0), PATH).count() == 0
