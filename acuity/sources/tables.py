@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from acuity import contracts
 from acuity.plans.scoring import run
+from acuity.sources import versions
+
+STAY = "patientunitstayid"
+#: raised when the rules change, so that tables made by others count as out of date
+RULES = "3"
 
 # --- fixed values: output table -> time column the rows are sorted by ---------
 SORT_WITHIN_STAY = {
@@ -21,6 +29,20 @@ SORT_WITHIN_STAY = {
     "ventilation": "starttime",
     "sofa": "hr",
 }
+# --- fixed values: output table -> the inputs it is made from ------------------
+_DOSES = ("infusiondrug", "medication", "icustay_detail")
+NEEDS = {
+    "contract_violations": tuple(contracts.INPUTS),
+    "infusion_rejects": ("infusiondrug",),
+    "weight": ("icustay_detail",),
+    "dobutamine": _DOSES,
+    "dopamine": _DOSES,
+    "epinephrine": _DOSES,
+    "norepinephrine": _DOSES,
+    "blood_pressure": ("pivoted_vital", "vitalaperiodic", "vitalperiodic"),
+    "ventilation": ("careplangeneral", "icustay_detail"),
+    "sofa": tuple(contracts.INPUTS),
+}
 
 
 def _qualified(name: str, database: str | None) -> str:
@@ -48,54 +70,183 @@ def read_inputs(
     return {table: read(table) for table in contracts.INPUTS}
 
 
+def _order(df: DataFrame, name: str) -> list[str]:
+    if STAY not in df.columns:
+        return []
+    return [STAY, *([SORT_WITHIN_STAY[name]] if name in SORT_WITHIN_STAY else [])]
+
+
 def replace_table(
-    df: DataFrame, name: str, database: str | None = None, path: str | None = None
+    df: DataFrame, name: str, database: str | None = None, path: str | None = None, made_from: str = ""
 ) -> DataFrame:
     """Replace an output table and return it as written.
 
     Rows are laid out by stay and sorted by time inside a file. The rebalance lets
-    Spark split a stay that is too big for one file and merge small ones.
+    Spark split a stay that is too big for one file and merge small ones. Readers see the
+    old rows until all new ones are written; a failed write leaves the old table.
     """
     spark = df.sparkSession
-    if "patientunitstayid" in df.columns:
-        order = ["patientunitstayid"]
-        if name in SORT_WITHIN_STAY:
-            order.append(SORT_WITHIN_STAY[name])
-        df = df.hint("rebalance", "patientunitstayid").sortWithinPartitions(*order)
-    writer = df.write.mode("overwrite").format("parquet")
+    order = _order(df, name)
     if path is not None:
-        target = f"{path.rstrip('/')}/{name}"
-        writer.save(target)
-        return spark.read.parquet(target)
+        root = f"{path.rstrip('/')}/{name}"
+        return versions.read(spark, root, versions.publish(df, root, made_from, order, STAY if order else None))
+
+    def write(df: DataFrame, table: str) -> None:
+        if order:
+            df = df.hint("rebalance", STAY).sortWithinPartitions(*order)
+        df.write.format("parquet").saveAsTable(table)
+
     target = _qualified(name, database)
-    writer.saveAsTable(target)
+    versions.publish_view(df, target, write, made_from)
     return spark.table(target)
 
 
+def read_table(spark: SparkSession, name: str, database: str | None = None, path: str | None = None) -> DataFrame:
+    """The current version of an output table."""
+    if path is not None:
+        return versions.read(spark, f"{path.rstrip('/')}/{name}")
+    return spark.table(_qualified(name, database))
+
+
+def _digest(hashes: Column) -> list[Column]:
+    """An order-free digest of rows: copies count. The sums hold for half a trillion rows."""
+    low, high = (F.sum(F.shiftright(hashes, by).bitwiseAND((1 << 24) - 1)) for by in (0, 24))
+    return [F.count("*").alias("n"), F.bit_xor(hashes).alias("x"), low.alias("s"), high.alias("t")]
+
+
+DIGEST = ("n", "x", "s", "t")
+
+
+def input_digests(inputs: Mapping[str, DataFrame]) -> dict[str, str]:
+    """A digest of the rows of each input, from one scan of each."""
+    parts = [df.agg(*_digest(F.xxhash64(*df.columns))).select(F.lit(name).alias("table"), *DIGEST) for name, df in inputs.items()]
+    found = reduce(DataFrame.unionByName, parts).collect() if parts else []  # a row an input
+    return {r.table: ":".join(str(r[c]) for c in DIGEST) for r in found}
+
+
+def _made_from(name: str, digests: Mapping[str, str], mode: str, strict: bool) -> str:
+    text = "|".join([RULES, name, mode, str(strict), *[f"{t}={digests[t]}" for t in NEEDS[name]]])
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def build(
     inputs: Mapping[str, DataFrame],
     database: str | None = None,
     path: str | None = None,
     mode: str = "reference",
     strict: bool = False,
+    resume: bool = False,
+    input_versions: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """Write every output table in dependency order; later tables read the written ones.
 
     Written tables end the lineage, so a lost executor costs one table's work at most.
     The dose rates are worked out once and held on the executors' disks while the four
     drug tables are written; what is lost of them is worked out again.
+
+    With ``resume`` each table notes what it was made from, and a table whose inputs, options and rules
+    are as they were is not made again: a build that died goes on where it stood. What
+    stands for an input is a digest of its rows, or what ``input_versions`` says, such as the
+    snapshot of a table.
     """
     held: list[DataFrame] = []
+    spark = next(iter(inputs.values())).sparkSession
+    conformed = contracts.conform_all(inputs)
+    digests: dict[str, str] = {}
+    if resume:
+        digests = dict(input_versions or {})
+        digests |= input_digests({t: df for t, df in conformed.items() if t not in digests})
 
     def share(df: DataFrame) -> DataFrame:
         held.append(df.persist(StorageLevel.DISK_ONLY))
         return held[-1]
 
+    def noted(name: str) -> str:
+        if path is None:
+            return versions.made_from_view(spark, _qualified(name, database))
+        found = versions.current(spark, f"{path.rstrip('/')}/{name}")
+        return found.made_from if found else ""
+
     def keep(name: str, df: DataFrame) -> DataFrame:
-        return replace_table(df, name, database, path)
+        made_from = _made_from(name, digests, mode, strict) if resume else ""
+        if resume and noted(name) == made_from:
+            return read_table(spark, name, database, path)
+        return replace_table(df, name, database, path, made_from)
+
+    try:
+        return run(conformed, mode, strict, keep, share)
+    finally:
+        for df in held:
+            df.unpersist()
+
+
+def stay_digests(inputs: Mapping[str, DataFrame]) -> DataFrame:
+    """(stay and ``DIGEST``): a digest of all rows of a stay in all inputs, from one scan of each and one shuffle."""
+    hashed = [
+        df.select(STAY, F.xxhash64(F.lit(name), *df.columns).alias("h")) for name, df in contracts.conform_all(inputs).items()
+    ]
+    return reduce(DataFrame.unionByName, hashed).groupBy(STAY).agg(*_digest(F.col("h")))
+
+
+def changed_buckets(new: DataFrame, old: DataFrame, buckets: int) -> list[int]:
+    """The buckets of stays that are new, gone or have other rows; a number for each bucket at most."""
+    a, b = new.alias("a"), old.alias("b")
+    same = reduce(Column.__and__, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in DIGEST])
+    both = a.join(b, F.col(f"a.{STAY}").eqNullSafe(F.col(f"b.{STAY}")), "full").where(~same)
+    # a stay that stands on one side only is known from there
+    stay = F.when(F.col("a.n").isNotNull(), F.col(f"a.{STAY}")).otherwise(F.col(f"b.{STAY}"))
+    return sorted(r[0] for r in both.select(versions.bucket_of(stay, buckets)).distinct().collect())
+
+
+def refresh(
+    inputs: Mapping[str, DataFrame], path: str, buckets: int = 64, mode: str = "reference", strict: bool = False
+) -> dict[str, DataFrame]:
+    """Bring the tables at ``path`` up to date, working out only the buckets of stays that have changed.
+
+    The tables lie in ``buckets`` folders by stay. A digest of each stay's input rows tells which stays
+    are new, gone or changed since the last refresh; the plan runs on the inputs of their buckets and
+    the others' folders are taken over unread. The digests are kept last, so a refresh that died is
+    made again. Other options or a new number of buckets rebuild everything. ``contract_violations``
+    counts over all rows and is always made anew.
+    """
+    spark = next(iter(inputs.values())).sparkSession
+    inputs = contracts.conform_all(inputs)
+    root = path.rstrip("/")
+    state, kind = f"{root}/stay_digests", "|".join([RULES, mode, str(strict), str(buckets)])
+    before = versions.current(spark, state)
+    # written under a number of its own: what the digests say is what the plan reads
+    digests = versions.publish(stay_digests(inputs), f"{root}/stay_digests_next", kind)
+    new = versions.read(spark, f"{root}/stay_digests_next", digests)
+    changed = list(range(buckets))
+    if before and before.made_from == kind:
+        changed = changed_buckets(new, versions.read(spark, state, before), buckets)
+    part = inputs
+    if len(changed) < buckets:
+        part = {t: df.where(versions.bucket_of(F.col(STAY), buckets).isin(changed)) for t, df in inputs.items()}
+    out: dict[str, DataFrame] = {}
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        table = f"{root}/{name}"
+        if name == "contract_violations":
+            out[name] = versions.read(spark, table, versions.publish(contracts.violations(inputs), table, kind))
+            return out[name]
+        if changed or versions.current(spark, table) is None:
+            version = versions.publish(df, table, kind, _order(df, name), STAY, buckets, changed)
+        else:
+            version = versions.current(spark, table)
+        out[name] = versions.read(spark, table, version)
+        return versions.read(spark, table, version, changed)
+
+    held: list[DataFrame] = []
+
+    def share(df: DataFrame) -> DataFrame:
+        held.append(df.persist(StorageLevel.DISK_ONLY))
+        return held[-1]
 
     try:
-        return run(inputs, mode, strict, keep, share)
+        run(part, mode, strict, keep, share)
     finally:
         for df in held:
             df.unpersist()
+    versions.publish(new, state, kind)
+    return out
