@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from acuity import contracts, rules  # noqa: E402
-from acuity.operators import blood_gas, grid, infusions, pressures, scores, ventilation, weights  # noqa: E402
+from acuity.operators import blood_gas, grid, infusions, intervals, pressures, scores, ventilation, weights  # noqa: E402
 from acuity.plans.scoring import run, score_signals  # noqa: E402
-from acuity.session import scratch_path, tune  # noqa: E402
+from acuity.session import scratch_path, shared_folder, tune  # noqa: E402
 from checks import event_tables as ev  # noqa: E402
-from acuity.sources.tables import build  # noqa: E402
+from acuity.sources.tables import build, refresh  # noqa: E402
 from checks import oracles  # noqa: E402
 
 try:
@@ -184,16 +184,55 @@ def _platelet_bucket(spark: SparkSession, folder: str) -> DataFrame:
     return grid.bucket_hourly(labs, "chartoffset", {"platelet_min": F.min("platelets")})
 
 
+_PLACES: dict[tuple[str, ...], str] = {}
+
+
+def _place(spark: SparkSession, folder: str) -> str:
+    """Where the output tables of a folder lie for the life of the application."""
+    key = (spark.sparkContext.applicationId, shared_folder(spark), folder)
+    if key not in _PLACES:
+        _PLACES[key] = scratch_path(spark, "score_tables")
+    return _PLACES[key]
+
+
 def _written(table: str) -> Query:
-    """Write every output table, then read one back."""
+    """Write the output tables that are not up to date, then read one back."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        return build(ev.clinical_inputs(spark, folder), path=_place(spark, folder), resume=True)[table]
+
+    return query
+
+
+def _refreshed(table: str) -> Query:
+    """Write the tables of earlier inputs, bring them up to date by stay, then read one back."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        tables = build(ev.clinical_inputs(spark, folder), path=scratch_path(spark, "score_tables"))
-        return tables[table]
+        path = scratch_path(spark, "refreshed")
+        inputs = ev.clinical_inputs(spark, folder)
+        refresh(ev.earlier(inputs), path)
+        return refresh(inputs, path)[table]
 
     return query
 
 
+def _gas_episodes(spark: SparkSession, folder: str) -> DataFrame:
+    gases = ev.blood_gas(ev.observations(spark, folder))
+    return intervals.gas_episodes(gases, _episodes("reference")(spark, folder))
+
+
+def _hourly_labs(spark: SparkSession, folder: str) -> DataFrame:
+    """Points of the hours that have platelets, without a grid."""
+    labs = ev.labs(ev.observations(spark, folder)).where(F.col("platelets").isNotNull())
+    hourly = grid.bucket_hourly(labs, "chartoffset", {"platelet_min": F.min("platelets")})
+    return hourly.withColumn("coagulation", scores.coagulation())
+
+
+def _hourly_urine(spark: SparkSession, folder: str) -> DataFrame:
+    urine = ev.urine(ev.observations(spark, folder))
+    return grid.bucket_hourly(urine, "chartoffset", {"urineoutput": F.sum(F.col("urineoutput").cast("double"))})
+
+
 def _violations(spark: SparkSession, folder: str) -> DataFrame:
     """Contract checks of every input."""
     return contracts.violations(ev.clinical_inputs(spark, folder))
@@ -254,6 +293,12 @@ def queries() -> dict[str, Query]:
         "sofa_full": _full,
         "written_tables": lambda s, f: _written("sofa")(s, f).select(STAY, "hr", *WORST),
         "contract_violations": _violations,
+        "contract_quarantine": lambda s, f: contracts.quarantine(ev.clinical_inputs(s, f)),
+        "gas_episodes": _gas_episodes,
+        "rolling_worst_by_change": lambda s, f: scores.by_change(_hourly_labs(s, f), ev.stays(s, f), worst=["coagulation"]),
+        "rolling_urine_by_change": lambda s, f: scores.by_change(_hourly_urine(s, f), ev.stays(s, f), total=["urineoutput"]),
+        "refreshed_sofa": _refreshed("sofa"),
+        "refreshed_ventilation": _refreshed("ventilation"),
     }
     found = {name: _query(q) for name, q in plain.items()}
     for drug in rules.DRUGS:

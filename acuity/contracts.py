@@ -44,6 +44,8 @@ KEYS = {
     "pivoted_lab": ("patientunitstayid", "chartoffset"),
     "pivoted_uo": ("patientunitstayid", "chartoffset"),
 }
+# the time column of a table
+OFFSETS = ("infusionoffset", "drugstartoffset", "cplitemoffset", "observationoffset", "chartoffset")
 UNIQUE = {
     "infusiondrug": "infusiondrugid",
     "careplangeneral": "cplgeneralid",
@@ -81,6 +83,40 @@ def conform_all(inputs: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {t: conform(inputs[t], t) for t in INPUTS}
 
 
+def quarantine(inputs: Mapping[str, DataFrame]) -> DataFrame:
+    """(table, patientunitstayid, record_id, minute, rules) of each input row that breaks a rule.
+
+    ``rules`` names all that the row breaks, comma-joined, from one scan of its table. Every row of
+    an id that stands more than once breaks the rule on repeats; such ids come from one more scan
+    of that column, reduced before it is shuffled. ``record_id`` and ``minute`` are NULL where a table
+    has none.
+    """
+    found = []
+    for table, df in inputs.items():
+        broken = {f"{k} is null": F.col(k).isNull() for k in KEYS[table]}
+        if table == "pivoted_bg":
+            broken["fio2 is no fraction"] = ~((F.col("fio2") > 0) & (F.col("fio2") <= 1))
+        if table in UNIQUE:
+            key = UNIQUE[table]
+            again = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("repeated")).agg(F.count("*").alias("rows"))
+            df = df.join(again.where("rows > 1"), F.col(key) == F.col("repeated"), "left")
+            broken[f"{key} is repeated"] = F.col("repeated").isNotNull()
+        names = F.concat_ws(", ", *[F.when(rule, F.lit(name)) for name, rule in broken.items()])
+        columns = {f.name for f in schema(table)}
+        record = next((k for k in KEYS[table] if k not in ("patientunitstayid", *OFFSETS)), None)
+        minute = next((c for c in OFFSETS if c in columns), None)
+        found.append(
+            df.select(
+                F.lit(table).alias("table"),
+                "patientunitstayid",
+                (F.col(record) if record else F.lit(None)).cast("long").alias("record_id"),
+                (F.col(minute) if minute else F.lit(None)).cast("int").alias("minute"),
+                names.alias("rules"),
+            ).where(F.col("rules") != "")
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 def violations(inputs: Mapping[str, DataFrame]) -> DataFrame:
     """Rows that break a contract, counted per table and rule; one pass per table.
 

@@ -25,13 +25,27 @@ def cohort(stays: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def _by_stay(df: DataFrame, partitions: int | None) -> DataFrame:
-    """One layout by stay for the grid and what is put on it.
+#: hourly rows that a task makes, on average
+HOURS_IN_A_TASK = 100_000
+#: where a grid notes the number of its partitions
+_NOTE = "grid_partitions"
 
-    A few bytes per stay become hundreds of rows here, which adaptive execution can't know
-    when it merges small partitions; so the number is given, a task for each core by default.
+
+def grid_partitions(stays: DataFrame, lead_hours: int = rules.GRID_LEAD_HOURS) -> int:
+    """Tasks that the grid of these stays asks for, from one small aggregate over them.
+
+    A few bytes per stay become hundreds of rows, which adaptive execution can't know when it
+    merges small partitions; so the number comes from the hours of the stays, not from the
+    cores of the moment.
     """
-    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism, STAY)
+    hours = F.greatest(F.col("los_icu_hours") + lead_hours + 1, F.lit(0)).cast("long")
+    (total,) = cohort(stays).agg(F.sum(hours)).first()
+    return max(1, -(-(total or 0) // HOURS_IN_A_TASK))
+
+
+def by_stay(df: DataFrame, partitions: int) -> DataFrame:
+    """One layout by stay for the grid and what is put on it."""
+    return df.repartition(partitions, STAY)
 
 
 def hour_grid(
@@ -40,13 +54,15 @@ def hour_grid(
     """A row per stay and hour, from ``lead_hours`` before admission to discharge.
 
     Copies of a stay are merged where they meet, before they grow; the longest counts. One
-    shuffle serves both. ``partitions`` is the number of tasks that make the grid, which
-    :func:`hourly_panel` has to be given as well.
+    shuffle serves both. ``partitions`` is the number of tasks that make the grid, by default
+    :func:`grid_partitions`; the column ``hr`` carries it for :func:`hourly_panel`.
     """
+    partitions = partitions or grid_partitions(stays, lead_hours)
     last = F.col("los_icu_hours")
     kept = cohort(stays).where(last >= -lead_hours)
-    longest = _by_stay(kept, partitions).groupBy(STAY).agg(F.max("los_icu_hours").alias("los_icu_hours"))
-    return longest.select(STAY, F.explode(F.sequence(F.lit(-lead_hours), last)).alias("hr"))
+    longest = by_stay(kept, partitions).groupBy(STAY).agg(F.max("los_icu_hours").alias("los_icu_hours"))
+    hours = longest.select(STAY, F.explode(F.sequence(F.lit(-lead_hours), last)).alias("hr"))
+    return hours.withMetadata("hr", {_NOTE: partitions})
 
 
 def bucket_hourly(df: DataFrame, offset: str, aggregates: Mapping[str, Column]) -> DataFrame:
@@ -74,9 +90,7 @@ def _stack(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def hourly_panel(
-    grid: DataFrame, signals: Sequence[Signal], partitions: int | None = None
-) -> DataFrame:
+def hourly_panel(grid: DataFrame, signals: Sequence[Signal]) -> DataFrame:
     """The grid with every signal reduced to its hour, NULL where there is no data.
 
     The measurements of all signals are stacked and reduced by one aggregation, so they
@@ -86,6 +100,7 @@ def hourly_panel(
     windows over a stay can follow without a shuffle.
     """
     measures = [m for s in signals for m in s.measures]
+    partitions = grid.schema["hr"].metadata[_NOTE]
     measured = _stack(
         [
             signal.table.where(F.col(signal.offset).isNotNull()).select(
@@ -100,7 +115,7 @@ def hourly_panel(
         *[REDUCERS[how](name).alias(name) for name, _, how in measures]
     )
     return (
-        _stack([grid.withColumn("on_grid", F.lit(True)), _by_stay(hourly, partitions)])
+        _stack([grid.withMetadata("hr", {}).withColumn("on_grid", F.lit(True)), by_stay(hourly, partitions)])
         .groupBy(STAY, "hr")
         .agg(F.max("on_grid").alias("on_grid"), *[F.max(name).alias(name) for name, _, _ in measures])
         .where("on_grid")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from acuity import rules
 from acuity.functions import points
 from acuity.functions.expressions import above, at_least, below, between
+from acuity.operators.grid import by_stay, cohort, grid_partitions
 
 STAY = "patientunitstayid"
 
@@ -133,6 +135,49 @@ def rolling_worst(
     )
 
 
+def by_change(
+    values: DataFrame,
+    stays: DataFrame,
+    worst: Sequence[str] = (),
+    total: Sequence[str] = (),
+    hours: int = rules.ROLLING_HOURS,
+    lead_hours: int = rules.GRID_LEAD_HOURS,
+    partitions: int | None = None,
+) -> DataFrame:
+    """The rolling worst and sums of the last hours without a panel: a row per grid hour, made last.
+
+    ``values`` has a row at most for each stay and hour with data. What the last hours hold changes only where a
+    value comes in and where it goes out, ``hours`` later; between two changes it stays. So the sweep goes
+    over these marks alone, and a stretch becomes hours where its stay lies, after the only shuffle.
+    Rows are shuffled in proportion to values and stays, not to hours. Columns of ``worst`` get
+    ``{c}_{hours}hours`` with zero where nothing is known, those of ``total`` their sum, NULL without any.
+    """
+    columns = [*worst, *total]
+    span = cohort(stays).where(F.col("los_icu_hours") >= -lead_hours).groupBy(STAY).agg(F.max("los_icu_hours").alias("last"))
+    on_grid = values.where(F.col("hr") >= -lead_hours).select(STAY, "hr", *columns)
+    # the value stands for its hour, and in the rolling ones until it goes out
+    after = on_grid.select(STAY, F.explode(F.array(F.col("hr") + 1, F.col("hr") + hours)).alias("hr"))
+    begin = span.select(STAY, F.lit(-lead_hours).alias("hr"), "last")
+    marks = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [begin, on_grid, after])
+    marks = by_stay(marks, partitions or grid_partitions(stays, lead_hours))
+    marks = marks.groupBy(STAY, "hr").agg(F.max("last").alias("last"), *[F.max(c).alias(c) for c in columns])
+    in_order = Window.partitionBy(STAY).orderBy("hr")
+    recent = in_order.rangeBetween(1 - hours, Window.currentRow)
+    last = F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    swept = marks.select(
+        STAY,
+        "hr",
+        *columns,
+        *[F.coalesce(F.max(c).over(recent), F.lit(0)).alias(f"{c}_{hours}hours") for c in worst],
+        *[F.sum(c).over(recent).alias(f"{c}_{hours}hours") for c in total],
+        last.alias("last"),
+        F.lead("hr").over(in_order).alias("next"),
+    ).where(F.col("hr") <= F.col("last"))
+    stretch = F.sequence("hr", F.least(F.coalesce(F.col("next") - 1, F.col("last")), F.col("last")))
+    names = [c for c in swept.columns if c not in ("hr", "last", "next", STAY)]
+    return swept.select(STAY, F.explode(stretch).alias("hr"), *names)
+
+
 def total_score(scored: DataFrame) -> DataFrame:
     """Rolling worst per organ and their sum; hours before admission only feed the windows."""
     worst = rolling_worst(scored, levels=rules.ORGAN_LEVELS)

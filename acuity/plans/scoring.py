@@ -79,7 +79,7 @@ def run(
     """All output tables, with what they leave out and what breaks a contract.
 
     ``infusion_rejects`` has the infusion rows whose rate text is no number,
-    ``contract_violations`` the number of rows that break each rule of the inputs.
+    ``contract_violations`` the number of rows that break each rule of the inputs, ``quarantine`` those rows.
     ``mode`` is the way episodes are built, ``strict`` refuses rates that are no number.
     ``keep`` is called on each table in dependency order and returns what the later
     ones read; a sink passes its writer, so that a table is worked out once. ``share`` is
@@ -93,6 +93,7 @@ def run(
         return out[name]
 
     table("contract_violations", contracts.violations(t))
+    table("quarantine", contracts.quarantine(t))
     table("infusion_rejects", infusion_rejects(t["infusiondrug"]))
     weights = table("weight", clean_weights(t["icustay_detail"]))
     rates = share(

@@ -26,6 +26,7 @@ SORT_WITHIN_STAY = {
     "norepinephrine": "infusionoffset",
     "infusion_rejects": "infusionoffset",
     "blood_pressure": "observationoffset",
+    "quarantine": "table",
     "ventilation": "starttime",
     "sofa": "hr",
 }
@@ -33,6 +34,7 @@ SORT_WITHIN_STAY = {
 _DOSES = ("infusiondrug", "medication", "icustay_detail")
 NEEDS = {
     "contract_violations": tuple(contracts.INPUTS),
+    "quarantine": tuple(contracts.INPUTS),
     "infusion_rejects": ("infusiondrug",),
     "weight": ("icustay_detail",),
     "dobutamine": _DOSES,
@@ -206,8 +208,8 @@ def refresh(
     The tables lie in ``buckets`` folders by stay. A digest of each stay's input rows tells which stays
     are new, gone or changed since the last refresh; the plan runs on the inputs of their buckets and
     the others' folders are taken over unread. The digests are kept last, so a refresh that died is
-    made again. Other options or a new number of buckets rebuild everything. ``contract_violations``
-    counts over all rows and is always made anew.
+    made again. Other options or a new number of buckets rebuild everything. ``contract_violations`` and
+    ``quarantine`` look at the rows of all stays together and are always made anew.
     """
     spark = next(iter(inputs.values())).sparkSession
     inputs = contracts.conform_all(inputs)
@@ -224,11 +226,12 @@ def refresh(
     if len(changed) < buckets:
         part = {t: df.where(versions.bucket_of(F.col(STAY), buckets).isin(changed)) for t, df in inputs.items()}
     out: dict[str, DataFrame] = {}
+    whole = {"contract_violations": contracts.violations, "quarantine": contracts.quarantine}
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         table = f"{root}/{name}"
-        if name == "contract_violations":
-            out[name] = versions.read(spark, table, versions.publish(contracts.violations(inputs), table, kind))
+        if name in whole:
+            out[name] = versions.read(spark, table, versions.publish(whole[name](inputs), table, kind))
             return out[name]
         if changed or versions.current(spark, table) is None:
             version = versions.publish(df, table, kind, _order(df, name), STAY, buckets, changed)

@@ -305,3 +305,15 @@ def clinical_inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "pivoted_lab": labs(obs),
         "pivoted_uo": urine(obs),
     }
+
+
+def earlier(inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The inputs as they may have been before: some stays not yet there, some with other rows, some since removed."""
+    stay = F.col("patientunitstayid")
+    out = {name: df.where(F.coalesce(stay % 11 != 3, F.lit(True))) for name, df in inputs.items()}
+    out["pivoted_score"] = out["pivoted_score"].withColumn("gcs", F.when(stay % 13 == 5, 3.0).otherwise(F.col("gcs")))
+    out["careplangeneral"] = out["careplangeneral"].where(F.coalesce(stay % 17 != 2, F.lit(True)))
+    for name in ("icustay_detail", "infusiondrug", "pivoted_lab"):
+        since = inputs[name].where(stay % 19 == 1).withColumn("patientunitstayid", stay + 10_000_000)
+        out[name] = out[name].unionByName(since)
+    return out

@@ -401,44 +401,56 @@ FINAL = {
     "rolling_worst_24": "SELECT stay AS patientunitstayid, hr, coagulation, coagulation_24hours FROM worst",
     "sofa_total": f"SELECT stay AS patientunitstayid, hr, {WORST}, {TOTAL} FROM worst WHERE hr >= 0",
     "sofa_full": f"SELECT {PANEL_COLUMNS}, {ORGANS}, {WORST}, {TOTAL} FROM worst WHERE hr >= 0",
+    "gas_episodes": "SELECT p.stay AS patientunitstayid, off AS chartoffset, ratio AS pao2fio2ratio, starttime, endtime,"
+    " (off - starttime)::INT AS minutes_in FROM pf p LEFT JOIN vent v ON v.stay = p.stay AND off BETWEEN starttime AND endtime",
+    "rolling_worst_by_change": "SELECT stay AS patientunitstayid, hr, coagulation, coagulation_24hours FROM worst",
+    "rolling_urine_by_change": "SELECT stay AS patientunitstayid, hr, urine AS urineoutput, urine_day AS urineoutput_24hours FROM organs",
+    "refreshed_sofa": f"SELECT {PANEL_COLUMNS}, {ORGANS}, {WORST}, {TOTAL} FROM worst WHERE hr >= 0",
+    "refreshed_ventilation": "SELECT stay AS patientunitstayid, starttime, endtime FROM vent",
     "written_tables": f"SELECT stay AS patientunitstayid, hr, {WORST}, {TOTAL} FROM worst WHERE hr >= 0",
 }
 
 
-def _violations() -> str:
-    """A count for each rule of each input table."""
+def _inputs() -> dict[str, tuple]:
+    """Table -> (rows, columns that must not be NULL, column that must not repeat, minute)."""
     lab = "if(id % 71 <> 0, off, NULL)"
-    # table -> (rows, columns that must not be NULL, column that must not repeat)
-    inputs = {
-        "infusiondrug": ("infusions", {"infusiondrugid": "id", "patientunitstayid": "stay"}, "id"),
-        "medication": ("drug_orders", {"patientunitstayid": "stay"}, None),
-        "careplangeneral": ("careplan", {"cplgeneralid": "id", "patientunitstayid": "stay"}, "id"),
+    return {
+        "infusiondrug": ("infusions", {"infusiondrugid": "id", "patientunitstayid": "stay"}, "id", "off"),
+        "medication": ("drug_orders", {"patientunitstayid": "stay"}, None, "start_off"),
+        "careplangeneral": ("careplan", {"cplgeneralid": "id", "patientunitstayid": "stay"}, "id", "off"),
         "vitalperiodic": (
             "(FROM cuff WHERE kind IN ('view', 'purchase'))",
             {"patientunitstayid": "stay", "observationoffset": "off"},
             None,
+            "off",
         ),
         "vitalaperiodic": (
             "(FROM cuff WHERE kind = 'error')",
             {"patientunitstayid": "stay", "observationoffset": "off"},
             None,
+            "off",
         ),
         "pivoted_vital": (
             "(FROM cuff WHERE kind IN ('click', 'signup'))",
             {"patientunitstayid": "stay", "chartoffset": "off"},
             None,
+            "off",
         ),
-        "icustay_detail": ("stays", {"patientunitstayid": "stay"}, "stay"),
-        "pivoted_bg": ("gases", {"patientunitstayid": "stay", "chartoffset": "off"}, None),
-        "pivoted_score": ("obs", {"patientunitstayid": "stay", "chartoffset": "off"}, None),
-        "pivoted_lab": ("obs", {"patientunitstayid": "stay", "chartoffset": lab}, None),
-        "pivoted_uo": ("obs", {"patientunitstayid": "stay", "chartoffset": "off"}, None),
+        "icustay_detail": ("stays", {"patientunitstayid": "stay"}, "stay", "NULL"),
+        "pivoted_bg": ("gases", {"patientunitstayid": "stay", "chartoffset": "off"}, None, "off"),
+        "pivoted_score": ("obs", {"patientunitstayid": "stay", "chartoffset": "off"}, None, "off"),
+        "pivoted_lab": ("obs", {"patientunitstayid": "stay", "chartoffset": lab}, None, lab),
+        "pivoted_uo": ("obs", {"patientunitstayid": "stay", "chartoffset": "off"}, None, "off"),
     }
+
+
+def _violations() -> str:
+    """A count for each rule of each input table."""
     parts = [
         "SELECT 'pivoted_bg' AS \"table\", 'fio2 is no fraction' AS rule,"
         " count(*) FILTER (NOT (fio2 > 0 AND fio2 <= 1)) AS \"rows\" FROM gases"
     ]
-    for table, (rows, known, single) in inputs.items():
+    for table, (rows, known, single, _) in _inputs().items():
         for column, value in known.items():
             parts.append(f"SELECT '{table}', '{column} is null', count(*) FILTER ({value} IS NULL) FROM {rows}")
             if value == single:
@@ -448,7 +460,26 @@ def _violations() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _quarantine() -> str:
+    """The rows behind these counts."""
+    parts = []
+    for table, (rows, known, single, minute) in _inputs().items():
+        rules = [f"if({value} IS NULL, '{column} is null', NULL)" for column, value in known.items()]
+        if table == "pivoted_bg":
+            rules.append("if(NOT (fio2 > 0 AND fio2 <= 1), 'fio2 is no fraction', NULL)")
+        rules += [
+            f"if(count({v}) OVER (PARTITION BY {v}) > 1, '{c} is repeated', NULL)" for c, v in known.items() if v == single
+        ]
+        record = next((v for c, v in known.items() if c in ("infusiondrugid", "cplgeneralid")), "NULL")
+        parts.append(
+            f"SELECT '{table}' AS \"table\", stay AS patientunitstayid, {record}::BIGINT AS record_id,"
+            f" ({minute})::INT AS minute, concat_ws(', ', {', '.join(rules)}) AS rules FROM {rows}"
+        )
+    return f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE rules <> ''"
+
+
 FINAL["contract_violations"] = _violations()
+FINAL["contract_quarantine"] = _quarantine()
 # written table -> the query that makes the same rows
 WRITTEN = {
     "weight": "weight_repair",
@@ -460,6 +491,7 @@ WRITTEN = {
     "ventilation": "vent_episodes_reference",
     "sofa": "sofa_full",
     "contract_violations": "contract_violations",
+    "quarantine": "contract_quarantine",
     "infusion_rejects": None,
 }
 REJECTED = (
