@@ -216,6 +216,14 @@ def _refreshed(table: str) -> Query:
     return query
 
 
+def _exact_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Doses of all drugs as decimals, written out."""
+    obs = ev.observations(spark, folder)
+    repaired = weights.clean_weights(ev.stays(spark, folder))
+    rates = infusions.vasoactive_rates(ev.infusions(obs), ev.orders(obs), repaired, exact=True)
+    return rates.withColumn("rate", F.col("rate").cast("string")).drop(*infusions.PASSED_THROUGH)
+
+
 def _gas_episodes(spark: SparkSession, folder: str) -> DataFrame:
     gases = ev.blood_gas(ev.observations(spark, folder))
     return intervals.gas_episodes(gases, _episodes("reference")(spark, folder))
@@ -295,6 +303,7 @@ def queries() -> dict[str, Query]:
         "contract_violations": _violations,
         "contract_quarantine": lambda s, f: contracts.quarantine(ev.clinical_inputs(s, f)),
         "gas_episodes": _gas_episodes,
+        "rate_exact": _exact_rates,
         "rolling_worst_by_change": lambda s, f: scores.by_change(_hourly_labs(s, f), ev.stays(s, f), worst=["coagulation"]),
         "rolling_urine_by_change": lambda s, f: scores.by_change(_hourly_urine(s, f), ev.stays(s, f), total=["urineoutput"]),
         "refreshed_sofa": _refreshed("sofa"),

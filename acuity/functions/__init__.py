@@ -1,6 +1,10 @@
 from acuity.functions.expressions import (
+    DOSE,
     after_exclusions,
+    billionths,
     case,
+    exact_number,
+    exact_quotient,
     like_any,
     one_of,
     points,
@@ -9,8 +13,12 @@ from acuity.functions.expressions import (
 from acuity.functions.timeline import hour_of, minute_key
 
 __all__ = [
+    "DOSE",
     "after_exclusions",
+    "billionths",
     "case",
+    "exact_number",
+    "exact_quotient",
     "hour_of",
     "like_any",
     "minute_key",

@@ -41,6 +41,34 @@ def strict_or_lenient_number(column: Column, strict: bool) -> Column:
     return number.cast("double")
 
 
+#: an exact dose
+DOSE = "decimal(18,4)"
+_BILLION = 1_000_000_000
+
+
+def exact_number(column: Column, strict: bool) -> Column:
+    """Text to a decimal of eleven digits before the point and nine behind; what needs more is no number."""
+    text = F.trim(column)
+    return text.cast("decimal(20,9)") if strict else text.try_cast("decimal(20,9)")
+
+
+def billionths(column: Column) -> Column:
+    """A number as a whole number of billionths, NULL beyond eleven digits."""
+    return (column.try_cast("decimal(20,9)") * F.lit(_BILLION)).cast("decimal(20,0)")
+
+
+def exact_quotient(top: Column, bottom: Column) -> Column:
+    """A quotient of whole numbers, rounded half away from zero to four places; NULL for a divisor of zero.
+
+    The quotient is never written out: twice its ten-thousandfold plus one is divided as a whole
+    number, so that no earlier rounding can move a half. A dose over ten million millions is NULL.
+    """
+    size = F.when((bottom != 0) & (F.abs(top).cast("double") < 1e13 * F.abs(bottom).cast("double")), F.abs(bottom))
+    whole = F.call_function("div", F.abs(top) * F.lit(20_000) + size, size * F.lit(2))
+    signed = F.when((top < 0) != (bottom < 0), -whole).otherwise(whole)
+    return (signed.cast("decimal(18,0)") / F.lit(10_000)).cast(DOSE)
+
+
 def case(pairs: Iterable[tuple[Column, object]]) -> Column:
     """The value of the first condition that holds, else NULL."""
     (condition, value), *rest = pairs

@@ -17,8 +17,12 @@ from pyspark.sql import functions as F
 
 from acuity import rules
 from acuity.functions import (
+    DOSE,
     after_exclusions,
+    billionths,
     case,
+    exact_number,
+    exact_quotient,
     like_any,
     minute_key,
     one_of,
@@ -217,12 +221,17 @@ def impute_unit_labels(
     )
 
 
-def label_rate(rate: Column, weight: Column, drugs: Sequence[DrugRule]) -> Column:
-    """Dose rate where the label names a dose unit, NULL where it does not."""
+def label_rate(
+    rate: Column, weight: Column, drugs: Sequence[DrugRule], divide=F.try_divide, one: int = 1
+) -> Column:
+    """Dose rate where the label names a dose unit, NULL where it does not.
+
+    ``one`` is what stands for 1 in the rate and the weight, if they are whole numbers for an exact ``divide``.
+    """
 
     def of_label(unit: Unit) -> Column:
-        divisor = unit.denominator * weight if unit.by_weight else F.lit(unit.denominator)
-        return F.try_divide(unit.numerator * rate, divisor)
+        divisor = unit.denominator * weight if unit.by_weight else F.lit(unit.denominator * one)
+        return divide(unit.numerator * rate, divisor)
 
     return _by_drug(
         drugs,
@@ -232,45 +241,58 @@ def label_rate(rate: Column, weight: Column, drugs: Sequence[DrugRule]) -> Colum
     )
 
 
-def volume_rate(rate: Column, weight: Column, fluid: Concentration) -> Column:
+def volume_rate(rate: Column, weight: Column, fluid: Concentration, divide=F.try_divide) -> Column:
     """Dose rate of a pump speed in ml/hr at a known concentration."""
     if fluid.fixed is not None:
         return F.lit(float(fluid.fixed))
     if fluid.mg is None:
         return F.lit(None).cast("double")
-    return F.try_divide(1000 * rate * fluid.mg, fluid.ml * 60 * weight)
+    return divide(1000 * rate * fluid.mg, fluid.ml * 60 * weight)
 
 
-def _volume_rates(rate: Column, weight: Column, drugs: Sequence[DrugRule]) -> Column:
+def _volume_rates(rate: Column, weight: Column, drugs: Sequence[DrugRule], exact: bool = False) -> Column:
     """Dose rates of a ml/hr row at every concentration, and whether an order says so."""
 
+    def both(fluid: Concentration) -> list[Column]:
+        plain = volume_rate(rate, weight, fluid)
+        if not exact:
+            return [plain]
+        return [plain, volume_rate(_charted_billionths(), billionths(weight), fluid, exact_quotient).cast(DOSE)]
+
     def of_drug(drug: DrugRule) -> Column:
         options = [
             (F.col("in_force")[k] if drug.order_like else F.lit(True), fluid)
             for k, fluid in enumerate(drug.concentrations())
         ]
         return F.array(
-            *[_dose(volume_rate(rate, weight, fluid), valid) for valid, fluid in options]
+            *[_dose(valid, *both(fluid)) for valid, fluid in options]
         )
 
     return _by_drug(drugs, of_drug)
 
 
-def _dose(rate: Column, valid: Column) -> Column:
-    return F.struct(rate.alias("dose"), valid.alias("valid"))
+def _dose(valid: Column, rate: Column, exact: Column | None = None) -> Column:
+    more = [] if exact is None else [exact.alias("exact")]
+    return F.struct(rate.alias("dose"), valid.alias("valid"), *more)
+
+
+def _charted_billionths() -> Column:
+    return billionths(exact_number(F.col("drugrate"), strict=False))
 
 
 def normalise_rates(
     labelled: DataFrame,
     drugs: Sequence[DrugRule] = rules.DRUGS,
     as_charted: Sequence[DrugRule] = (),
+    exact: bool = False,
 ) -> DataFrame:
     """Dose rates in mcg/kg/min of rows from :func:`impute_unit_labels`.
 
     A label with a dose unit gives one rate. A ml/hr label gives one per distinct
     concentration of the orders in force. Rows with any other label have no dose.
     Equal doses and copies of a row count once, but rows of the drugs ``as_charted``
-    have the rate they were charted with and keep their copies.
+    have the rate they were charted with and keep their copies. With ``exact`` the rate
+    is a decimal worked out from the charted text, rounded half away from zero.
     """
     drugs = [d for d in drugs if d.imputed]
     weight = F.coalesce(F.col("weight"), F.lit(float(rules.DEFAULT_WEIGHT_KG)))
@@ -278,12 +300,15 @@ def normalise_rates(
         drugs, lambda d: one_of("drugname", [x for _, labels in d.units for x in labels])
     )
     by_volume = _holds_for(drugs, lambda d: one_of("drugname", d.volume_labels))
-    one_rate = F.array(_dose(label_rate(F.col("rate"), weight, drugs), F.lit(True)))
+    own, known = [F.col("rate")], [label_rate(F.col("rate"), weight, drugs)]
+    if exact:
+        own.append(F.round(exact_number(F.col("drugrate"), strict=False), 4).cast(DOSE))
+        known.append(label_rate(_charted_billionths(), billionths(weight), drugs, exact_quotient, 1_000_000_000))
     charted = one_of("drug", [d.name for d in as_charted])
     doses = (
-        F.when(charted, F.array(_dose(F.col("rate"), F.lit(True))))
-        .when(by_label, one_rate)
-        .when(by_volume, _volume_rates(F.col("rate"), weight, drugs))
+        F.when(charted, F.array(_dose(F.lit(True), *own)))
+        .when(by_label, F.array(_dose(F.lit(True), *known)))
+        .when(by_volume, _volume_rates(F.col("rate"), weight, drugs, exact))
     )
     identity = ["drug", "infusiondrugid", "patientunitstayid", "infusionoffset", "minute", "drugname"]
     doses = (
@@ -297,9 +322,8 @@ def normalise_rates(
     if as_charted:
         again = F.sequence(F.lit(1).cast("long"), F.when(charted, F.col("copies")).otherwise(F.lit(1).cast("long")))
         counted = counted.withColumn("copy", F.explode(again))
-    return counted.select(
-        *[c for c in identity if c != "minute"], F.round("dose", 4).alias("rate"), *PASSED_THROUGH
-    )
+    rate = F.col("exact") if exact else F.round("dose", 4)
+    return counted.select(*[c for c in identity if c != "minute"], rate.alias("rate"), *PASSED_THROUGH)
 
 
 def vasoactive_rates(
@@ -308,17 +332,20 @@ def vasoactive_rates(
     weights: DataFrame,
     drugs: Sequence[DrugRule] = rules.DRUGS,
     strict: bool = False,
+    exact: bool = False,
 ) -> DataFrame:
     """Dose rates of all the drugs in one long table with a ``drug`` column.
 
-    The infusions are read twice: for the rows, and for the minute series of a stay.
+    The infusions are read twice: for the rows, and for the minute series of a stay. With
+    ``exact`` rates are decimals of four places instead of doubles; one that needs more than
+    eleven digits before the point is NULL.
     """
     plain = [d for d in drugs if not d.imputed]
     imputed = [d for d in drugs if d.imputed]
     parsed = parse_infusions(infusions, drugs, strict)
     if imputed:
         return normalise_rates(
-            impute_unit_labels(parsed, imputed, orders, weights, plain), imputed, plain
+            impute_unit_labels(parsed, imputed, orders, weights, plain), imputed, plain, exact
         )
     # rates of these drugs are taken as charted
     return parsed.select(
@@ -327,7 +354,7 @@ def vasoactive_rates(
         "patientunitstayid",
         "infusionoffset",
         "drugname",
-        F.round("rate", 4).alias("rate"),
+        (F.round(exact_number(F.col("drugrate"), strict), 4).cast(DOSE) if exact else F.round("rate", 4)).alias("rate"),
         *PASSED_THROUGH,
     )
 

@@ -98,8 +98,9 @@ telling AS (
   FROM in_gap
   WHERE name IN ('Dopamine', 'Epinephrine', 'Norepinephrine')
      OR contains(name, 'norepinephrine')
-     OR (drug <> 'epinephrine' AND regexp_matches(name, '^(Dopamine|Norepinephrine) \\((mcg/kg/hr|mcg/kg/min|ml/hr)\\)$'))
-     OR (drug = 'norepinephrine' AND regexp_matches(name, '^Norepinephrine \\((mcg/min|mg/hr|mg/min)\\)$'))
+     OR (drug <> 'epinephrine' AND name IN ('Dopamine (mcg/kg/hr)', 'Dopamine (mcg/kg/min)', 'Dopamine (ml/hr)',
+           'Norepinephrine (mcg/kg/hr)', 'Norepinephrine (mcg/kg/min)', 'Norepinephrine (ml/hr)'))
+     OR (drug = 'norepinephrine' AND name IN ('Norepinephrine (mcg/min)', 'Norepinephrine (mg/hr)', 'Norepinephrine (mg/min)'))
 ),
 told AS (
   SELECT g.drug, g.id,
@@ -349,6 +350,31 @@ ORGANS = "respiration, coagulation, liver, cardiovascular, cns, renal"
 WORST = ", ".join(f"{o}_24hours" for o in ORGANS.split(", "))
 TOTAL = "(" + " + ".join(f"{o}_24hours" for o in ORGANS.split(", ")) + ") AS SOFA_24hours"
 
+# whole numbers of billionths, divided once; a half goes away from zero
+EXACT = """
+  SELECT drug, infusiondrugid, patientunitstayid, infusionoffset, drugname,
+    if(top IS NULL, NULL, (if(top < 0, -1, 1) * ((abs(top) * 20000 + bottom) // (2 * bottom)))::DECIMAL(18,0) * 0.0001)::DECIMAL(18,4)::VARCHAR AS rate
+  FROM (
+    SELECT drug, id AS infusiondrugid, stay AS patientunitstayid, off AS infusionoffset, name AS drugname, plain, infusionrate,
+      (num * (try_cast(rate_text AS DECIMAL(20,9)) * 1000000000)::HUGEINT)::HUGEINT AS top,
+      (den * if(per_kg, (kg::DECIMAL(20,9) * 1000000000)::HUGEINT, 1000000000))::HUGEINT AS bottom
+    FROM (
+      SELECT u.* EXCLUDE (unit, num, den, per_kg), num, den, per_kg, num * r / (den * if(per_kg, kg, 1)) AS plain FROM (unit_known JOIN units USING (unit)) u
+      UNION
+      SELECT *, 4000, 15000, true, 1000 * r * 4 / (250 * 60 * kg) FROM dosed WHERE name = 'Dopamine (ml/hr)'
+      UNION
+      SELECT d.*, if(o.name = 'EPINEPHrine 8 MG in 250 mL NS', 8000, 4000), 15000, true, 1000 * r * if(o.name = 'EPINEPHrine 8 MG in 250 mL NS', 8, 4) / (250 * 60 * kg)
+      FROM dosed d JOIN drug_orders o ON o.stay = d.stay AND d.off BETWEEN o.start_off AND o.stop_off
+      WHERE d.name = 'Epinephrine (ml/hr)' AND o.cancelled = 'No' AND starts_with(o.name, 'Epinephrine')
+      UNION
+      SELECT d.*, CASE WHEN o.name LIKE 'NOREPINEPHRINE%4%MG%250%C%REPACKAGE%' THEN 4000 END, 15000, true,
+        CASE WHEN o.name LIKE 'NOREPINEPHRINE%4%MG%250%C%REPACKAGE%' THEN 1000 * r * 4 / (250 * 60 * kg) END
+      FROM dosed d JOIN drug_orders o ON o.stay = d.stay AND d.off BETWEEN o.start_off AND o.stop_off
+      WHERE d.name IN ('Norepinephrine (ml/hr)', 'norepinephrine Volume (ml) (ml/hr)')
+        AND o.cancelled = 'No' AND contains(o.name, 'Norepinephrine')
+      UNION ALL
+      SELECT *, NULL::DOUBLE, 1, 1, false, r FROM numeric_rows WHERE drug = 'dobutamine'))"""
+
 FINAL = {
     "weight_repair": "SELECT stay AS patientunitstayid, adm AS admissionweight, dis AS dischargeweight FROM weights",
     "infusion_parse": "SELECT drug, id AS infusiondrugid, stay AS patientunitstayid, off AS infusionoffset,"
@@ -401,6 +427,7 @@ FINAL = {
     "rolling_worst_24": "SELECT stay AS patientunitstayid, hr, coagulation, coagulation_24hours FROM worst",
     "sofa_total": f"SELECT stay AS patientunitstayid, hr, {WORST}, {TOTAL} FROM worst WHERE hr >= 0",
     "sofa_full": f"SELECT {PANEL_COLUMNS}, {ORGANS}, {WORST}, {TOTAL} FROM worst WHERE hr >= 0",
+    "rate_exact": EXACT,
     "gas_episodes": "SELECT p.stay AS patientunitstayid, off AS chartoffset, ratio AS pao2fio2ratio, starttime, endtime,"
     " (off - starttime)::INT AS minutes_in FROM pf p LEFT JOIN vent v ON v.stay = p.stay AND off BETWEEN starttime AND endtime",
     "rolling_worst_by_change": "SELECT stay AS patientunitstayid, hr, coagulation, coagulation_24hours FROM worst",
