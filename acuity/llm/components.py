@@ -53,5 +53,5 @@ def _state(edges: DataFrame) -> tuple:
     """Number and an order-free digest of the edges, which are distinct."""
     one = F.xxhash64("a", "b")
     return tuple(
-        edges.agg(F.count("*"), F.bit_xor(one), F.sum(F.pmod(one, F.lit(1 << 40)))).first()
+        edges.agg(F.count("*"), F.bit_xor(one), F.sum(F.pmod(one, F.lit(1 << 24)))).first()
     )

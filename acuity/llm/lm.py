@@ -1,21 +1,24 @@
-"""Language model scoring by online logistic mixing of hashed-context bit predictors (after Mahoney 2005).
+"""Language model scoring by logistic mixing of hashed-context bit predictors (after Mahoney 2005).
 
-A text is its words, lower-cased, each followed by a space, and an end. Every byte is
-coded as eight binary decisions. Each decision is predicted from the counts of
-several contexts: the last one, two and three bytes of the word, its whole beginning, and the
+A text is its words, lower-cased, each followed by a space, and an end. A word that has followed the
+last two words or the last one before is coded by binary decisions over these contexts (:mod:`successors`).
+Any other is spelled: every byte is coded as eight binary decisions. Each decision is predicted from the
+counts of several contexts: the last one, two and three bytes of the word, its whole beginning, and the
 beginning with the mark, the last byte of the latest non-ASCII letter before the word
 (which tells languages apart). A mixer weighs the predictions by logistic weights, of
 which a gate picks one set for each level of confidence, and a refinement table corrects
-its result by what followed such predictions so far.
-
-What a word costs depends on word and mark alone, so the corpus is scored by distinct
-words: chunks of documents are reduced to word counts, a shuffle in word order adds
-counts up over the corpus, the model learns from the counted words and scores each once,
-and a shuffle by chunk takes the scores back to the documents.
-
-Counts are exact and of every occurrence. They stay in Spark: words lie in blocks of
-the word order, which know nearly all whole beginnings by themselves; of the other contexts
-a block asks the parts that add up all blocks' counts. No task and no broadcast holds all contexts.
+its result by what followed such predictions.
+
+What spelling a word costs depends on word and mark alone, so it is worked out by distinct words: chunks of
+documents are reduced to word counts and the texts as sequences of their words, a shuffle in word
+order adds counts up over the corpus, each word is spelled once, and a shuffle by chunk takes the costs back.
+There, the counts of its pairs and triples of words arrive too, and the decisions are taken along the text.
+
+Counts are of every occurrence; a decision of a byte sees them in 16 bits each, scaled down together where one
+is over 65,535. They stay in Spark: words lie in blocks of the word order, which know nearly all whole
+beginnings by themselves; of the other contexts a block asks the parts that add up all blocks' counts. No
+task and no broadcast holds all contexts. The weights come from sums over all events, whatever the
+blocks, so the score does not depend on how the work is parted.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from acuity.llm import successors
 from acuity.llm.common import release, remainder, ship, table
 from acuity.session import stored
 
@@ -65,7 +69,7 @@ def _mark(word: bytes) -> int:
 
 
 class _Chunk:
-    """Documents reduced to counts of (mark, word)."""
+    """Documents as sequences of (mark, word) numbers."""
 
     def __init__(self) -> None:
         number = count()
@@ -73,8 +77,7 @@ class _Chunk:
         self.docs: list = []
         self.held: list[bool] = []
         self.tokens: list[int] = []
-        self.places: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []
+        self.sequences: list[np.ndarray] = []
         self.size = 0
 
     def add(self, doc, held: bool, text: str | None) -> None:
@@ -89,12 +92,10 @@ class _Chunk:
                 ids += map(self.by_mark[mark].__getitem__, words[at : stop + 1])
                 mark, at = _mark(words[stop]), stop + 1
             ids += map(self.by_mark[mark].__getitem__, words[at:])
-        place, n = np.unique(np.array(ids, np.int32), return_counts=True)
         self.docs.append(doc)
         self.held.append(held)
         self.tokens.append(len(ids))
-        self.places.append(place)
-        self.counts.append(n.astype(np.int32))
+        self.sequences.append(np.array(ids, np.int32))
         self.size += len(text or "") + 64
 
     def row(self, chunk: int) -> dict:
@@ -104,12 +105,9 @@ class _Chunk:
             for word, i in own.items():
                 words[i] = word
             marks[list(own.values())] = mark
-        train = np.zeros(size, np.int64)
-        for held, place, n in zip(self.held, self.places, self.counts, strict=True):
-            if not held:
-                train[place] += n
-        lens = np.array([len(p) for p in self.places], np.int32)
-        blob = b"".join(a.tobytes() for a in (lens, np.concatenate(self.places), np.concatenate(self.counts)))
+        learned = [x for held, x in zip(self.held, self.sequences, strict=True) if not held]
+        train = np.bincount(np.concatenate([np.zeros(0, np.int32), *learned]), minlength=size)
+        blob = np.concatenate(self.sequences).tobytes()
         return {
             "chunk": chunk, "docs": self.docs, "held": self.held, "tokens": self.tokens, "words": words,
             "marks": marks.tolist(), "train": train.tolist(), "postings": zstandard.compress(blob, 1),
@@ -117,7 +115,7 @@ class _Chunk:
 
 
 def chunks(docs: DataFrame, held: F.Column, id_col: str, text_col: str, size: int) -> DataFrame:
-    """One row for about ``size`` characters of text: its words with counts, and the words of each document."""
+    """One row for about ``size`` characters of text: its words with counts, and each document as their sequence."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), held.alias("held"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -517,66 +515,23 @@ def _start_refine() -> np.ndarray:
     return np.tile(np.linspace(-8, 8, _STEPS), (256, 1))
 
 
-def _learn(byte: np.ndarray, weight: np.ndarray, pairs: np.ndarray, rate: float, power: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(weights of the mixer, what followed by node and step of its result, all there), from events in batches."""
-    weights = _start_weights()
-    ones, alls = np.zeros(256 * _STEPS), np.zeros(256 * _STEPS)
-    curve = np.tile(50 * np.eye(len(_PRIMES) + 1), (_GATES, 1, 1))
-    # batches follow no order of the words, or a batch would be all of one kind
-    order = np.argsort((np.arange(len(byte)) * 2654435761) & 0xFFFFFFFF)
-    for lo in range(0, len(order), 1 << 13):
-        s = order[lo : lo + (1 << 13)]
-        x, gate = Model.inputs(pairs[s], byte[s], True)
-        turn = _BITS[byte[s]].ravel()
-        w = np.repeat(weight[s] ** power, 8)
-        stretch = np.einsum("ij,ij->i", x, weights[gate])
-        p = 1 / (1 + np.exp(-np.clip(stretch, -14, 14)))
-        error, bend = (turn - p) * w, np.maximum(p * (1 - p), 0.002) * w
-        step = np.zeros(weights.shape)
-        by_gate = np.argsort(gate.astype(np.int16), kind="stable")
-        xs, error, bend = x[by_gate].astype(np.float64), error[by_gate], bend[by_gate]
-        edges = np.concatenate(([0], np.cumsum(np.bincount(gate, minlength=_GATES))))
-        for g in np.flatnonzero(np.diff(edges)):
-            own = slice(edges[g], edges[g + 1])
-            curve[g] += xs[own].T @ (xs[own] * bend[own, None])
-            step[g] = error[own] @ xs[own]
-        weights += rate * np.linalg.solve(curve, step[:, :, None])[:, :, 0]
-        node = _NODES[byte[s]].astype(np.int64).ravel()
-        at = node * _STEPS + np.rint(np.clip((stretch + 8) * 2, 0, _STEPS - 1)).astype(np.int64)
-        alls += np.bincount(at, weights=w, minlength=len(alls))
-        ones += np.bincount(at, weights=w * turn, minlength=len(ones))
-    return weights, ones, alls
-
-
-def fit(found: DataFrame, answers: DataFrame, rate: float = 0.5, power: float = 0.75) -> Model:
-    """The model of all blocks, without the counts.
-
-    The mixer learns online: it goes through the events of a block, predicts a batch
-    of events without their own last occurrence, and moves its weights by ``rate`` of a Newton
-    step against the error; an event counts by ``power`` of its occurrences. The blocks'
-    weights are averaged by events. The refinement table is made of what
-    followed the predictions along the way.
-    """
-    shape = "n double, weights binary, ones binary, alls binary"
+def _events_of(found: DataFrame, answers: DataFrame, work, shape: str) -> DataFrame:
+    """What ``work`` makes of each block's learned events (byte, weight, pairs), added up in 16 groups."""
 
-    def work(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def each(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         row = left.iloc[0]
         block = _Block(row["words"], row["marks"], row["weights"])
         seen = block.weight > 0
         if not seen.any():
-            return pd.DataFrame({"n": [], "weights": [], "ones": [], "alls": []})
+            return pd.DataFrame({name: [] for name in names})
         pairs = block.pairs(*_answered(right))
-        sums = _learn(block.byte[seen], block.weight[seen], pairs[seen], rate, power)
-        n = float(seen.sum())
+        out = work(block.byte[seen], block.weight[seen], pairs[seen])
         del pairs, block
         release()
-        return pd.DataFrame([{"n": n, "weights": (n * sums[0]).tobytes(), "ones": sums[1].tobytes(), "alls": sums[2].tobytes()}])
+        return pd.DataFrame([{name: a.tobytes() for name, a in zip(names, out, strict=True)}])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = {"n": pdf["n"].sum()}
-        for name in ("weights", "ones", "alls"):
-            total[name] = sum(np.frombuffer(b) for b in pdf[name]).tobytes()
-        return pd.DataFrame([total])
+        return pd.DataFrame([{name: sum(np.frombuffer(b) for b in pdf[name]).tobytes() for name in names}])
 
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
@@ -586,21 +541,65 @@ def fit(found: DataFrame, answers: DataFrame, rate: float = 0.5, power: float =
         if total is not None:
             yield total
 
+    names = [part.split()[0] for part in shape.split(", ")]
     pairs = found.select("block", "words", "marks", "weights").groupBy("block").cogroup(answers.groupBy("block"))
-    got = pairs.applyInPandas(work, shape).mapInPandas(add_up, shape).groupBy((F.spark_partition_id() % 16).alias("k"))
-    # the tasks' sums are added up in 16 groups, whatever their number
-    weights, ones, alls, total = np.zeros(_start_weights().shape), np.zeros(256 * _STEPS), np.zeros(256 * _STEPS), 0.0
-    for r in got.applyInPandas(add, shape).collect():
-        weights += np.frombuffer(r["weights"]).reshape(weights.shape)
+    got = pairs.applyInPandas(each, shape).mapInPandas(add_up, shape)
+    return got.groupBy((F.spark_partition_id() % 16).alias("k")).applyInPandas(add, shape)
+
+
+def fit(found: DataFrame, answers: DataFrame) -> Model:
+    """The model of all blocks, without the counts.
+
+    An event is predicted without its own last occurrence, and counts by its occurrences. One
+    pass adds up the error and the curvature of all events at the first weights, and the mixer
+    takes a Newton step against them; a second one adds up what followed the new predictions for the
+    refinement table. Sums over all events, so no order of learning and no block matters.
+    """
+    inputs = len(_PRIMES) + 1
+    start = _start_weights()
+
+    def bent(byte: np.ndarray, weight: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        step, curve = np.zeros((_GATES, inputs)), np.zeros((_GATES, inputs, inputs))
+        for lo in range(0, len(byte), 1 << 14):
+            s = slice(lo, lo + (1 << 14))
+            x, gate = Model.inputs(pairs[s], byte[s], True)
+            w = np.repeat(weight[s], 8)
+            p = 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", x, start[gate]), -14, 14)))
+            error, bend = (_BITS[byte[s]].ravel() - p) * w, p * (1 - p) * w
+            by_gate = np.argsort(gate.astype(np.int16), kind="stable")
+            xs, error, bend = x[by_gate].astype(np.float64), error[by_gate], bend[by_gate]
+            edges = np.concatenate(([0], np.cumsum(np.bincount(gate, minlength=_GATES))))
+            for g in np.flatnonzero(np.diff(edges)):
+                own = slice(edges[g], edges[g + 1])
+                curve[g] += xs[own].T @ (xs[own] * bend[own, None])
+                step[g] += error[own] @ xs[own]
+        return step, curve
+
+    step, curve = np.zeros((_GATES, inputs)), np.tile(50 * np.eye(inputs), (_GATES, 1, 1))
+    for r in _events_of(found, answers, bent, "step binary, curve binary").collect():
+        step += np.frombuffer(r["step"]).reshape(step.shape)
+        curve += np.frombuffer(r["curve"]).reshape(curve.shape)
+    weights = start + np.linalg.solve(curve, step[:, :, None])[:, :, 0]
+
+    def followed(byte: np.ndarray, weight: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ones, alls = np.zeros(256 * _STEPS), np.zeros(256 * _STEPS)
+        for lo in range(0, len(byte), 1 << 14):
+            s = slice(lo, lo + (1 << 14))
+            x, gate = Model.inputs(pairs[s], byte[s], True)
+            w = np.repeat(weight[s], 8)
+            stretch = np.einsum("ij,ij->i", x, weights[gate])
+            at = _NODES[byte[s]].astype(np.int64).ravel() * _STEPS + np.rint(np.clip((stretch + 8) * 2, 0, _STEPS - 1)).astype(np.int64)
+            alls += np.bincount(at, weights=w, minlength=len(alls))
+            ones += np.bincount(at, weights=w * _BITS[byte[s]].ravel(), minlength=len(ones))
+        return ones, alls
+
+    ones, alls = np.zeros(256 * _STEPS), np.zeros(256 * _STEPS)
+    for r in _events_of(found, answers, followed, "ones binary, alls binary").collect():
         ones += np.frombuffer(r["ones"])
         alls += np.frombuffer(r["alls"])
-        total += r["n"]
-    start = _start_refine().ravel()
-    prior = 1 / (1 + np.exp(-start))
-    refine = (ones + 20 * prior) / (alls + 20)
-    refine = np.clip(refine, 1e-6, 1 - 1e-6)
-    refine = np.log(refine / (1 - refine)).reshape(256, _STEPS)
-    return Model(weights / total if total else _start_weights(), refine)
+    prior = 1 / (1 + np.exp(-_start_refine().ravel()))
+    refine = np.clip((ones + 20 * prior) / (alls + 20), 1e-6, 1 - 1e-6)
+    return Model(weights, np.log(refine / (1 - refine)).reshape(256, _STEPS))
 
 
 def train(words: DataFrame, folder: str | None = None) -> Model:
@@ -616,12 +615,14 @@ def train(words: DataFrame, folder: str | None = None) -> Model:
 
 
 def score(docs: DataFrame, held: F.Column, id_col: str = "doc_id", text_col: str = "text", chunk: int = 24_000_000, folder: str | None = None) -> DataFrame:
-    """Scores of every whole text: (id, held_out, n_tokens, n_known, train_tokens, base_score, score).
+    """Scores of every whole text: (id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte).
 
     ``held`` is a boolean column of the documents not learned from. The base score is that
-    of single words with one added to every count. NULL counts as the empty text, which is
-    the end alone. Rows are kept one for one, repeated ones too; an empty table gives an
-    empty result; other columns are ignored. With nothing to learn from, each decision
+    of single words with one added to every count. ``score`` is the log10 probability of the text, in which the
+    order of its words counts; a text that was learned from is scored without its own occurrence of each
+    pair and triple of words. ``n_bytes`` is the length of what is coded: the words, a space behind each, and the end.
+    NULL counts as the empty text, which is the end alone. Rows are kept one for one, repeated ones too; an
+    empty table gives an empty result; other columns are ignored. With nothing to learn from, each decision
     is even.
     """
     spark = ship(docs.sparkSession)
@@ -642,38 +643,81 @@ def score(docs: DataFrame, held: F.Column, id_col: str = "doc_id", text_col: str
         rows = len(raw) // 24
         chunk, c = np.frombuffer(raw, np.int64, 2 * rows).reshape(2, rows)
         place, of = np.frombuffer(raw, np.int32, 2 * rows, 16 * rows).reshape(2, rows)
-        return pd.DataFrame({"chunk": chunk, "place": place, "c": c, "cost": cost[of]})
+        order = np.argsort(chunk, kind="stable")
+        edges = [0, *(np.flatnonzero(np.diff(chunk[order])) + 1).tolist(), rows]
+        own = [order[a:b] for a, b in itertools.pairwise(edges)]
+        data = [zstandard.compress(place[o].tobytes() + c[o].tobytes() + cost[of[o]].tobytes(), 1) for o in own]
+        return pd.DataFrame({"chunk": [chunk[o[0]] for o in own], "part": -1, "n": [len(o) for o in own], "data": data})
 
     pairs = words.select("block", "words", "marks", "weights", "rest").groupBy("block").cogroup(answers.groupBy("block"))
-    costs = pairs.applyInPandas(each, "chunk long, place int, c long, cost double")
+    costs = pairs.applyInPandas(each, "chunk long, part long, n long, data binary")
+    tokens = found.agg(F.sum(F.aggregate("tokens", F.lit(0).cast("long"), lambda s, t: s + t))).first()[0] or 0
+    bits, parts = successors.key_bits(tokens), successors.part_bits(tokens)
+
+    def read(row: dict) -> successors.Text:
+        sequence = np.frombuffer(zstandard.decompress(row["postings"]), np.int32)
+        lens, held = np.asarray(row["tokens"], np.int64), np.asarray(row["held"], bool)
+        return successors.Text(list(row["words"]), sequence, lens, held, bits, END)
+
+    followers = successors.exchange(found, read, bits, parts)
+    # an end is counted once a text
+    ends = found.agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
     kind = docs.schema[id_col].dataType.simpleString()
 
     def add(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        row = left.iloc[0]
-        tokens = np.asarray(row["tokens"], np.int64)
-        raw = zstandard.decompress(row["postings"])
-        lens = np.frombuffer(raw, np.int32, len(tokens))
-        places, counts = np.frombuffer(raw, np.int32, offset=4 * len(lens)).reshape(2, -1)
-        c, cost = np.zeros(len(right), np.int64), np.zeros(len(right))
-        c[right["place"]], cost[right["place"]] = right["c"], right["cost"]
+        row = left.iloc[0].to_dict()
+        words, lens = row["words"], np.asarray(row["tokens"], np.int64)
+        c, cost = np.zeros(len(words), np.int64), np.zeros(len(words))
+        answered = []
+        for part, n_rows, data in sorted(zip(right["part"], right["n"], right["data"], strict=True), key=lambda r: r[0]):
+            raw = zstandard.decompress(data)
+            if part >= 0:
+                answered.append(np.frombuffer(raw, np.uint32))
+                continue
+            place = np.frombuffer(raw, np.int32, n_rows)
+            c[place] = np.frombuffer(raw, np.int64, n_rows, 4 * n_rows)
+            cost[place] = np.frombuffer(raw, np.float64, n_rows, 12 * n_rows)
+        text = read(row)
+        sequence = np.frombuffer(zstandard.decompress(row["postings"]), np.int32)
+        seen = c[sequence]
+        state, answer, share, spelled = text.decisions(np.concatenate(answered), seen, ends)
         doc = np.repeat(np.arange(len(lens)), lens)
+        size = np.array([1 if w == END else len(w) + 1 for w in words], np.int64)
 
         def sums(x: np.ndarray) -> np.ndarray:
-            return np.bincount(doc, weights=x[places] * counts, minlength=len(lens))
+            return np.bincount(doc, weights=x, minlength=len(lens))
 
-        return pd.DataFrame(
+        out = pd.DataFrame(
             {
-                "id": list(row["docs"]), "held_out": list(row["held"]), "n_tokens": tokens, "n_known": sums(c > 0).astype(np.int64),
-                "base_score": sums(np.log10((c + 1) / (n + v + 1))), "score": sums(cost),
+                "id": list(row["docs"]), "held_out": list(row["held"]), "n_tokens": lens, "n_known": sums(seen > 0).astype(np.int64),
+                "base_score": sums(np.log10((seen + 1) / (n + v + 1))), "fixed": sums(share + np.where(spelled, cost[sequence], 0)),
+                "n_bytes": sums(size[sequence]).astype(np.int64), "cells": successors.counted(successors.taken(state, answer), doc, len(lens)),
             }
         )
+        del text, sequence, seen, state, answer, share, spelled, doc
+        release()
+        return out
 
-    pairs = found.select("chunk", "docs", "held", "tokens", "postings").groupBy("chunk").cogroup(costs.groupBy("chunk"))
-    out = pairs.applyInPandas(add, f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    columns = ["chunk", "docs", "held", "tokens", "words", "postings"]
+    both = costs.unionByName(followers)
+    shape = f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, fixed double, n_bytes long, cells binary"
+    scored = stored(found.select(*columns).groupBy("chunk").cogroup(both.groupBy("chunk")).applyInPandas(add, shape), "scored", folder)
+    chosen = spark.sparkContext.broadcast(successors.fit(successors.gather(scored)))
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            more = []
+            for data in pdf.pop("cells"):
+                cell, times = successors.read_counted(data)
+                more.append(float(chosen.value[cell] @ times))
+            total = pdf.pop("fixed") + np.array(more, np.float64)
+            yield pdf.assign(score=total, bits_per_byte=-total * math.log2(10) / pdf["n_bytes"])
+
+    out = scored.mapInPandas(finish, f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, n_bytes long, score double, bits_per_byte double")
     return out.withColumn("train_tokens", F.lit(n).cast("long"))
 
 
 def op8(spark, folder: str) -> DataFrame:
     held = remainder(F.col("doc_id"), 7) == 2
     found = score(table(spark, folder, "documents"), held).withColumnRenamed("id", "doc_id")
-    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")

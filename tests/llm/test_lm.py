@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from acuity.llm import lm
+from acuity.llm import lm, successors
 
 
 def tokens(text):
@@ -144,3 +144,112 @@ def test_beginnings_count_from_their_first_occurrence_whatever_the_mark(spark):
     for k, want in ((3, (1, 2)), (4, (1, 0))):  # the last decision of b after a
         pair = int(counts[lm._slots(e.hashes, e.byte, k)[1, 7]])
         assert (pair & 65535, pair >> 16) == want
+
+
+def plain_scores(spark, texts, held):
+    """Scores text by text and token by token, from plain counts of words, pairs and triples."""
+    learned = {i: tokens(t) for i, t in texts.items() if i not in held}
+    one, two, pair, triple = Counter(), Counter(), Counter(), Counter()
+    marked = Counter()
+    for words in learned.values():
+        mark = 0
+        for k, w in enumerate(words):
+            last = words[k - 1] if k else "\n"
+            one[last] += 1
+            pair[last, w] += 1
+            if k:
+                before = words[k - 2] if k > 1 else "\n"
+                two[before, last] += 1
+                triple[before, last, w] += 1
+            marked[w, mark] += 1
+            if not w.isascii():
+                mark = lm._mark(w.encode())
+    counted = spark.createDataFrame([(w.encode(), m, n) for (w, m), n in marked.items()], "word binary, mark int, cw long")
+    model = lm.train(counted)
+    taken, fixed = {}, {}
+    sums = np.zeros((2, successors.CELLS, 2))
+    for i, text in texts.items():
+        words, own = tokens(text), int(i not in held)
+        mark, run, before_said, taken[i], fixed[i] = 0, 0, 0, [], 0.0
+        for k, w in enumerate(words):
+            last = words[k - 1] if k else "\n"
+            before = words[k - 2] if k > 1 else "\n"
+            t2, c2 = (two[before, last] - own, triple[before, last, w] - own) if k else (0, 0)
+            t1, c1 = one[last] - own, pair[last, w] - own
+            said = 2 if c2 > 0 and t2 > 0 else 1 if c1 > 0 and t1 > 0 else 0
+            classes = [np.searchsorted(cuts, x) for cuts, x in ((successors._TWO, t2), (successors._ONE, t1), (successors._RUN, run))]
+            state = np.ravel_multi_index((*classes, before_said), successors.SHAPE)
+            if t2 > 0:
+                taken[i].append((0, state, int(said == 2)))
+            if said != 2 and t1 > 0:
+                taken[i].append((1, state, int(said == 1)))
+            if said == 2:
+                fixed[i] += math.log10(c2 / t2)
+            elif said == 1:
+                fixed[i] += math.log10(c1 / t1)
+            else:
+                fixed[i] += float(model.words([w.encode()], np.array([mark], np.int32))[0])
+            run, before_said = run + 1 if said == 2 else 0, said
+            if not w.isascii():
+                mark = lm._mark(w.encode())
+        if own:
+            for decision in taken[i]:
+                sums[decision] += 1
+    chosen = successors.fit(sums).reshape(2, successors.CELLS, 2)
+    return {i: fixed[i] + sum(chosen[d] for d in taken[i]) for i in texts}
+
+
+CORPUS = {
+    1: "the cat sat on the mat and the cat sat on the hat", 2: "The cat sat on the mat again", 3: None, 4: "", 5: "été the cat naïve sat on the mat",
+    6: "on the mat the cat sat", 7: "a dog ran by the old mill and a dog sat on the mat", 8: "the the the the the", 9: "the cat sat on the mat and the dog ran by",
+    10: "mat the on sat cat the", 11: "x" * 70 + " the cat",
+}
+
+
+@pytest.mark.parametrize("parts, chunk", [("1", 24_000_000), ("9", 60)])
+def test_the_score_equals_brute_force_for_any_partitions(spark, make, parts, chunk):
+    held = {2, 9, 10}
+    want = plain_scores(spark, CORPUS, held)
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        rows = lm.score(make(list(CORPUS.items())), F.col("doc_id").isin(*held), chunk=chunk).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert {r.id for r in rows} == set(CORPUS)
+    for r in rows:
+        assert r.score == pytest.approx(want[r.id], rel=1e-6), r.id
+        size = sum(len(w.encode()) + (w != "\n") for w in tokens(CORPUS[r.id]))
+        assert r.n_bytes == size and r.bits_per_byte == pytest.approx(-r.score / size * math.log2(10))
+
+
+def test_the_order_of_words_counts(spark, make):
+    """A text in known order is likelier than its words shuffled, and a repeated passage than a new one."""
+    score = {r.id: r.score for r in lm.score(make(list(CORPUS.items())), F.col("doc_id").isin(9, 10)).collect()}
+    assert score[6] > score[10] + 1
+    assert score[9] / len(tokens(CORPUS[9])) > score[7] / len(tokens(CORPUS[7]))
+
+
+def test_the_gain_over_single_words_is_large_on_held_out_text(scored):
+    _, rows = scored
+    held = [r for r in rows if r.held_out]
+    n = sum(r.n_tokens for r in held)
+    assert sum(r.score for r in held) / n > sum(r.base_score for r in held) / n + 0.7
+
+
+def test_keys_pack_and_runs():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 500):
+        k = np.unique(rng.integers(0, 1 << 46, n, dtype=np.uint64))
+        assert (successors.unpack(successors.pack(k)) == k).all()
+    yes = np.array([1, 1, 1, 0, 1, 1, 1, 1, 0, 0, 1], bool)
+    begins = np.zeros(11, bool)
+    begins[[0, 6]] = True
+    assert successors._runs(yes, begins).tolist() == [0, 1, 2, 3, 0, 1, 0, 1, 2, 0, 0]
+
+
+def test_decisions_are_probabilities():
+    sums = np.zeros((2, successors.CELLS, 2))
+    sums[0, 5:900:7] = (30, 70)
+    chosen = 10 ** successors.fit(sums).reshape(2, successors.CELLS, 2)
+    assert np.allclose(chosen.sum(axis=2), 1) and chosen[0, 5, 1] > 0.6
+    assert np.allclose(successors.fit(np.zeros_like(sums)), math.log10(0.5))
