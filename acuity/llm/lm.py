@@ -614,7 +614,7 @@ def train(words: DataFrame, folder: str | None = None) -> Model:
 # ---------------------------------------------------------------- scores of documents
 
 
-def score(docs: DataFrame, held: F.Column, id_col: str = "doc_id", text_col: str = "text", chunk: int = 24_000_000, folder: str | None = None) -> DataFrame:
+def score(docs: DataFrame, held: F.Column, id_col: str = "doc_id", text_col: str = "text", chunk: int = 12_000_000, folder: str | None = None) -> DataFrame:
     """Scores of every whole text: (id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte).
 
     ``held`` is a boolean column of the documents not learned from. The base score is that
@@ -659,7 +659,7 @@ def score(docs: DataFrame, held: F.Column, id_col: str = "doc_id", text_col: str
         lens, held = np.asarray(row["tokens"], np.int64), np.asarray(row["held"], bool)
         return successors.Text(list(row["words"]), sequence, lens, held, bits, END)
 
-    followers = successors.exchange(found, read, bits, parts)
+    followers = successors.exchange(found, read, parts)
     # an end is counted once a text
     ends = found.agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
     kind = docs.schema[id_col].dataType.simpleString()
@@ -668,11 +668,11 @@ def score(docs: DataFrame, held: F.Column, id_col: str = "doc_id", text_col: str
         row = left.iloc[0].to_dict()
         words, lens = row["words"], np.asarray(row["tokens"], np.int64)
         c, cost = np.zeros(len(words), np.int64), np.zeros(len(words))
-        answered = []
+        answered: tuple[list, list] = ([], [])
         for part, n_rows, data in sorted(zip(right["part"], right["n"], right["data"], strict=True), key=lambda r: r[0]):
             raw = zstandard.decompress(data)
             if part >= 0:
-                answered.append(np.frombuffer(raw, np.uint32))
+                answered[part >> 40].append(np.frombuffer(raw, np.uint32))
                 continue
             place = np.frombuffer(raw, np.int32, n_rows)
             c[place] = np.frombuffer(raw, np.int64, n_rows, 4 * n_rows)
@@ -680,7 +680,7 @@ def score(docs: DataFrame, held: F.Column, id_col: str = "doc_id", text_col: str
         text = read(row)
         sequence = np.frombuffer(zstandard.decompress(row["postings"]), np.int32)
         seen = c[sequence]
-        state, answer, share, spelled = text.decisions(np.concatenate(answered), seen, ends)
+        state, answer, share, spelled = text.decisions(*map(np.concatenate, answered), seen, ends)
         doc = np.repeat(np.arange(len(lens)), lens)
         size = np.array([1 if w == END else len(w) + 1 for w in words], np.int64)
 

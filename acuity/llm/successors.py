@@ -24,6 +24,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from acuity.llm.common import release
+
 _MIX = tuple(np.uint64(p) for p in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 #: upper ends of the classes of a count
 _TWO = np.array([0, 1, 2, 4, 8, 16, 64])
@@ -44,21 +46,22 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def keys(h: np.ndarray, first: np.ndarray, end: np.uint64, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(pair, triple) keys of each token, of ``bits`` bits; the first token of a text has no triple (0).
+def keys(h: np.ndarray, first: np.ndarray, end: np.uint64, bits: int, triple: bool) -> np.ndarray:
+    """Keys of ``bits`` bits of each token with the last word, or with the last two; those of first tokens have no triple (0).
 
     ``h`` are hashes of tokens, ``first`` the places of the texts' first tokens. An end stands before a text.
     """
     one = np.empty_like(h)
     one[1:] = h[:-1]
     one[first] = end
+    down = np.uint64(64 - bits)
+    if not triple:
+        return _mixed(h * _MIX[0] + _mixed(one + _MIX[2])) >> down
     two = np.empty_like(h)
     two[1:] = one[:-1]
-    down = np.uint64(64 - bits)
-    pair = _mixed(h * _MIX[0] + _mixed(one + _MIX[2])) >> down
-    triple = _mixed(h * _MIX[3] + _mixed(two * _MIX[0] + _mixed(one + _MIX[1]))) >> down
-    triple[first] = 0
-    return pair, np.where(triple == 0, 0, np.maximum(triple, 1)) if len(triple) else triple
+    key = np.maximum(_mixed(h * _MIX[3] + _mixed(two * _MIX[0] + _mixed(one + _MIX[1]))) >> down, 1)
+    key[first] = 0
+    return key
 
 
 def pack(sorted_keys: np.ndarray) -> bytes:
@@ -74,43 +77,56 @@ def unpack(data: bytes) -> np.ndarray:
 
 def key_bits(tokens: int) -> int:
     """Bits that keep a quarter of a million places for each key."""
-    return min(64, math.ceil(math.log2(max(2, 2 * tokens))) + 18)
+    return min(64, math.ceil(math.log2(max(2, tokens))) + 18)
 
 
 def part_bits(tokens: int) -> int:
-    return max(3, math.ceil(math.log2(max(1, 2 * tokens / _PART))))
+    return max(3, math.ceil(math.log2(max(1, tokens / _PART))))
 
 
 class Text:
-    """The tokens of a chunk's documents one after another, and their keys."""
+    """The tokens of a chunk's documents one after another."""
 
     def __init__(self, words: list[bytes], sequence: np.ndarray, lens: np.ndarray, held: np.ndarray, bits: int, end: bytes) -> None:
         self.first = np.cumsum(lens) - lens
         self.own = np.repeat(~held, lens)
-        h = hashes(words)[sequence]
-        (stop,) = hashes([end])
-        self.pair, self.triple = keys(h, self.first, stop, bits)
-        both = np.concatenate((self.pair, self.triple))
-        self.distinct, self.at = np.unique(both, return_inverse=True)
-        self.weights = np.bincount(self.at, weights=np.tile(self.own, 2), minlength=len(self.distinct)).astype(np.uint32)
-
-    def sent(self, bits: int, parts: int) -> Iterator[tuple[int, int, bytes, bytes]]:
-        """(part, number, keys, counts in training texts) of the distinct keys."""
-        part = (self.distinct >> np.uint64(bits - parts)).astype(np.int64)
-        edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)] if len(part) else []
-        for a, b in zip(edges, edges[1:], strict=False):
-            yield int(part[a]), b - a, pack(self.distinct[a:b]), zstandard.compress(self.weights[a:b].tobytes(), 1)
-
-    def decisions(self, counts: np.ndarray, c: np.ndarray, known: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        self.bits = bits
+        self.h = hashes(words)[sequence]
+        (self.end,) = hashes([end])
+
+    def sent(self, parts: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+        """(part, number, keys, counts in training texts) of the distinct keys, pairs before triples."""
+        for triple in (False, True):
+            key = keys(self.h, self.first, self.end, self.bits, triple)
+            order = np.argsort(key)
+            key, own = key[order], self.own[order]
+            start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))[: len(key)]
+            key, weights = key[start], np.add.reduceat(own, start, dtype=np.uint32) if len(start) else own[:0].astype(np.uint32)
+            del order, own, start
+            part = (key >> np.uint64(self.bits - parts)).astype(np.int64)
+            edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)] if len(part) else []
+            for a, b in zip(edges, edges[1:], strict=False):
+                yield int(triple) << 40 | int(part[a]), b - a, pack(key[a:b]), zstandard.compress(weights[a:b].tobytes(), 1)
+
+    def _counts(self, triple: bool, answered: np.ndarray) -> np.ndarray:
+        """The count of each token's key, from those of the distinct keys in order."""
+        key = keys(self.h, self.first, self.end, self.bits, triple)
+        order = np.argsort(key)
+        key = key[order]
+        number = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))[: len(key)]
+        out = np.empty(len(key), np.int64)
+        out[order] = answered[number]
+        return out
+
+    def decisions(self, pairs: np.ndarray, triples: np.ndarray, c: np.ndarray, known: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(state of each token, its answers, log10 share of a yes, whether it is spelled out).
 
-        ``counts`` are those of the distinct keys over the corpus, ``c`` those of the tokens, ``known`` that of
-        all ends. The answer is 2 for two words, 1 for one, 0 for none.
+        ``pairs`` and ``triples`` are counts of the distinct keys over the corpus, ``c`` those of the tokens, ``known``
+        that of all ends. The answer is 2 for two words, 1 for one, 0 for none.
         """
-        n = len(self.pair)
+        n = len(self.h)
         own = self.own.astype(np.int64)
-        counts = counts.astype(np.int64)
-        pair, triple = counts[self.at[:n]], counts[self.at[n:]]
+        pair, triple = self._counts(False, pairs), self._counts(True, triples)
         begins = np.zeros(n, bool)
         begins[self.first] = True
         # the last word's count, and that of the last two, which is the pair before
@@ -118,7 +134,6 @@ class Text:
         one[self.first] = known
         two = np.concatenate(([0], pair[:-1]))
         two[self.first] = 0
-        triple = np.where(begins, 0, triple)
         pair, one = pair - own, one - own
         triple, two = np.where(begins, 0, triple - own), np.where(begins, 0, two - own)
         answer = np.where((triple > 0) & (two > 0), 2, np.where((pair > 0) & (one > 0), 1, 0))
@@ -154,7 +169,7 @@ def taken(state: np.ndarray, answer: np.ndarray) -> np.ndarray:
     return np.stack((first, second), axis=1)
 
 
-def exchange(found: DataFrame, read, bits: int, parts: int) -> DataFrame:
+def exchange(found: DataFrame, read, parts: int) -> DataFrame:
     """(chunk, part, n, data): the counts over the corpus of the keys of each chunk, in the order of its keys.
 
     ``read`` makes a :class:`Text` of a chunk's row.
@@ -163,8 +178,10 @@ def exchange(found: DataFrame, read, bits: int, parts: int) -> DataFrame:
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for row in pdf.to_dict("records"):
-                rows = [(part, row["chunk"], n, k, w) for part, n, k, w in read(row).sent(bits, parts)]
+                rows = [(part, row["chunk"], n, k, w) for part, n, k, w in read(row).sent(parts)]
                 yield pd.DataFrame(rows, columns=["part", "chunk", "n", "keys", "weights"])
+                del rows
+                release()
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         own = [unpack(k) for k in pdf["keys"]]

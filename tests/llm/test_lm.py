@@ -206,7 +206,7 @@ CORPUS = {
 }
 
 
-@pytest.mark.parametrize("parts, chunk", [("1", 24_000_000), ("9", 60)])
+@pytest.mark.parametrize("parts, chunk", [("1", 12_000_000), ("9", 60)])
 def test_the_score_equals_brute_force_for_any_partitions(spark, make, parts, chunk):
     held = {2, 9, 10}
     want = plain_scores(spark, CORPUS, held)
