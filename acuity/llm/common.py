@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -56,6 +57,15 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def forget(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files that only tables written by now were made from.
+
+    It does so when the driver's JVM collects its garbage, which else may take half an hour.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def release() -> None:
     """Give freed memory back, which a Python worker else keeps from task to task."""
     pa.default_memory_pool().release_unused()

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from acuity.llm import successors
-from acuity.llm.common import release, remainder, ship, table
+from acuity.llm.common import forget, release, remainder, ship, table
 from acuity.session import stored
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if c in b"\x20\x09\x0a\x0b\x0c\x0d" else c for c in range(256))
@@ -630,8 +630,10 @@ def score(docs: DataFrame, held: F.Column, id_col: str = "doc_id", text_col: str
     words = stored(blocks(vocabulary(found)), "blocks", folder)
     total = words.agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.sum("size").alias("size")).first()
     n, v = total["n"] or 0, total["v"] or 0
+    forget(spark)
     answers = stored(exchange(words, total["size"] or 0), "answers", folder)
     model = spark.sparkContext.broadcast(fit(words, answers))
+    forget(spark)
 
     def each(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         row = left.iloc[0]

@@ -76,8 +76,8 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 def key_bits(tokens: int) -> int:
-    """Bits that keep a quarter of a million places for each key."""
-    return min(64, math.ceil(math.log2(max(2, tokens))) + 18)
+    """Bits that keep four thousand places for each token's key: so rarely does a new one pass for known."""
+    return min(64, math.ceil(math.log2(max(2, tokens))) + 12)
 
 
 def part_bits(tokens: int) -> int:
