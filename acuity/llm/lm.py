@@ -107,7 +107,8 @@ class _Chunk:
             marks[list(own.values())] = mark
         learned = [x for held, x in zip(self.held, self.sequences, strict=True) if not held]
         train = np.bincount(np.concatenate([np.zeros(0, np.int32), *learned]), minlength=size)
-        blob = np.concatenate(self.sequences).tobytes()
+        # byte by byte, as words' numbers are small more often than not
+        blob = np.concatenate(self.sequences).view(np.uint8).reshape(-1, 4).T.tobytes()
         return {
             "chunk": chunk, "docs": self.docs, "held": self.held, "tokens": self.tokens, "words": words,
             "marks": marks.tolist(), "train": train.tolist(), "postings": zstandard.compress(blob, 1),
@@ -418,6 +419,24 @@ def exchange(found: DataFrame, size: int) -> DataFrame:
     return sent.groupBy("part").applyInPandas(add, "block long, part long, n long, data binary")
 
 
+def prepared(words: DataFrame, answers: DataFrame) -> DataFrame:
+    """Each block with the counts that it asked for in one row, for work that needs no further shuffle."""
+
+    def join(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        right = right.sort_values("part")
+        return left.assign(ns=[right["n"].to_numpy(np.int64)], data=[right["data"].tolist()])
+
+    shape = "block long, words binary, marks binary, weights binary, rest binary, ns array<long>, data array<binary>"
+    own = words.select("block", "words", "marks", "weights", "rest")
+    return own.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(join, shape)
+
+
+def _counted(row: dict) -> tuple[_Block, np.ndarray]:
+    """A prepared row's block and the counts of its events."""
+    block = _Block(row["words"], row["marks"], row["weights"])
+    return block, block.pairs(*_answered(pd.DataFrame({"part": range(len(row["ns"])), "n": row["ns"], "data": row["data"]})))
+
+
 def _answered(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The keys of a block in order and their counts."""
     pdf = pdf.sort_values("part")
@@ -515,40 +534,32 @@ def _start_refine() -> np.ndarray:
     return np.tile(np.linspace(-8, 8, _STEPS), (256, 1))
 
 
-def _events_of(found: DataFrame, answers: DataFrame, work, shape: str) -> DataFrame:
+def _events_of(ready: DataFrame, work, shape: str) -> DataFrame:
     """What ``work`` makes of each block's learned events (byte, weight, pairs), added up in 16 groups."""
 
-    def each(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        row = left.iloc[0]
-        block = _Block(row["words"], row["marks"], row["weights"])
-        seen = block.weight > 0
-        if not seen.any():
-            return pd.DataFrame({name: [] for name in names})
-        pairs = block.pairs(*_answered(right))
-        out = work(block.byte[seen], block.weight[seen], pairs[seen])
-        del pairs, block
-        release()
-        return pd.DataFrame([{name: a.tobytes() for name, a in zip(names, out, strict=True)}])
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([{name: sum(np.frombuffer(b) for b in pdf[name]).tobytes() for name in names}])
-
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
         for pdf in batches:
-            if len(pdf):
-                total = add(pdf if total is None else pd.concat([total, pdf]))
+            for row in pdf.to_dict("records"):
+                block, pairs = _counted(row)
+                seen = block.weight > 0
+                out = work(block.byte[seen], block.weight[seen], pairs[seen])
+                total = out if total is None else tuple(x + y for x, y in zip(total, out, strict=True))
+                del block, pairs
+                release()
         if total is not None:
-            yield total
+            yield pd.DataFrame([{name: a.tobytes() for name, a in zip(names, total, strict=True)}])
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([{name: sum(np.frombuffer(b) for b in pdf[name]).tobytes() for name in names}])
 
     names = [part.split()[0] for part in shape.split(", ")]
-    pairs = found.select("block", "words", "marks", "weights").groupBy("block").cogroup(answers.groupBy("block"))
-    got = pairs.applyInPandas(each, shape).mapInPandas(add_up, shape)
+    got = ready.select("words", "marks", "weights", "ns", "data").mapInPandas(each, shape)
     return got.groupBy((F.spark_partition_id() % 16).alias("k")).applyInPandas(add, shape)
 
 
-def fit(found: DataFrame, answers: DataFrame) -> Model:
-    """The model of all blocks, without the counts.
+def fit(ready: DataFrame) -> Model:
+    """The model of all blocks as :func:`prepared`, without the counts.
 
     An event is predicted without its own last occurrence, and counts by its occurrences. One
     pass adds up the error and the curvature of all events at the first weights, and the mixer
@@ -576,7 +587,7 @@ def fit(found: DataFrame, answers: DataFrame) -> Model:
         return step, curve
 
     step, curve = np.zeros((_GATES, inputs)), np.tile(50 * np.eye(inputs), (_GATES, 1, 1))
-    for r in _events_of(found, answers, bent, "step binary, curve binary").collect():
+    for r in _events_of(ready, bent, "step binary, curve binary").collect():
         step += np.frombuffer(r["step"]).reshape(step.shape)
         curve += np.frombuffer(r["curve"]).reshape(curve.shape)
     weights = start + np.linalg.solve(curve, step[:, :, None])[:, :, 0]
@@ -594,7 +605,7 @@ def fit(found: DataFrame, answers: DataFrame) -> Model:
         return ones, alls
 
     ones, alls = np.zeros(256 * _STEPS), np.zeros(256 * _STEPS)
-    for r in _events_of(found, answers, followed, "ones binary, alls binary").collect():
+    for r in _events_of(ready, followed, "ones binary, alls binary").collect():
         ones += np.frombuffer(r["ones"])
         alls += np.frombuffer(r["alls"])
     prior = 1 / (1 + np.exp(-_start_refine().ravel()))
@@ -607,7 +618,7 @@ def train(words: DataFrame, folder: str | None = None) -> Model:
     rows = words.repartitionByRange("word").sortWithinPartitions("word", "mark")
     rows = rows.selectExpr("0L chunk", "0 place", "word", "mark", "cw c", "cw", "true head", "true first")
     found = stored(blocks(rows), "blocks", folder)
-    model = fit(found, exchange(found, found.agg(F.sum("size")).first()[0] or 0))
+    model = fit(stored(prepared(found, exchange(found, found.agg(F.sum("size")).first()[0] or 0)), "ready", folder))
     return Model(model.weights, model.refine, count_contexts(words))
 
 
@@ -631,33 +642,37 @@ def score(docs: DataFrame, held: F.Column, id_col: str = "doc_id", text_col: str
     total = words.agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.sum("size").alias("size")).first()
     n, v = total["n"] or 0, total["v"] or 0
     forget(spark)
-    answers = stored(exchange(words, total["size"] or 0), "answers", folder)
-    model = spark.sparkContext.broadcast(fit(words, answers))
+    ready = stored(prepared(words, exchange(words, total["size"] or 0)), "ready", folder)
     forget(spark)
+    model = spark.sparkContext.broadcast(fit(ready))
 
-    def each(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        row = left.iloc[0]
-        block = _Block(row["words"], row["marks"], row["weights"])
-        cost = model.value._words(block.pieces, block.size, block.pairs(*_answered(right)))
-        del block
-        release()
-        raw = zstandard.decompress(row["rest"])
-        rows = len(raw) // 24
-        chunk, c = np.frombuffer(raw, np.int64, 2 * rows).reshape(2, rows)
-        place, of = np.frombuffer(raw, np.int32, 2 * rows, 16 * rows).reshape(2, rows)
-        order = np.argsort(chunk, kind="stable")
-        edges = [0, *(np.flatnonzero(np.diff(chunk[order])) + 1).tolist(), rows]
-        own = [order[a:b] for a, b in itertools.pairwise(edges)]
-        data = [zstandard.compress(place[o].tobytes() + c[o].tobytes() + cost[of[o]].tobytes(), 1) for o in own]
-        return pd.DataFrame({"chunk": [chunk[o[0]] for o in own], "part": -1, "n": [len(o) for o in own], "data": data})
-
-    pairs = words.select("block", "words", "marks", "weights", "rest").groupBy("block").cogroup(answers.groupBy("block"))
-    costs = pairs.applyInPandas(each, "chunk long, part long, n long, data binary")
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for row in pdf.to_dict("records"):
+                block, pairs = _counted(row)
+                cost = model.value._words(block.pieces, block.size, pairs).astype(np.float32)
+                del block, pairs
+                release()
+                raw = zstandard.decompress(row["rest"])
+                rows = len(raw) // 24
+                chunk, c = np.frombuffer(raw, np.int64, 2 * rows).reshape(2, rows)
+                place, of = np.frombuffer(raw, np.int32, 2 * rows, 16 * rows).reshape(2, rows)
+                order = np.argsort(chunk, kind="stable")
+                edges = [0, *(np.flatnonzero(np.diff(chunk[order])) + 1).tolist(), rows]
+                own = [order[a:b] for a, b in itertools.pairwise(edges)]
+                data = [zstandard.compress(place[o].tobytes() + c[o].tobytes() + cost[of[o]].tobytes(), 1) for o in own]
+                yield pd.DataFrame({"chunk": [chunk[o[0]] for o in own], "part": -1, "n": [len(o) for o in own], "data": data})
+
+    costs = ready.mapInPandas(each, "chunk long, part long, n long, data binary")
     tokens = found.agg(F.sum(F.aggregate("tokens", F.lit(0).cast("long"), lambda s, t: s + t))).first()[0] or 0
     bits, parts = successors.key_bits(tokens), successors.part_bits(tokens)
 
+    def sequence_of(row: dict) -> np.ndarray:
+        planes = np.frombuffer(zstandard.decompress(row["postings"]), np.uint8).reshape(4, -1)
+        return np.ascontiguousarray(planes.T).view(np.int32).ravel()
+
     def read(row: dict) -> successors.Text:
-        sequence = np.frombuffer(zstandard.decompress(row["postings"]), np.int32)
+        sequence = sequence_of(row)
         lens, held = np.asarray(row["tokens"], np.int64), np.asarray(row["held"], bool)
         return successors.Text(list(row["words"]), sequence, lens, held, bits, END)
 
@@ -678,9 +693,9 @@ def score(docs: DataFrame, held: F.Column, id_col: str = "doc_id", text_col: str
                 continue
             place = np.frombuffer(raw, np.int32, n_rows)
             c[place] = np.frombuffer(raw, np.int64, n_rows, 4 * n_rows)
-            cost[place] = np.frombuffer(raw, np.float64, n_rows, 12 * n_rows)
+            cost[place] = np.frombuffer(raw, np.float32, n_rows, 12 * n_rows)
         text = read(row)
-        sequence = np.frombuffer(zstandard.decompress(row["postings"]), np.int32)
+        sequence = sequence_of(row)
         seen = c[sequence]
         state, answer, share, spelled = text.decisions(*map(np.concatenate, answered), seen, ends)
         doc = np.repeat(np.arange(len(lens)), lens)
