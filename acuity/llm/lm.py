@@ -107,11 +107,9 @@ class _Chunk:
             marks[list(own.values())] = mark
         learned = [x for held, x in zip(self.held, self.sequences, strict=True) if not held]
         train = np.bincount(np.concatenate([np.zeros(0, np.int32), *learned]), minlength=size)
-        # byte by byte, as words' numbers are small more often than not
-        blob = np.concatenate(self.sequences).view(np.uint8).reshape(-1, 4).T.tobytes()
         return {
             "chunk": chunk, "docs": self.docs, "held": self.held, "tokens": self.tokens, "words": words,
-            "marks": marks.tolist(), "train": train.tolist(), "postings": zstandard.compress(blob, 1),
+            "marks": marks.tolist(), "train": train.tolist(), "postings": successors.planes(np.concatenate(self.sequences)),
         }
 
 
@@ -638,6 +636,17 @@ def score(docs: DataFrame, held: F.Column, id_col: str = "doc_id", text_col: str
     """
     spark = ship(docs.sparkSession)
     found = stored(chunks(docs, F.coalesce(held, F.lit(False)), id_col, text_col, chunk), "chunks", folder)
+    tokens = found.agg(F.sum(F.aggregate("tokens", F.lit(0).cast("long"), lambda s, t: s + t))).first()[0] or 0
+    bits, parts = successors.key_bits(tokens), successors.part_bits(tokens)
+
+    def read(row: dict) -> successors.Text:
+        sequence = successors.read_planes(row["postings"], np.int32)
+        lens, held = np.asarray(row["tokens"], np.int64), np.asarray(row["held"], bool)
+        return successors.Text(list(row["words"]), sequence, lens, held, bits, END)
+
+    # written first, so that what was asked for is off the disks when the words are counted
+    followers = stored(successors.exchange(found, read, parts), "followers", folder)
+    forget(spark)
     words = stored(blocks(vocabulary(found)), "blocks", folder)
     total = words.agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.sum("size").alias("size")).first()
     n, v = total["n"] or 0, total["v"] or 0
@@ -660,23 +669,13 @@ def score(docs: DataFrame, held: F.Column, id_col: str = "doc_id", text_col: str
                 order = np.argsort(chunk, kind="stable")
                 edges = [0, *(np.flatnonzero(np.diff(chunk[order])) + 1).tolist(), rows]
                 own = [order[a:b] for a, b in itertools.pairwise(edges)]
-                data = [zstandard.compress(place[o].tobytes() + c[o].tobytes() + cost[of[o]].tobytes(), 1) for o in own]
-                yield pd.DataFrame({"chunk": [chunk[o[0]] for o in own], "part": -1, "n": [len(o) for o in own], "data": data})
+                packed = [[successors.planes(x[o]) for x in (place, c, cost[of])] for o in own]
+                yield pd.DataFrame({
+                    "chunk": np.repeat([chunk[o[0]] for o in own], 3), "part": [-3, -2, -1] * len(own),
+                    "n": np.repeat([row["block"]] * len(own), 3), "data": [d for three in packed for d in three],
+                })
 
     costs = ready.mapInPandas(each, "chunk long, part long, n long, data binary")
-    tokens = found.agg(F.sum(F.aggregate("tokens", F.lit(0).cast("long"), lambda s, t: s + t))).first()[0] or 0
-    bits, parts = successors.key_bits(tokens), successors.part_bits(tokens)
-
-    def sequence_of(row: dict) -> np.ndarray:
-        planes = np.frombuffer(zstandard.decompress(row["postings"]), np.uint8).reshape(4, -1)
-        return np.ascontiguousarray(planes.T).view(np.int32).ravel()
-
-    def read(row: dict) -> successors.Text:
-        sequence = sequence_of(row)
-        lens, held = np.asarray(row["tokens"], np.int64), np.asarray(row["held"], bool)
-        return successors.Text(list(row["words"]), sequence, lens, held, bits, END)
-
-    followers = successors.exchange(found, read, parts)
     # an end is counted once a text
     ends = found.agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
     kind = docs.schema[id_col].dataType.simpleString()
@@ -686,16 +685,17 @@ def score(docs: DataFrame, held: F.Column, id_col: str = "doc_id", text_col: str
         words, lens = row["words"], np.asarray(row["tokens"], np.int64)
         c, cost = np.zeros(len(words), np.int64), np.zeros(len(words))
         answered: tuple[list, list] = ([], [])
-        for part, n_rows, data in sorted(zip(right["part"], right["n"], right["data"], strict=True), key=lambda r: r[0]):
-            raw = zstandard.decompress(data)
+        three: dict[int, list[bytes]] = defaultdict(list)
+        for part, block, data in sorted(zip(right["part"], right["n"], right["data"], strict=True), key=lambda r: r[:2]):
             if part >= 0:
-                answered[part >> 40].append(np.frombuffer(raw, np.uint32))
-                continue
-            place = np.frombuffer(raw, np.int32, n_rows)
-            c[place] = np.frombuffer(raw, np.int64, n_rows, 4 * n_rows)
-            cost[place] = np.frombuffer(raw, np.float32, n_rows, 12 * n_rows)
+                answered[part >> 40].append(successors.read_planes(data, np.uint32))
+            else:
+                three[block].append(data)
+        for place, counts, costs in three.values():
+            at = successors.read_planes(place, np.int32)
+            c[at], cost[at] = successors.read_planes(counts, np.int64), successors.read_planes(costs, np.float32)
         text = read(row)
-        sequence = sequence_of(row)
+        sequence = successors.read_planes(row["postings"], np.int32)
         seen = c[sequence]
         state, answer, share, spelled = text.decisions(*map(np.concatenate, answered), seen, ends)
         doc = np.repeat(np.arange(len(lens)), lens)

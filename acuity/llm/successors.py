@@ -64,15 +64,23 @@ def keys(h: np.ndarray, first: np.ndarray, end: np.uint64, bits: int, triple: bo
     return key
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Numbers byte by byte, which are mostly small."""
+    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes(), 1)
+
+
+def read_planes(data: bytes, kind: type) -> np.ndarray:
+    rows = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(rows.T).view(kind).ravel()
+
+
 def pack(sorted_keys: np.ndarray) -> bytes:
-    """Keys in order, as steps from one to the next, byte by byte."""
-    steps = np.diff(sorted_keys, prepend=np.uint64(0))
-    return zstandard.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+    """Keys in order, as steps from one to the next."""
+    return planes(np.diff(sorted_keys, prepend=np.uint64(0)))
 
 
 def unpack(data: bytes) -> np.ndarray:
-    steps = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(steps.T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(read_planes(data, np.uint64), dtype=np.uint64)
 
 
 def key_bits(tokens: int) -> int:
@@ -106,7 +114,7 @@ class Text:
             part = (key >> np.uint64(self.bits - parts)).astype(np.int64)
             edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)] if len(part) else []
             for a, b in zip(edges, edges[1:], strict=False):
-                yield int(triple) << 40 | int(part[a]), b - a, pack(key[a:b]), zstandard.compress(weights[a:b].tobytes(), 1)
+                yield int(triple) << 40 | int(part[a]), b - a, pack(key[a:b]), planes(weights[a:b])
 
     def _counts(self, triple: bool, answered: np.ndarray) -> np.ndarray:
         """The count of each token's key, from those of the distinct keys in order."""
@@ -185,12 +193,12 @@ def exchange(found: DataFrame, read, parts: int) -> DataFrame:
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         own = [unpack(k) for k in pdf["keys"]]
-        weights = [np.frombuffer(zstandard.decompress(w), np.uint32) for w in pdf["weights"]]
+        weights = [read_planes(w, np.uint32) for w in pdf["weights"]]
         distinct, at = np.unique(np.concatenate(own), return_inverse=True)
         total = np.bincount(at, weights=np.concatenate(weights), minlength=len(distinct))
         total = np.minimum(total, 2**32 - 1).astype(np.uint32)[at]
         edges = np.cumsum([0, *map(len, own)])
-        data = [zstandard.compress(total[a:b].tobytes(), 1) for a, b in zip(edges, edges[1:], strict=False)]
+        data = [planes(total[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
         return pd.DataFrame({"chunk": pdf["chunk"], "part": pdf["part"], "n": pdf["n"], "data": data})
 
     columns = ["chunk", "docs", "held", "tokens", "words", "postings"]
