@@ -404,8 +404,9 @@ def extract(pages: list[Page], template: Template) -> list[str]:
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", group: int = 64) -> DataFrame:
     """(id, url, text) of every page, from its whole html.
 
-    Pages of a host are dealt into groups of about ``group`` pages, each of which deduces
-    the host's template for itself, so a host of any size is spread over tasks. A NULL
+    Pages of a host are dealt by a hash of the page into groups of about ``group`` pages, each of which
+    deduces the host's template for itself; the groups are spread over tasks one by one, so a host of any
+    size is. Where the rows lie in files is of no effect. A NULL
     or empty html gives the empty text; pages without a readable host form one host of their own.
     Rows are kept one for one; an empty table gives an empty result; other columns are
     ignored.
@@ -414,7 +415,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     host = F.coalesce(F.lower(F.try_parse_url(F.col(url_col).cast("string"), F.lit("HOST"))), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"))
     sizes = rows.groupBy("host").agg(F.ceil(F.count("*") / group).alias("parts"))
-    dealt = rows.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), "parts")).drop("parts")
+    page = F.xxhash64("id", "url", "html")
+    dealt = rows.join(sizes, "host").withColumn("part", F.pmod(page, "parts")).drop("parts").repartition("host", "part")
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         found = [read(h) for h in pdf["html"]]

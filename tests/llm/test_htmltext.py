@@ -4,6 +4,8 @@ from html import escape, unescape
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from acuity.llm import htmltext
 
 
@@ -127,3 +129,26 @@ def test_repeated_lines_and_link_lists_inside_the_article_are_the_template():
     # copies of one article and two others show no template
     few = [read[0]] * 20 + read[1:2]
     assert "Read this first" in htmltext.extract(few, htmltext.deduce(few))[0]
+
+
+def test_a_hot_host_is_spread_over_tasks_whatever_the_files(spark):
+    """A host with nearly all pages: its groups go to many tasks; the text doesn't depend on where rows lie."""
+    body = "<html><body><nav><a href='/'>Home</a></nav><article><p>Story {0} is told here, with {1} words of its own.</p></article><footer>All rights {2}</footer></body></html>"
+    rows = [(i, "http://hot.example/%d" % i if i % 20 else f"http://h{i}.example/", body.format(i, i * 7, "reserved")) for i in range(1200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    try:
+        found = htmltext.main_text(pages, group=16)
+        text = found._jdf.queryExecution().executedPlan().toString()
+        at = text.index("FlatMapGroupsInPandas")
+        assert "hashpartitioning(host" in text[at:] and ", part" in text[at:].split("REPARTITION_BY_COL")[0]
+        per_task = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(per_task) >= 12 and max(per_task) < 1200 / 3
+        one = {r.id: r.text for r in found.collect()}
+        other = {r.id: r.text for r in htmltext.main_text(pages.repartition(7).orderBy(F.desc("page_id")), group=16).collect()}
+        assert one == other and one[5] == "Story 5 is told here, with 35 words of its own."
+    finally:
+        for key in keys:
+            spark.conf.unset(key) if key != "spark.sql.shuffle.partitions" else spark.conf.set(key, "4")
