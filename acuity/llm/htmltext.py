@@ -22,6 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acuity.llm.common import ship, table
+from acuity.session import stored
+
+#: hosts that are sent to all tasks; of more, pages are joined with their host's number of groups
+MOST_HOSTS = 100_000
 
 # --- fixed values: elements by their role ----------------------------------------
 RAW = frozenset(("script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "xmp", "noembed", "noframes"))
@@ -401,7 +405,7 @@ def extract(pages: list[Page], template: Template) -> list[str]:
     return out
 
 
-def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", group: int = 64) -> DataFrame:
+def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", group: int = 64, folder: str | None = None) -> DataFrame:
     """(id, url, text) of every page, from its whole html.
 
     Pages of a host are dealt by a hash of the page into groups of about ``group`` pages, each of which
@@ -414,9 +418,14 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     ship(pages.sparkSession)
     host = F.coalesce(F.lower(F.try_parse_url(F.col(url_col).cast("string"), F.lit("HOST"))), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"))
-    sizes = rows.groupBy("host").agg(F.ceil(F.count("*") / group).alias("parts"))
+    sizes = rows.groupBy("host").agg(F.ceil(F.count("*") / group).alias("parts")).where("parts > 1")
+    sizes = stored(sizes, "hosts", folder)
+    # the pages are sent out once where the hosts with several groups are few enough for every task to know
+    if sizes.count() <= MOST_HOSTS:
+        sizes = F.broadcast(sizes)
     page = F.xxhash64("id", "url", "html")
-    dealt = rows.join(sizes, "host").withColumn("part", F.pmod(page, "parts")).drop("parts").repartition("host", "part")
+    dealt = rows.join(sizes, "host", "left").withColumn("part", F.pmod(page, F.coalesce("parts", F.lit(1)))).drop("parts")
+    dealt = dealt.repartition("host", "part")
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         found = [read(h) for h in pdf["html"]]
