@@ -132,7 +132,10 @@ def test_a_hot_minute_is_split(spark, table, unbroadcast):
 
 
 def test_the_grid_takes_one_shuffle(spark, inputs, unbroadcast):
-    assert len(exchanges(hour_grid(spark.createDataFrame([(1, "40", 90)], "patientunitstayid long, age string, unitdischargeoffset int")))) == 1
+    stays = spark.createDataFrame([(1, "40", 90)], "patientunitstayid long, age string, unitdischargeoffset int")
+    # a grid of one task is spread to a single partition
+    assert plan(hour_grid(stays)).count("Exchange") == 1
+    assert len(exchanges(hour_grid(stays, partitions=3))) == plan(hour_grid(stays, partitions=3)).count("Exchange") == 1
 
 
 def test_the_grid_takes_a_number_of_partitions(spark, table):

@@ -121,7 +121,7 @@ def test_a_build_that_died_goes_on(spark, inputs, tmp_path, request, monkeypatch
     stop = True
     with pytest.raises(Stopped):
         build(inputs, resume=True, **place)
-    assert made == ["contract_violations", "infusion_rejects", "weight"]
+    assert made == ["contract_violations", "quarantine", "infusion_rejects"]
     stop = False
     out = build(inputs, resume=True, **place)
     assert made == list(out) and len(set(made)) == len(made) == len(tables.NEEDS)
@@ -130,7 +130,7 @@ def test_a_build_that_died_goes_on(spark, inputs, tmp_path, request, monkeypatch
     # a changed input makes its own tables anew
     fewer = inputs | {"careplangeneral": inputs["careplangeneral"].where("patientunitstayid % 2 = 0")}
     out = build(fewer, resume=True, **place)
-    assert made == ["contract_violations", "ventilation", "sofa"]
+    assert made == ["contract_violations", "quarantine", "ventilation", "sofa"]
     assert rows_of(out["ventilation"]) == rows_of(run(fewer)["ventilation"])
     made.clear()
     build(fewer, resume=True, mode="islands", input_versions=dict.fromkeys(inputs, "snapshot 7"), **place)
