@@ -14,9 +14,10 @@ from pyspark.sql import functions as F  # noqa: E402
 from acuity import contracts, rules  # noqa: E402
 from acuity.operators import blood_gas, grid, infusions, intervals, pressures, scores, ventilation, weights  # noqa: E402
 from acuity.plans.scoring import run, score_signals  # noqa: E402
-from acuity.session import scratch_path, shared_folder, tune  # noqa: E402
+from acuity.session import scratch_path, shared_folder, stored, tune  # noqa: E402
 from checks import event_tables as ev  # noqa: E402
 from acuity.sources.tables import build, refresh  # noqa: E402
+from acuity.streaming import hourly  # noqa: E402
 from checks import oracles  # noqa: E402
 
 try:
@@ -104,12 +105,11 @@ def _pf(spark: SparkSession, folder: str) -> DataFrame:
     return blood_gas.pf_ratio(gases, _episodes("reference")(spark, folder))
 
 
-def _panel(spark: SparkSession, folder: str) -> DataFrame:
-    """The hourly panel of all measurements."""
+def _signals(spark: SparkSession, folder: str) -> list[grid.Signal]:
+    """All measurements of the score."""
     obs = ev.observations(spark, folder)
-    stays = ev.stays(spark, folder)
-    rates = infusions.vasoactive_rates(ev.infusions(obs), ev.orders(obs), weights.clean_weights(stays))
-    signals = score_signals(
+    rates = infusions.vasoactive_rates(ev.infusions(obs), ev.orders(obs), weights.clean_weights(ev.stays(spark, folder)))
+    return score_signals(
         ev.blood_gas(obs),
         ev.coma_scores(obs),
         ev.labs(obs),
@@ -118,7 +118,25 @@ def _panel(spark: SparkSession, folder: str) -> DataFrame:
         _episodes("reference")(spark, folder),
         rates,
     )
-    return grid.hourly_panel(grid.hour_grid(stays), signals)
+
+
+def _panel(spark: SparkSession, folder: str) -> DataFrame:
+    """The hourly panel of all measurements."""
+    return grid.hourly_panel(grid.hour_grid(ev.stays(spark, folder)), _signals(spark, folder))
+
+
+def _streamed(spark: SparkSession, folder: str) -> DataFrame:
+    """Replay all measurements out of order, in three arrivals that each go on from the checkpoint before."""
+    place = scratch_path(spark, "stream")
+    rows = ev.with_arrivals(hourly.records(ev.stays(spark, folder), _signals(spark, folder)), arrivals=3)
+    stored(rows, "records").write.partitionBy("arrival").parquet(f"{place}/records")
+    schema = rows.drop("arrival").schema
+    for arrival in range(3):
+        spark.read.schema(schema).parquet(f"{place}/records/arrival={arrival}").write.mode("append").parquet(f"{place}/arrived")
+        scored = hourly.hourly_scores(spark.readStream.schema(schema).parquet(f"{place}/arrived"), delay="12 hours")
+        sink = scored.writeStream.option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True)
+        sink.start(f"{place}/scores").awaitTermination()
+    return spark.read.parquet(f"{place}/scores")
 
 
 def _bands(organ: str, *shown: str) -> Query:
@@ -306,6 +324,7 @@ def queries() -> dict[str, Query]:
         "rate_exact": _exact_rates,
         "rolling_worst_by_change": lambda s, f: scores.by_change(_hourly_labs(s, f), ev.stays(s, f), worst=["coagulation"]),
         "rolling_urine_by_change": lambda s, f: scores.by_change(_hourly_urine(s, f), ev.stays(s, f), total=["urineoutput"]),
+        "streamed_sofa": _streamed,
         "refreshed_sofa": _refreshed("sofa"),
         "refreshed_ventilation": _refreshed("ventilation"),
     }

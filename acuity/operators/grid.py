@@ -90,6 +90,21 @@ def _stack(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def measured(signals: Sequence[Signal]) -> DataFrame:
+    """The measurements of all signals under each other, with the minute and the hour of each."""
+    return _stack(
+        [
+            signal.table.where(F.col(signal.offset).isNotNull()).select(
+                STAY,
+                F.col(signal.offset).alias("minute"),
+                hour_of(F.col(signal.offset)).alias("hr"),
+                *[value.cast("double").alias(name) for name, value, _ in signal.measures],
+            )
+            for signal in signals
+        ]
+    )
+
+
 def hourly_panel(grid: DataFrame, signals: Sequence[Signal]) -> DataFrame:
     """The grid with every signal reduced to its hour, NULL where there is no data.
 
@@ -101,17 +116,7 @@ def hourly_panel(grid: DataFrame, signals: Sequence[Signal]) -> DataFrame:
     """
     measures = [m for s in signals for m in s.measures]
     partitions = grid.schema["hr"].metadata[_NOTE]
-    measured = _stack(
-        [
-            signal.table.where(F.col(signal.offset).isNotNull()).select(
-                STAY,
-                hour_of(F.col(signal.offset)).alias("hr"),
-                *[value.cast("double").alias(name) for name, value, _ in signal.measures],
-            )
-            for signal in signals
-        ]
-    )
-    hourly = measured.groupBy(STAY, "hr").agg(
+    hourly = measured(signals).groupBy(STAY, "hr").agg(
         *[REDUCERS[how](name).alias(name) for name, _, how in measures]
     )
     return (

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +65,26 @@ def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> s
     return path
 
 
+#: application -> the folder that holds the package for its executors, removed when Python ends
+_SHARED: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def share_code(spark: SparkSession) -> None:
+    """Let the executors' Python import this package, once for each application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHARED:
+        return
+    _SHARED[app] = tempfile.TemporaryDirectory(prefix="code-")
+    home = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(_SHARED[app].name, "acuity_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(home):
+            for name in (n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(home)))
+    spark.sparkContext.addPyFile(path)
+
+
 def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write a table to the shared folder and return it as written, which cuts the lineage."""
     path = f"{scratch_path(df.sparkSession, name, folder)}/table"

@@ -307,6 +307,23 @@ def clinical_inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
+def with_arrivals(records: DataFrame, arrivals: int, jitter: int = 720) -> DataFrame:
+    """Records with a time, all stays beginning at once, and the arrival each comes with, up to ``jitter`` minutes out of order.
+
+    The last arrival ends with a heartbeat a year later.
+    """
+    first, last = records.agg(F.min("minute"), F.max("minute")).first()
+    first, last = first or 0, last or 0
+    at = F.timestamp_seconds(F.lit(1_000_000_000) + F.col("minute") * 60)
+    late = F.pmod(F.xxhash64(*records.columns), F.lit(jitter))
+    part = F.floor((F.col("minute") + late - first) * arrivals / (last + jitter - first + 1))
+    rows = records.select("*", at.alias("at"), F.least(part, F.lit(arrivals - 1)).cast("int").alias("arrival"))
+    beat = records.sparkSession.range(1).select(
+        F.timestamp_seconds(F.lit(1_000_000_000 + (last + 525_600) * 60)).alias("at"), F.lit(arrivals - 1).alias("arrival")
+    )
+    return rows.unionByName(beat, allowMissingColumns=True)
+
+
 def earlier(inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The inputs as they may have been before: some stays not yet there, some with other rows, some since removed."""
     stay = F.col("patientunitstayid")
