@@ -222,6 +222,20 @@ def _written(table: str) -> Query:
     return query
 
 
+def _bucketed(table: str) -> Query:
+    """Write the output tables with buckets by stay to a database of their own, then read one back."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        place = scratch_path(spark, "bucketed")
+        database = os.path.basename(place)
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{place}'")
+        inputs = ev.clinical_inputs(spark, folder)
+        buckets = max(8, grid.grid_partitions(inputs["icustay_detail"]))
+        return build(inputs, database, buckets=buckets)[table]
+
+    return query
+
+
 def _refreshed(table: str) -> Query:
     """Write the tables of earlier inputs, bring them up to date by stay, then read one back."""
 
@@ -324,6 +338,7 @@ def queries() -> dict[str, Query]:
         "rate_exact": _exact_rates,
         "rolling_worst_by_change": lambda s, f: scores.by_change(_hourly_labs(s, f), ev.stays(s, f), worst=["coagulation"]),
         "rolling_urine_by_change": lambda s, f: scores.by_change(_hourly_urine(s, f), ev.stays(s, f), total=["urineoutput"]),
+        "bucketed_sofa": _bucketed("sofa"),
         "streamed_sofa": _streamed,
         "refreshed_sofa": _refreshed("sofa"),
         "refreshed_ventilation": _refreshed("ventilation"),

@@ -14,6 +14,7 @@ def _in_interval(
     start: str,
     end: str,
     lowest: tuple[str, ...] = (),
+    buckets: int = 0,
 ) -> DataFrame:
     """One row per (stay, minute) of ``rows``: its lowest values and ``inside``.
 
@@ -21,13 +22,17 @@ def _in_interval(
     intervals begun by then has not passed: one running maximum, no pairing of minutes
     with intervals, which may overlap. Rows and intervals are stacked and reduced to a
     row per minute before the window, so that a stay's series is bounded by its length.
+    Intervals that lie by stay in ``buckets`` partitions stay there; the reduced rows come to them.
     """
     begun = intervals.where(F.col(start).isNotNull()).select(
         STAY, F.col(start).cast("long").alias("minute"), F.col(end).alias("until")
     )
+    asked = rows.where(F.col("minute").isNotNull())
+    if buckets:
+        first = asked.groupBy(STAY, "minute").agg(*[F.min(c).alias(c) for c in lowest])
+        asked = first.repartition(buckets, STAY)
     series = (
-        rows.where(F.col("minute").isNotNull())
-        .select(STAY, "minute", *lowest, F.lit(True).alias("asked"))
+        asked.select(STAY, "minute", *lowest, F.lit(True).alias("asked"))
         .unionByName(begun, allowMissingColumns=True)
         .groupBy(STAY, "minute")
         .agg(
@@ -80,13 +85,14 @@ def pf_ratio(bg: DataFrame, episodes: DataFrame) -> DataFrame:
     )
 
 
-def pf_ratio_min(bg: DataFrame, episodes: DataFrame) -> DataFrame:
+def pf_ratio_min(bg: DataFrame, episodes: DataFrame, buckets: int = 0) -> DataFrame:
     """Lowest ratio per (stay, minute); enough for hourly minima and free of row joins.
 
-    The state depends on the minute alone, so taking the minimum first is exact.
+    The state depends on the minute alone, so taking the minimum first is exact. Episodes of a table with
+    ``buckets`` by stay are not shuffled.
     """
     readings = pf_readings(bg).withColumn("minute", F.col("chartoffset").cast("long"))
-    minutes = _in_interval(readings, episodes, "starttime", "endtime", ("pao2fio2ratio",))
+    minutes = _in_interval(readings, episodes, "starttime", "endtime", ("pao2fio2ratio",), buckets)
     return minutes.select(
         STAY,
         F.col("minute").cast("int").alias("chartoffset"),

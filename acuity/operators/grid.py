@@ -76,11 +76,16 @@ def bucket_hourly(df: DataFrame, offset: str, aggregates: Mapping[str, Column])
 
 @dataclass(frozen=True)
 class Signal:
-    """Measurements of one table: (output, value, reducer) triples on one time column."""
+    """Measurements of one table: (output, value, reducer) triples on one time column.
+
+    ``in_place``: the rows lie by stay in as many partitions as the grid has, as those of a
+    bucketed table, and are few for each minute of a stay.
+    """
 
     table: DataFrame
     offset: str
     measures: Sequence[tuple[str, Column, str]]
+    in_place: bool = False
 
 
 REDUCERS = {"min": F.min, "max": F.max, "sum": F.sum}
@@ -112,15 +117,21 @@ def hourly_panel(grid: DataFrame, signals: Sequence[Signal]) -> DataFrame:
     share one shuffle of rows already reduced on the map side, spread by stay and hour.
     What is left, at most a row per hour, moves to the grid's layout by stay and is
     stacked with it. The grid itself, made where its stay lies, is never shuffled, and
-    windows over a stay can follow without a shuffle.
+    windows over a stay can follow without a shuffle. Signals that lie like the grid are
+    reduced where they are.
     """
     measures = [m for s in signals for m in s.measures]
     partitions = grid.schema["hr"].metadata[_NOTE]
-    hourly = measured(signals).groupBy(STAY, "hr").agg(
-        *[REDUCERS[how](name).alias(name) for name, _, how in measures]
-    )
+
+    def hourly(some: Sequence[Signal]) -> DataFrame:
+        reduced = [REDUCERS[how](name).alias(name) for signal in some for name, _, how in signal.measures]
+        return measured(some).groupBy(STAY, "hr").agg(*reduced)
+
+    moved = [signal for signal in signals if not signal.in_place]
+    there = [hourly([signal]) for signal in signals if signal.in_place]
+    parts = [by_stay(hourly(moved), partitions)] if moved else []
     return (
-        _stack([grid.withMetadata("hr", {}).withColumn("on_grid", F.lit(True)), by_stay(hourly, partitions)])
+        _stack([grid.withMetadata("hr", {}).withColumn("on_grid", F.lit(True)), *parts, *there])
         .groupBy(STAY, "hr")
         .agg(F.max("on_grid").alias("on_grid"), *[F.max(name).alias(name) for name, _, _ in measures])
         .where("on_grid")

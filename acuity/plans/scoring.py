@@ -17,6 +17,8 @@ from acuity.operators.scores import organ_points, total_score
 from acuity.operators.ventilation import episodes, vent_events
 from acuity.operators.weights import clean_weights
 
+_DOSES = ("norepinephrine", "epinephrine", "dobutamine", "dopamine")
+
 Keep = Callable[[str, DataFrame], DataFrame]
 
 
@@ -27,9 +29,14 @@ def score_signals(
     urine: DataFrame,
     pressures: DataFrame,
     ventilation: DataFrame,
-    rates: DataFrame,
+    rates: DataFrame | Mapping[str, DataFrame],
+    buckets: int = 0,
 ) -> list[Signal]:
-    """Every measurement of the score, with the way it is reduced to its hour."""
+    """Every measurement of the score, with the way it is reduced to its hour.
+
+    With ``buckets``, the pressures, the episodes and the doses, a table for each drug, are tables with
+    so many buckets by stay, which the grid has then, too.
+    """
 
     def positive_rate(drug: str):
         name = f"rate_{drug}"
@@ -37,7 +44,7 @@ def score_signals(
 
     return [
         # the table has a row per minute, whose minimum needs no aggregation of its own
-        Signal(pressures, "observationoffset", [("MeanBP_min", plausible_map(), "min")]),
+        Signal(pressures, "observationoffset", [("MeanBP_min", plausible_map(), "min")], bool(buckets)),
         Signal(scores, "chartoffset", [("GCS_min", F.col("gcs"), "min")]),
         Signal(
             labs,
@@ -49,24 +56,25 @@ def score_signals(
             ],
         ),
         Signal(
-            pf_ratio_min(bg, ventilation),
+            pf_ratio_min(bg, ventilation, buckets),
             "chartoffset",
             [
                 ("PaO2FiO2Ratio_novent", F.col("PaO2FiO2Ratio_novent"), "min"),
                 ("PaO2FiO2Ratio_vent", F.col("PaO2FiO2Ratio_vent"), "min"),
             ],
+            bool(buckets),
         ),
-        Signal(
-            rates,
-            "infusionoffset",
-            [positive_rate(d) for d in ("norepinephrine", "epinephrine", "dobutamine", "dopamine")],
+        *(
+            [Signal(rates[d], "infusionoffset", [positive_rate(d)], True) for d in _DOSES]
+            if buckets
+            else [Signal(rates, "infusionoffset", [positive_rate(d) for d in _DOSES])]
         ),
         Signal(urine, "chartoffset", [("urineoutput", F.col("urineoutput"), "sum")]),
     ]
 
 
-def score(stays: DataFrame, signals: list[Signal]) -> DataFrame:
-    return total_score(organ_points(hourly_panel(hour_grid(stays), signals)))
+def score(stays: DataFrame, signals: list[Signal], partitions: int | None = None) -> DataFrame:
+    return total_score(organ_points(hourly_panel(hour_grid(stays, partitions=partitions), signals)))
 
 
 def run(
@@ -75,6 +83,7 @@ def run(
     strict: bool = False,
     keep: Keep | None = None,
     share: Callable[[DataFrame], DataFrame] = lambda df: df,
+    buckets: int = 0,
 ) -> dict[str, DataFrame]:
     """All output tables, with what they leave out and what breaks a contract.
 
@@ -83,9 +92,11 @@ def run(
     ``mode`` is the way episodes are built, ``strict`` refuses rates that are no number.
     ``keep`` is called on each table in dependency order and returns what the later
     ones read; a sink passes its writer, so that a table is worked out once. ``share`` is
-    called on the dose rates, of which four tables are written.
+    called on the dose rates, of which four tables are written. With ``buckets`` the tables that
+    ``keep`` returns have so many buckets by stay, and the score reads them where they lie.
     """
     t = contracts.conform_all(inputs)
+    buckets = buckets if keep else 0
     out: dict[str, DataFrame] = {}
 
     def table(name: str, df: DataFrame) -> DataFrame:
@@ -102,7 +113,9 @@ def run(
     drugs = [table(drug.name, drug_table(rates, drug.name)) for drug in rules.DRUGS]
     if keep:
         # the written tables stand for the plan that made them
-        rates = reduce(DataFrame.unionByName, map(long_table, drugs, [d.name for d in rules.DRUGS]))
+        written = dict(zip([d.name for d in rules.DRUGS], drugs, strict=True))
+        long = {name: long_table(df, name) for name, df in written.items()}
+        rates = long if buckets else reduce(DataFrame.unionByName, long.values())
     pressures = table(
         "blood_pressure",
         coalesce_pressures(t["pivoted_vital"], t["vitalaperiodic"], t["vitalperiodic"]),
@@ -118,6 +131,7 @@ def run(
         pressures,
         ventilation,
         rates,
+        buckets,
     )
-    table("sofa", score(t["icustay_detail"], signals))
+    table("sofa", score(t["icustay_detail"], signals, buckets or None))
     return out

@@ -79,14 +79,19 @@ def _order(df: DataFrame, name: str) -> list[str]:
 
 
 def replace_table(
-    df: DataFrame, name: str, database: str | None = None, path: str | None = None, made_from: str = ""
+    df: DataFrame, name: str, database: str | None = None, path: str | None = None, made_from: str = "", buckets: int = 0
 ) -> DataFrame:
     """Replace an output table and return it as written.
 
     Rows are laid out by stay and sorted by time inside a file. The rebalance lets
     Spark split a stay that is too big for one file and merge small ones. Readers see the
     old rows until all new ones are written; a failed write leaves the old table.
+
+    A database's table can have ``buckets`` by stay instead, a sorted file each, so that what
+    groups or joins by stay reads it without a shuffle. A stay then lies in one file.
     """
+    if buckets and path is not None:
+        raise ValueError("only tables of a database have buckets")
     spark = df.sparkSession
     order = _order(df, name)
     if path is not None:
@@ -94,9 +99,14 @@ def replace_table(
         return versions.read(spark, root, versions.publish(df, root, made_from, order, STAY if order else None))
 
     def write(df: DataFrame, table: str) -> None:
-        if order:
-            df = df.hint("rebalance", STAY).sortWithinPartitions(*order)
-        df.write.format("parquet").saveAsTable(table)
+        out = df
+        if order and not buckets:
+            out = df.hint("rebalance", STAY).sortWithinPartitions(*order)
+        writer = out.write.format("parquet")
+        if order and buckets:
+            # the layout of the buckets, so that a task writes one file
+            writer = df.repartition(buckets, STAY).write.format("parquet").bucketBy(buckets, STAY).sortBy(*order)
+        writer.saveAsTable(table)
 
     target = _qualified(name, database)
     versions.publish_view(df, target, write, made_from)
@@ -139,6 +149,7 @@ def build(
     strict: bool = False,
     resume: bool = False,
     input_versions: Mapping[str, str] | None = None,
+    buckets: int = 0,
 ) -> dict[str, DataFrame]:
     """Write every output table in dependency order; later tables read the written ones.
 
@@ -150,7 +161,12 @@ def build(
     are as they were is not made again: a build that died goes on where it stood. What
     stands for an input is a digest of its rows, or what ``input_versions`` says, such as the
     snapshot of a table.
+
+    With ``buckets`` a database's tables get so many by stay, and the score is worked out from them without
+    a shuffle of what has been written. Other numbers of buckets make the tables anew.
     """
+    if buckets and path is not None:
+        raise ValueError("only tables of a database have buckets")
     held: list[DataFrame] = []
     spark = next(iter(inputs.values())).sparkSession
     conformed = contracts.conform_all(inputs)
@@ -171,12 +187,13 @@ def build(
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         made_from = _made_from(name, digests, mode, strict) if resume else ""
+        made_from += f"-{buckets}" if made_from and buckets else ""
         if resume and noted(name) == made_from:
             return read_table(spark, name, database, path)
-        return replace_table(df, name, database, path, made_from)
+        return replace_table(df, name, database, path, made_from, buckets)
 
     try:
-        return run(conformed, mode, strict, keep, share)
+        return run(conformed, mode, strict, keep, share, buckets)
     finally:
         for df in held:
             df.unpersist()

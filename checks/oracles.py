@@ -434,6 +434,7 @@ FINAL = {
     "rolling_urine_by_change": "SELECT stay AS patientunitstayid, hr, urine AS urineoutput, urine_day AS urineoutput_24hours FROM organs",
     "refreshed_sofa": f"SELECT {PANEL_COLUMNS}, {ORGANS}, {WORST}, {TOTAL} FROM worst WHERE hr >= 0",
     "refreshed_ventilation": "SELECT stay AS patientunitstayid, starttime, endtime FROM vent",
+    "bucketed_sofa": f"SELECT {PANEL_COLUMNS}, {ORGANS}, {WORST}, {TOTAL} FROM worst WHERE hr >= 0",
     "streamed_sofa": f"SELECT stay AS patientunitstayid, hr, {WORST}, {TOTAL} FROM worst WHERE hr >= 0",
     "written_tables": f"SELECT stay AS patientunitstayid, hr, {WORST}, {TOTAL} FROM worst WHERE hr >= 0",
 }
