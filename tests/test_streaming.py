@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -131,3 +132,40 @@ def test_what_is_held_of_a_stay_is_bounded():
         out = hours.scores(at + 40)
         assert list(out["hr"])[-1] == at + 40 and len(hours.rows) <= 2 * rules.ROLLING_HOURS + 10
         hours = hourly._Hours(hours.as_state(), 0)
+
+
+class Held:
+    """A state as Spark holds it."""
+
+    exists, now, held, wake = False, 0, None, None
+
+    def getCurrentWatermarkMs(self):
+        return self.now
+
+    @property
+    def get(self):
+        return self.held
+
+    def update(self, held):
+        self.exists, self.held = True, held
+
+    def setTimeoutTimestamp(self, at):
+        self.wake = at
+
+
+def test_a_batch_of_a_stay_is_one_column_in_and_one_row_out():
+    """What a stay costs in a batch is columns converted, not rows."""
+
+    def record(minute, **values):
+        return np.array([{"minute": minute, "at_ms": 60_000 * minute, **values}.get(f, np.nan) for f in hourly._FIELDS])
+
+    state = Held()
+    first = pd.DataFrame({"record": [record(-1440, opens=1.0), record(30, GCS_min=3.0), record(60 * 50, urineoutput=9.0)]})
+    assert list(hourly._advance((1,), [first], state)) == []
+    state.now = hourly.HOUR_MS * 41
+    (out,) = hourly._advance((1,), [], state)
+    assert list(out.columns) == [STAY, "first", "points"] and len(out) == 1 and (out[STAY][0], out["first"][0]) == (1, 0)
+    points = out["points"][0].reshape(-1, len(hourly.SCORES) + 1)
+    cns = hourly.SCORES.index("cns_24hours")
+    assert points[:, cns].tolist() == [0] + [4] * 24 + [0] * 16 and points[:, -1].tolist() == points[:, cns].tolist()
+    assert state.wake > state.now
