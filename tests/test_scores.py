@@ -122,3 +122,30 @@ def test_levels_give_the_same_as_looking_at_every_hour(spark):
     levels = scores.rolling_worst(df, ["a", "b"], 6, rules.ORGAN_LEVELS)
     assert levels.columns == plain.columns
     assert rows_of(levels) == rows_of(plain)
+
+
+def test_many_columns_and_hours_left_out(spark):
+    """More columns than a word of bits holds, with hours missing and levels from below zero points up."""
+    rng = random.Random(5)
+    names = [f"c{i}" for i in range(17)]
+    data = [
+        (stay, hr, *[rng.choice([None, None, 0, 1, 2, 3, 4]) for _ in names])
+        for stay in (1, 2, None)
+        for hr in sorted(rng.sample(range(-24, 60), 40))
+    ]
+    df = spark.createDataFrame(data, f"patientunitstayid long, hr int, {', '.join(f'{n} int' for n in names)}")
+    found = scores.rolling_worst(df, names, 6, rules.ORGAN_LEVELS)
+    want = [
+        (stay, hr, *[max([0, *[r[i] or 0 for r in data if r[0] == stay and hr - 6 < r[1] <= hr]]) for i in range(2, 2 + len(names))])
+        for stay, hr, *_ in data
+    ]
+    key = ("patientunitstayid", "hr")
+    assert rows_of(found, *key, *[f"{n}_6hours" for n in names]) == sorted(want, key=lambda r: tuple((v is not None, v) for v in r))
+    assert found.columns == [*df.columns, *[f"{n}_6hours" for n in names]]
+
+
+def test_the_worst_of_all_organs_takes_one_aggregate(panel):
+    """A window for the day of urine and one for the bits of all organs, not one value for each organ and level."""
+    text = scores.total_score(scores.organ_points(panel([(1, 0, {})])))._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in text.splitlines() if "Window [" in line]
+    assert len(windows) == 2 and sum(line.count("windowspecdefinition") for line in windows) == 2
