@@ -15,7 +15,7 @@ from acuity.operators.ventilation import episodes, vent_events
 from acuity.operators.weights import clean_weights
 from acuity.plans.scoring import run, score_signals
 from checks.event_tables import clinical_inputs
-from acuity.sources.tables import build, read_inputs
+from acuity.sources.tables import build, read_inputs, refresh
 from tests.conftest import SF_DIR, rows_of
 
 
@@ -101,6 +101,31 @@ def test_infusion_rows_are_spread_by_minute(spark, inputs, unbroadcast):
     assert len(joins) == 1
 
 
+def test_a_row_is_matched_and_read_as_a_number_once(inputs):
+    """No filter below the generator works the matches and the number out again."""
+    for df in (infusion.parse_infusions(inputs["infusiondrug"]), infusion.infusion_rejects(inputs["infusiondrug"])):
+        text = plan(df)
+        assert text.count("DOBUTamine") == 1
+        assert text.count("try_cast") == len(rules.DRUGS)
+
+
+def test_written_doses_and_scores_are_not_shuffled_again(spark, inputs, tmp_path, monkeypatch):
+    """One shuffle lays out the doses of all drugs; the score lies by stay in its grid."""
+    frame, hinted = type(inputs["infusiondrug"]), []
+    real = frame.hint
+    monkeypatch.setattr(frame, "hint", lambda df, name, *keys: hinted.append(name) or real(df, name, *keys))
+    for folder in ("whole", "by_bucket"):
+        hinted.clear()
+        make = build if folder == "whole" else refresh
+        made = make(inputs, path=f"{tmp_path}/{folder}")
+        # infusion_rejects, weight, the doses, blood_pressure, ventilation and, whole, quarantine; by bucket also the score
+        assert hinted == ["rebalance"] * 6
+        for name in [*(drug.name for drug in rules.DRUGS), "sofa"]:
+            files = made[name].select("patientunitstayid", F.input_file_name().alias("file")).distinct()
+            assert files.groupBy("patientunitstayid").count().where("count > 1").count() == 0
+            assert rows_of(made[name], "patientunitstayid") == rows_of(run(inputs)[name], "patientunitstayid")
+
+
 def test_a_hot_minute_is_split(spark, table, unbroadcast):
     """One minute of one stay with most of the rows: several tasks share its join."""
     label = "Epinephrine (mcg/min)"
