@@ -177,6 +177,27 @@ def test_a_refresh_equals_a_full_build(spark, inputs, tmp_path):
     assert rows_of(back["sofa"]) == rows_of(direct["sofa"]) and rows_of(back["ventilation"]) == rows_of(direct["ventilation"])
 
 
+def test_a_refresh_works_out_changed_stays_only(spark, inputs, tmp_path, monkeypatch):
+    """One bucket holds all stays: those that have not changed are copied, not worked out."""
+    path = str(tmp_path)
+    refresh(inputs, path, buckets=1)
+    seen = {}
+    real = tables.run
+
+    def watched(part, *rest):
+        seen.update({name: {r[0] for r in df.select("patientunitstayid").distinct().collect()} for name, df in part.items()})
+        return real(part, *rest)
+
+    monkeypatch.setattr(tables, "run", watched)
+    after = changed(inputs)
+    out = refresh(after, path, buckets=1)
+    want = {r[0] for r in tables.changed_stays(tables.stay_digests(after), tables.stay_digests(inputs)).collect()}
+    assert None in want and 0 < len(want) <= 7
+    assert all(stays <= want for stays in seen.values()) and None in seen["pivoted_uo"] and 10**9 in seen["pivoted_lab"]
+    for name, df in run(after).items():
+        assert rows_of(out[name]) == rows_of(df), name
+
+
 def test_a_refresh_that_died_is_made_again(spark, inputs, tmp_path, monkeypatch):
     path = str(tmp_path)
     refresh(inputs, path, buckets=4)
