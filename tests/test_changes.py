@@ -57,6 +57,14 @@ def test_the_grid_is_sized_by_its_stays(spark, stays):
     assert panel.count() == 5000 * 125
 
 
+@pytest.mark.parametrize(("tasks", "want"), [(1, 1), (95, 95), (96, 96), (300, 96), (480, 96), (481, 97), (5000, 1000)])
+def test_a_large_grid_has_larger_tasks_before_more(spark, tasks, want):
+    """Hours of a few long stays; the number is worked out from the stays alone."""
+    hours = tasks * grid.HOURS_IN_A_TASK // 5
+    stays = spark.range(5).select(F.col("id").alias("patientunitstayid"), F.lit("40").alias("age"), F.lit(60 * (hours - 25)).alias("unitdischargeoffset"))
+    assert grid.grid_partitions(stays) == want
+
+
 def test_few_cores_do_not_make_few_tasks(tmp_path):
     """The number of tasks is that of the stays' hours, whatever the cores at the moment."""
     code = """
