@@ -253,3 +253,18 @@ def test_decisions_are_probabilities():
     chosen = 10 ** successors.fit(sums).reshape(2, successors.CELLS, 2)
     assert np.allclose(chosen.sum(axis=2), 1) and chosen[0, 5, 1] > 0.6
     assert np.allclose(successors.fit(np.zeros_like(sums)), math.log10(0.5))
+
+
+@pytest.mark.parametrize("piece", [1, 7, 1 << 16])
+def test_counts_of_held_keys_need_no_search_for_each(piece, monkeypatch):
+    """The counts of all keys are those that a search finds, also where they are scaled down."""
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(0, 40, 600).astype(np.uint64) << np.uint64(56) | rng.integers(0, 256, 600).astype(np.uint64))
+    for high in (3, 200_000):
+        counts = lm.Counts(keys, rng.integers(0, high, len(keys)))
+        want = counts.at(keys)
+        with monkeypatch.context() as m:
+            m.setattr(lm.Counts, "at", None)
+            assert (counts.all(piece) == want).all()
+    assert lm.Counts(keys[:0], np.empty(0)).all().shape == (0, 8)
+    assert (lm.Counts(keys[:1], np.ones(1)).all() == lm.Counts(keys[:1], np.ones(1)).at(keys[:1])).all()
