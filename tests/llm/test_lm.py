@@ -268,3 +268,70 @@ def test_counts_of_held_keys_need_no_search_for_each(piece, monkeypatch):
             assert (counts.all(piece) == want).all()
     assert lm.Counts(keys[:0], np.empty(0)).all().shape == (0, 8)
     assert (lm.Counts(keys[:1], np.ones(1)).all() == lm.Counts(keys[:1], np.ones(1)).at(keys[:1])).all()
+
+
+ODD = ["", None, "a", "b a", "É a", "x\ty\x0bz\rw \n", "  the THE\x0cthe", "\x85a\u00a0b \u3000c", "a\0 a a\0\0 a\0b", "w" * 60, "w" * 60 + "x " + "w" * 60 + "a", "w" * 48, "été the naïve the été"]
+
+
+def test_tokens_of_many_texts_at_once_are_those_of_each():
+    for texts in (ODD, ODD[::-1], [""], ["a"], ["", ""], [" "], ["a", "", "b"]):
+        for cut in (0, 1):  # a slice does not begin at the buffer's beginning
+            some = [t or "" for t in texts]
+            own = lm.pa.array([*["zz"] * cut, *some], lm.pa.large_binary()).slice(cut)
+            words, sequence, lens = lm._tokens(own)
+            want = [[w.encode() for w in tokens(t)] for t in some]
+            assert lens.tolist() == [len(x) for x in want]
+            assert [words[i] for i in sequence] == [w for x in want for w in x]
+            # each behind the latest mark of its own text
+            marked, marks, numbers = lm._marked(words, sequence, lens)
+            plain = []
+            for x in want:
+                mark = 0
+                for w in x:
+                    plain.append((w, mark))
+                    mark = mark if w.isascii() else lm._mark(w)
+            assert [(marked[i], int(marks[i])) for i in numbers] == plain
+            assert len(marked) == len(set(plain))
+
+
+@pytest.mark.parametrize("chunk, part, size", [(1, 3, 2), (100, 7, 100), (10_000, 1 << 19, 1 << 18)])
+def test_blocks_of_chunks_are_stretches_of_the_word_order(spark, make, chunk, part, size):
+    df = make(list(enumerate(ODD)))
+    found = lm.stored(lm.chunks(df, F.col("doc_id") % 5 == 2, "doc_id", "text", chunk), "chunks")
+    blocks = lm.vocabulary(found, part, size).collect()
+    want, known = Counter(), Counter()
+    for i, t in enumerate(ODD):
+        mark = 0
+        for w in tokens(t):
+            want[w.encode(), mark] += i % 5 != 2
+            known[w.encode()] += i % 5 != 2
+            mark = mark if w.isascii() else lm._mark(w.encode())
+    got, rows = [], 0
+    for b in sorted(blocks, key=lambda b: b.block):
+        words, marks, weights = lm.parted(b.words), np.frombuffer(b.marks, np.int32), np.frombuffer(b.weights, np.int64)
+        got += zip(words, marks.tolist(), weights.tolist(), strict=True)
+        raw = lm.zstandard.decompress(b.rest)
+        n = len(raw) // 24
+        c, of = np.frombuffer(raw, np.int64, n, 8 * n), np.frombuffer(raw, np.int32, n, 20 * n)
+        assert c.tolist() == [known[words[i]] for i in of]
+        assert b.v == sum(known[w] > 0 for w in set(words)) and b.n == weights.sum()
+        rows += n
+    assert got == sorted((w, m, n) for (w, m), n in want.items())
+    assert rows >= len(got) and (len(blocks) == 1) == (part > 7)
+
+
+def test_words_are_not_sorted_one_by_one_in_spark(make):
+    """Their windows and the explode before them took a fifth of the whole score's CPU seconds."""
+    found = lm.stored(lm.chunks(make([(1, "a b"), (2, "b c")]), F.lit(False), "doc_id", "text", 100), "chunks")
+    plan = lm.vocabulary(found)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Generate" not in plan and "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("bits", [8, 39, 58, 64])
+def test_places_in_the_order_of_keys(bits):
+    rng = np.random.default_rng(bits)
+    for n in (0, 1, 5000):
+        key = rng.integers(0, 1 << 64, n, dtype=np.uint64) >> np.uint64(64 - bits)
+        key[: n // 3] = key[n // 2 : n // 2 + n // 3] ^ np.uint64(1)  # some differ in the last bit alone
+        order = successors.ordered(key, bits)
+        assert sorted(order.tolist()) == list(range(n)) and (key[order] == np.sort(key)).all()
