@@ -12,14 +12,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acuity.llm.common import SPACE, table
+from acuity.llm.common import table
 from acuity.session import stored
 
 # --- fixed values: symbols counted, and the base rule's bounds ------------------
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-DIGITS = "0123456789"
 #: what the learned rules may look at
 FEATURES = (
     "n_words", "mean_word", "symbol_share", "dup_line_share", "repeat_share",
@@ -27,43 +25,43 @@ FEATURES = (
 )
 
 
-def _let(value: Column, body) -> Column:
-    """body(value) with value worked out once."""
-    return F.transform(F.array(value), body)[0]
+#: a word, and a whole line that has one
+_WORD, _LINE = r"[^\x20\x09-\x0D]+", r"(?<![^\n])[\x20\x09\x0B-\x0D]*+[^\x20\x09-\x0D][^\n]*+"
 
 
-def _without(text: Column, letters: str) -> Column:
-    return F.char_length(F.translate(text, letters, ""))
+def _count(text: Column, others: str) -> Column:
+    """How many characters are left without the ``others``."""
+    return F.char_length(F.regexp_replace(text, others, ""))
 
 
-def _repeated(words: Column) -> Column:
-    """How many words stand in a 3-word window that occurs twice or more, windows told apart by 64-bit hashes."""
+def _windows(words: Column) -> Column:
+    """64-bit hashes of the 3-word windows, by which they are told apart."""
+    each = F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2]))
+    return F.when(F.size(words) < 3, F.array().cast("array<bigint>")).otherwise(each)
 
-    def cover(windows: Column) -> Column:
-        """windows: (hash, position), sorted."""
 
-        def place(x: Column, j: Column) -> Column:
-            def same(k: Column) -> Column:
-                return F.coalesce(F.get(windows, k)["h"] == x["h"], F.lit(False))
+def _in_order(windows: Column) -> Column:
+    """(hash, position) in order where a window occurs twice or more, else NULL."""
+    places = F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    return F.when(F.size(F.array_distinct(windows)) < F.size(windows), F.sort_array(places))
 
-            return F.when(same(j - 1) | same(j + 1), x["i"])
 
-        places = F.sort_array(F.filter(F.transform(windows, place), lambda i: i.isNotNull()))
-        zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
+def _repeated(windows: Column) -> Column:
+    """How many words stand in a window that occurs twice or more, from what ``_in_order`` gives."""
 
-        def add(acc: Column, i: Column) -> Column:
-            return F.struct((i + 3).alias("end"), (acc["n"] + 3 - F.greatest(acc["end"] - i, F.lit(0))).alias("n"))
+    def place(x: Column, j: Column) -> Column:
+        def same(k: Column) -> Column:
+            return F.coalesce(F.get(windows, k)["h"] == x["h"], F.lit(False))
 
-        return F.aggregate(places, zero, add, lambda acc: acc["n"])
+        return F.when(same(j - 1) | same(j + 1), x["i"])
 
-    def windows(w: Column) -> Column:
-        one = F.transform(
-            F.sequence(F.lit(0), F.size(w) - 3),
-            lambda i: F.struct(F.xxhash64(w[i], w[i + 1], w[i + 2]).alias("h"), i.alias("i")),
-        )
-        return F.when(F.size(w) < 3, F.lit(0).cast("long")).otherwise(_let(F.sort_array(one), cover))
+    places = F.sort_array(F.filter(F.transform(windows, place), lambda i: i.isNotNull()))
+    zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
 
-    return _let(words, windows)
+    def add(acc: Column, i: Column) -> Column:
+        return F.struct((i + 3).alias("end"), (acc["n"] + 3 - F.greatest(acc["end"] - i, F.lit(0))).alias("n"))
+
+    return F.when(windows.isNull(), F.lit(0).cast("long")).otherwise(F.aggregate(places, zero, add, lambda acc: acc["n"]))
 
 
 def statistics(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -72,53 +70,50 @@ def statistics(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] =
     A NULL text counts as one without words. Rows are kept one for one, repeated ones too;
     an empty table gives an empty result; other columns are left out.
     """
+    kept = [F.col(f"`{c}`") for c in keep]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-
-    def words_of(t: Column) -> Column:
-        return F.filter(F.split(F.translate(t, SPACE, " " * len(SPACE)), " "), lambda w: w != "")
-
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACE, "") != "")
-
-    def count(w: Column) -> Column:
-        return F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            F.size(F.array_distinct(w)).alias("n_distinct"),
-            _repeated(w).alias("n_repeat_words"),
-        )
-
-    rows = docs.select(
-        *[F.col(f"`{c}`") for c in keep],
-        _let(words_of(text), count).alias("w"),
-        _let(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("distinct"))).alias("lines"),
-        F.char_length(text).alias("chars"),
-        _without(text, SPACE).cast("long").alias("word_chars"),
-        (F.char_length(text) - _without(text, SYMBOLS)).cast("long").alias("n_symbols"),
-        (F.char_length(text) - _without(text, UPPER)).alias("upper"),
-        (F.char_length(text) - _without(text, DIGITS)).alias("digits"),
-        (F.char_length(text) - _without(text, "!?.,;:")).alias("marks"),
+    parts = docs.select(
+        *kept,
+        F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)).alias("words"),
+        F.regexp_extract_all(text, F.lit(_LINE), F.lit(0)).alias("lines"),
+        _count(text, f"[^{SYMBOLS}]+").cast("long").alias("n_symbols"),
+        _count(text, "[^A-Z]+").alias("upper"),
+        _count(text, "[^0-9]+").alias("digits"),
+        _count(text, "[^!?.,;:]+").alias("marks"),
     )
+    counts = parts.select(
+        *kept, "n_symbols", "upper", "digits", "marks",
+        F.size("words").cast("long").alias("n_words"),
+        F.size(F.array_distinct("words")).alias("n_distinct"),
+        F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        F.size("lines").alias("n_lines"),
+        F.size(F.array_distinct("lines")).alias("distinct_lines"),
+        _windows(F.col("words")).alias("windows"),
+    )
+    # what more than one expression reads is a column, so it is worked out once
+    rows = counts.withColumn("windows", _in_order(F.col("windows"))).withColumn("n_repeat_words", _repeated(F.col("windows")))
 
     def share(part: str, whole: str) -> Column:
         return F.coalesce(F.try_divide(F.col(part).cast("double"), F.col(whole).cast("double")), F.lit(0.0))
 
-    n_words, repeat = F.col("w.n_words"), F.col("w.n_repeat_words")
+    n_words, repeat = F.col("n_words"), F.col("n_repeat_words")
     return rows.select(
-        *[F.col(f"`{c}`") for c in keep],
-        n_words.alias("n_words"),
+        *kept,
+        n_words,
         "word_chars",
         "n_symbols",
-        (F.col("lines.n") - F.col("lines.distinct")).cast("long").alias("n_dup_lines"),
-        repeat.alias("n_repeat_words"),
+        (F.col("n_lines") - F.col("distinct_lines")).cast("long").alias("n_dup_lines"),
+        repeat,
         ((n_words < LEAST_WORDS) | (100 * repeat > 50 * n_words)).alias("base_failed"),
-        share("word_chars", "w.n_words").alias("mean_word"),
+        share("word_chars", "n_words").alias("mean_word"),
         share("n_symbols", "word_chars").alias("symbol_share"),
-        F.coalesce(F.try_divide(F.col("lines.n") - F.col("lines.distinct"), F.col("lines.n")).cast("double"), F.lit(0.0)).alias("dup_line_share"),
-        share("w.n_repeat_words", "w.n_words").alias("repeat_share"),
+        F.coalesce(F.try_divide(F.col("n_lines") - F.col("distinct_lines"), F.col("n_lines")).cast("double"), F.lit(0.0)).alias("dup_line_share"),
+        share("n_repeat_words", "n_words").alias("repeat_share"),
         share("upper", "word_chars").alias("upper_share"),
         share("digits", "word_chars").alias("digit_share"),
         share("marks", "word_chars").alias("mark_share"),
-        share("w.n_distinct", "w.n_words").alias("distinct_share"),
-        share("w.n_words", "lines.n").alias("words_per_line"),
+        share("n_distinct", "n_words").alias("distinct_share"),
+        share("n_words", "n_lines").alias("words_per_line"),
     )
 
 
